@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import degrees, sin
+from math import degrees, pi, radians, sin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,8 @@ def haversine(
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     h = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.asin(F.sqrt(F.least(h, F.lit(1.0)))) * (2 * radius)
+    # Opposite points can round to h > 1, which has no arc sine; they are half a turn apart.
+    return F.nanvl(F.asin(F.sqrt(h)), F.lit(pi / 2)) * (2 * radius)
 
 
 def _wrap(lon: Column) -> Column:
@@ -175,14 +176,6 @@ def _ellipsoid_destination(df, miles, lat, lon, bearing):
 
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
-# Masks that keep every 2nd bit, pair, nibble, byte and half word.
-SPREAD_STEPS = (
-    (16, 0x0000FFFF0000FFFF),
-    (8, 0x00FF00FF00FF00FF),
-    (4, 0x0F0F0F0F0F0F0F0F),
-    (2, 0x3333333333333333),
-    (1, 0x5555555555555555),
-)
 
 
 def _axis_bits(value: Column, limit: float) -> Column:
@@ -191,9 +184,8 @@ def _axis_bits(value: Column, limit: float) -> Column:
 
 
 def _spread(bits: Column) -> Column:
-    for step, mask in SPREAD_STEPS:
-        bits = bits.bitwiseOR(F.shiftleft(bits, step)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return bits
+    """Puts a zero before every bit: binary digits read as base-4 digits."""
+    return F.conv(F.bin(bits), 4, 10).cast("bigint")
 
 
 def geohash_score(lat: Column, lon: Column, lat_limit: float = GEOHASH_LAT_LIMIT) -> Column:
@@ -256,7 +248,7 @@ def cells_reached(lat: Column, lon: Column, band: Column, height: float) -> Colu
     reach = height * _MARGIN
     count = _cells_in_band(band, height)
     span = F.when(F.abs(lat) + reach >= 90, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(1.0), sin(reach * 3.141592653589793 / 180) / F.cos(F.radians(lat)))))
+        F.degrees(F.asin(F.least(F.lit(1.0), sin(radians(reach)) / F.cos(F.radians(lat)))))
         * _MARGIN
     )
     first, last = _raw_cell(lon - span, count), _raw_cell(lon + span, count)

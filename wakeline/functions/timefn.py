@@ -47,14 +47,17 @@ def wall_clock(ts: Column) -> Column:
 
 
 def localtime(ts: Column, zone: str = ZONE) -> Column:
-    """UTC wall clock -> wall clock of ``zone``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
+    """UTC wall clock -> wall clock of ``zone``, whole seconds.
+
+    Goes through an instant because the zone rules of ``from_utc_timestamp`` are looked up
+    once per task; ``convert_timezone`` parses both zone names again for every row."""
+    return wall_clock(F.from_utc_timestamp(instant(ts), zone))
 
 
 def slot_end(ts: Column, seconds: int) -> Column:
     """End of the half-open slot ``(end - seconds, end]`` that holds ``ts``."""
-    shifted = (ts - F.expr(EPOCH)).cast("interval second").cast("decimal(18,6)").cast("double")
-    return from_epoch_seconds((F.ceil(shifted / seconds) * seconds).cast("bigint"))
+    just_before = epoch_seconds(ts - F.expr("INTERVAL '0.000001' SECOND"))
+    return from_epoch_seconds((F.floor(just_before / seconds) + 1) * seconds)
 
 
 def day_number(year: Column, month: Column, day: Column) -> Column:

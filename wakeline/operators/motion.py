@@ -86,9 +86,11 @@ def on_days(first: Column, last: Column) -> Column:
 
 
 def snapshot(df: DataFrame, at: datetime, width: timedelta = timedelta(seconds=MINUTE_SECONDS)) -> DataFrame:
-    """Rows with local time in ``(at - width, at]``, whatever days that touches."""
+    """Rows with local time in ``(at - width, at]``, whatever days that touches. On a table
+    with day columns only the days in question are read."""
     start, end = ntz(at - width), ntz(at)
-    return df.where(on_days(start, end) & (F.col("localtime") > start) & (F.col("localtime") <= end))
+    rows = df.where((F.col("localtime") > start) & (F.col("localtime") <= end))
+    return rows.where(on_days(start, end)) if {"year", "month", "day"} <= set(df.columns) else rows
 
 
 def near_place_and_time(
@@ -105,7 +107,7 @@ def near_place_and_time(
     first, last = ntz(start), ntz(end)
     days = on_days(localtime(first, zone), localtime(last, zone))
     return in_box(
-        df.where(days & F.col("base_dt").between(first, last)), lat_min, lat_max, lon_min, lon_max
+        df.where(F.col("base_dt").between(first, last) & days), lat_min, lat_max, lon_min, lon_max
     )
 
 

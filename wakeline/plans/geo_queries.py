@@ -89,10 +89,10 @@ def u1(spark, sf_dir):
     return sets(spark, sf_dir).select("set_name", "mmsi", "lat", "lon")
 
 
-@register("f8_position_lookup", on_sets("SELECT mmsi, lat, lon FROM sets WHERE set_name = 'all' AND mmsi IN (366000007, 366000012, 366000020)"))
+@register("f8_position_lookup", on_sets("SELECT mmsi, lat, lon FROM sets WHERE set_name = 'all' AND mmsi IN (366000007, 366000012, 366000015, 366000017, 366000031, 366000068, 366000124)"))
 def f8(spark, sf_dir):
     everyone = members(sets(spark, sf_dir), ALL)
-    return lookup(everyone, [366000007, 366000012, 366000020]).select("mmsi", "lat", "lon")
+    return lookup(everyone, [366000007, 366000012, 366000015, 366000017, 366000031, 366000068, 366000124]).select("mmsi", "lat", "lon")
 
 
 # --- geohash order --------------------------------------------------------------------
@@ -163,16 +163,25 @@ register("j5_wide_radius_in_all", _radius_sql("all", WIDE))(_radius(ALL, WIDE))
 _PAIR = haversine_sql("a.lat", "a.lon", "b.lat", "b.lon")
 
 
-@register(
-    "j6_pair_distance",
-    on_sets(
+def _pair(first, second):
+    sql = on_sets(
         f"SELECT round({_PAIR}, 4) AS miles FROM (SELECT 1) LEFT JOIN "
-        "(SELECT * FROM sets WHERE set_name = 'all' AND mmsi = 366000007) a ON true LEFT JOIN "
-        "(SELECT * FROM sets WHERE set_name = 'all' AND mmsi = 366000012) b ON true"
-    ),
-)
-def j6(spark, sf_dir):
-    return _round(pair_distance(members(sets(spark, sf_dir), ALL), 366000007, 366000012), 4, "miles")
+        f"(SELECT * FROM sets WHERE set_name = 'all' AND mmsi = {first}) a ON true LEFT JOIN "
+        f"(SELECT * FROM sets WHERE set_name = 'all' AND mmsi = {second}) b ON true"
+    )
+
+    def run(spark, sf_dir):
+        return _round(pair_distance(members(sets(spark, sf_dir), ALL), first, second), 4, "miles")
+
+    return sql, run
+
+
+for _name, _first, _second in (
+    ("j6_pair_distance", 366000015, 366000017),
+    ("j6_missing_member", 366000007, 366000012),
+):
+    _sql, _run = _pair(_first, _second)
+    register(_name, _sql)(_run)
 
 
 @register(

@@ -56,11 +56,11 @@ def calendar(spark, sf_dir):
 
 
 def minute_rows(spark, sf_dir):
-    return snapshot(calendar(spark, sf_dir), MINUTE_AT)
+    return snapshot(with_localtime(motion(spark, sf_dir)), MINUTE_AT)
 
 
 def hour_rows(spark, sf_dir):
-    return snapshot(calendar(spark, sf_dir), HOUR_AT, timedelta(hours=1))
+    return snapshot(with_localtime(motion(spark, sf_dir)), HOUR_AT, timedelta(hours=1))
 
 
 # --- scans and sinks ------------------------------------------------------------------

@@ -89,8 +89,8 @@ def score_sql(lat: str = "lat", lon: str = "lon", limit: str = "85.05112878e0")
 
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return (
-        f"(2 * 3958.7613e0 * asin(sqrt(least(1e0, sin(radians({lat2} - {lat1}) / 2) ^ 2 + "
-        f"cos(radians({lat1})) * cos(radians({lat2})) * sin(radians({lon2} - {lon1}) / 2) ^ 2))))"
+        f"(2 * 3958.7613e0 * asin(sqrt(sin(radians({lat2} - {lat1}) / 2) ^ 2 + "
+        f"cos(radians({lat1})) * cos(radians({lat2})) * sin(radians({lon2} - {lon1}) / 2) ^ 2)))"
     )
 
 

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def messages_from(events: DataFrame) -> DataFrame:
     """All message columns but ``vessel_name``, from rows shaped like ``events``."""
-    seconds = f"floor(cast(cast(cast(ts - {SOURCE_START} AS interval second) AS decimal(18,6)) AS double) / 180D)"
+    seconds = f"cast(cast(ts - {SOURCE_START} AS interval second) AS bigint) div 180"
     codes = ", ".join("NULL" if c is None else str(c) for c in TYPE_CODES)
     return (
         events.where("user_id >= 0")
@@ -36,7 +36,7 @@ def messages_from(events: DataFrame) -> DataFrame:
             "event_id AS seq",
             "user_id",
             "cast(366000000 + user_id AS int) AS mmsi",
-            f"{TIME_START} + cast({seconds} AS interval second) AS base_dt",
+            f"{TIME_START} + cast(({seconds}) AS interval second) AS base_dt",
             "46.95D + cast((event_id*7919 + user_id*104729) % 2600 AS double)/1000 AS lat",
             "-123.8D + cast((event_id*15485863) % 1850 AS double)/1000 AS lon",
             "CASE WHEN event_id % 23 = 0 THEN NULL ELSE cast((event_id*31) % 250 AS double)/10 END AS sog",

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every Column call is slow on long plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
