@@ -28,10 +28,12 @@ def test_latest_by_slot_equals_batch_on_closed_slots(spark, tmp_path, rows):
 
 def test_late_rows_are_dropped(spark, tmp_path):
     on_time = track(spark, 1, [(3600, 5.0)])
+    # The limit for late rows is the watermark of the batch before the last.
+    more = track(spark, 1, [(3600, 5.0)], first_seq=5, lat=49.0)
     late = track(spark, 1, [(0, 5.0)], first_seq=10)
     end = track(spark, 1, [(9000, 5.0)], first_seq=20)
-    found = run_to_table(latest_by_slot(replay(spark, tmp_path, on_time, late, end)), "latest").collect()
-    assert [r.slot_start for r in found] == [START + timedelta(hours=1)]
+    found = run_to_table(latest_by_slot(replay(spark, tmp_path, on_time, more, late, end)), "latest").collect()
+    assert [(r.slot_start, r.lat) for r in found] == [(START + timedelta(hours=1), 49.0)]
 
 
 def test_last_hour_activity(spark, tmp_path):
