@@ -80,7 +80,7 @@ def test_radius_equals_brute_force(spark):
 def test_many_centres_in_one_join(spark):
     lat, lon = scattered(6, 30)
     frame = slot_frame(spark, lat, lon).drop("slot")
-    found = within_radius(frame, frame, 10.0, centre_is_small=False).collect()
+    found = within_radius(frame, frame, 10.0).collect()
     want = {(i, j) for i in range(len(lat)) for j in range(len(lat)) if great_circle(lat[i], lon[i], lat[j], lon[j]) <= 10}
     assert {(r.centre_mmsi, r.mmsi) for r in found} == want
 

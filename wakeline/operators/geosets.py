@@ -113,14 +113,12 @@ def within_radius(
     centre: DataFrame,
     miles: float = RADIUS_MILES,
     earth: float = EARTH_RADIUS_MILES,
-    centre_is_small: bool = True,
 ) -> DataFrame:
     """Members within ``miles`` of each row of ``centre`` (mmsi, lat, lon), itself
     included, as (centre_mmsi, mmsi, lat, lon, miles).
 
-    The centre is spread over the few cells its circle touches and meets the positions in
-    an equi-join. ``centre_is_small`` says that the centre is a handful of vessels by
-    construction (one id, a ``limit``); otherwise the join strategy is left to the engine.
+    Each centre is spread over the few cells its circle touches and meets the positions in
+    an equi-join. One centre is a known small side; for many the engine decides by size.
     """
     height = cell_height(miles, earth)
     probes = _probes(
@@ -131,7 +129,6 @@ def within_radius(
         "_lon",
         height,
     )
-    probes = F.broadcast(probes) if centre_is_small else probes
     away = haversine(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon"), earth)
     return (
         _placed(positions.select("mmsi", "lat", "lon"), height)

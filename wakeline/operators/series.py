@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.timefn import epoch_millis, seconds_between
-from wakeline.operators.parts import Load, measure, with_part, attach_per_vessel
+from wakeline.operators.parts import Load, attach_per_vessel, measure, with_part
 from wakeline.operators.tracks import build_tracks
 from wakeline.schema import MAX_TRACK_POINTS, RETENTION_SECONDS
+from wakeline.sources.scratch import materialise
 
 
 def long_series(df: DataFrame) -> DataFrame:
@@ -61,5 +62,6 @@ def of_vessels(df: DataFrame, vessels: DataFrame) -> DataFrame:
 
 
 def last_hour_lines(hour: DataFrame, moving: DataFrame, max_points: int = MAX_TRACK_POINTS) -> DataFrame:
-    """The track of the last hour of every vessel that is moving now."""
-    return build_tracks(of_vessels(hour, moving), max_points=max_points)
+    """The track of the last hour of every vessel that is moving now. The hour is stored
+    first: it is small next to the table it comes from, and is counted and then read."""
+    return build_tracks(materialise(of_vessels(hour, moving), "last-hour"), max_points=max_points)

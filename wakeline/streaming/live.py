@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.timefn import instant, wall_clock
 from wakeline.operators.motion import order_key
+from wakeline.schema import HOUR_SECONDS, MINUTE_SECONDS
 from wakeline.sources.scratch import scratch_path
 
 DELAY = "10 minutes"
@@ -33,17 +34,34 @@ def latest_by_slot(messages: DataFrame, slot: str = "1 minute", delay: str = DEL
 
 
 def last_hour_activity(
-    messages: DataFrame, width: str = "1 hour", slide: str = "1 minute", delay: str = DELAY
+    messages: DataFrame,
+    width: int = HOUR_SECONDS,
+    slide: int = MINUTE_SECONDS,
+    delay: str = DELAY,
 ) -> DataFrame:
-    """(window_end, mmsi, n_points, first_dt, last_dt) for every closed sliding window."""
-    return (
+    """(window_end, mmsi, n_points, first_dt, last_dt) for every closed sliding window.
+
+    Messages are first counted per vessel and slide step; only those counts are copied
+    into the ``width / slide`` windows they fall in."""
+    if width % slide:
+        raise ValueError("width must be a multiple of slide")
+    steps = (
         with_event_time(messages, delay)
-        .groupBy(F.window("event_time", width, slide).alias("span"), "mmsi")
+        .groupBy(F.window("event_time", f"{slide} seconds").alias("step"), "mmsi")
         .agg(
-            F.count(F.lit(1)).alias("n_points"),
+            F.count(F.lit(1)).alias("n"),
             F.min("base_dt").alias("first_dt"),
             F.max("base_dt").alias("last_dt"),
         )
+    )
+    spans = F.window(F.window_time("step"), f"{width} seconds", f"{slide} seconds")
+    return (
+        steps.groupBy(spans.alias("span"), "mmsi")
+        .agg(
+            F.sum("n").alias("n_points"),
+            F.min("first_dt").alias("first_dt"),
+            F.max("last_dt").alias("last_dt"),
+        )
         .select(wall_clock(F.col("span.end")).alias("window_end"), "mmsi", "n_points", "first_dt", "last_dt")
     )
 
