@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.functions.timefn import epoch_seconds
-from wakeline.schema import BROADCAST_ROWS, HOUR_SECONDS, MAX_TRACK_POINTS
+from wakeline.schema import BROADCAST_ROWS, MAX_TRACK_POINTS, MINUTE_SECONDS
 from wakeline.sources.scratch import materialise
 
 
@@ -38,18 +38,24 @@ def measure(df: DataFrame, max_points: int = MAX_TRACK_POINTS) -> Load:
     if not over:
         return Load(vessels)
 
-    hour = F.floor(epoch_seconds(F.col("base_dt")) / HOUR_SECONDS).cast("bigint")
-    hourly = df.groupBy("mmsi", hour.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-    per_vessel = hourly.groupBy("mmsi").agg(
-        F.sum("n").alias("total"), F.max("n").alias("peak"), F.min("hour").alias("first_hour")
+    large = totals.where(F.col("total") > max_points).select("mmsi")
+    large = F.broadcast(large) if over <= BROADCAST_ROWS else large
+    by_second = (
+        df.join(large, "mmsi", "left_semi")
+        .groupBy("mmsi", epoch_seconds(F.col("base_dt")).alias("second"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    # Whole hours while the busiest hour fits, a share of an hour otherwise.
-    whole_hours = F.greatest(F.lit(1), F.floor(F.lit(max_points) / F.col("peak"))) * HOUR_SECONDS
-    share = F.greatest(F.lit(1), F.floor(F.lit(HOUR_SECONDS) * max_points / F.col("peak")))
-    cuts = per_vessel.where(F.col("total") > max_points).select(
-        "mmsi",
-        (F.col("first_hour") * HOUR_SECONDS).alias("first_second"),
-        F.when(F.col("peak") <= max_points, whole_hours).otherwise(share).cast("bigint").alias("part_seconds"),
+    minute = F.floor(F.col("second") / MINUTE_SECONDS).cast("bigint")
+    by_minute = by_second.groupBy("mmsi", minute.alias("minute")).agg(
+        F.sum("n").alias("n"), F.max("n").alias("n_second")
+    )
+    # As many whole minutes as hold the busiest minute that often, else seconds. Either way
+    # a part has at most max_points messages, unless a single second has more.
+    minutes = F.floor(F.lit(max_points) / F.max("n")) * MINUTE_SECONDS
+    seconds = F.greatest(F.lit(1), F.floor(F.lit(max_points) / F.max("n_second")))
+    cuts = by_minute.groupBy("mmsi").agg(
+        (F.min("minute") * MINUTE_SECONDS).alias("first_second"),
+        F.when(F.max("n") <= max_points, minutes).otherwise(seconds).cast("bigint").alias("part_seconds"),
     )
     return Load(vessels, materialise(cuts, "track-cuts"), over)
 
