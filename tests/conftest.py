@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
             "spark.sql.session.timeZone": "America/New_York",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.sql.maxMetadataStringLength": "5000",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",

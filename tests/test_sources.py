@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import track
-from wakeline.operators.motion import snapshot, with_calendar
+from wakeline.operators.motion import near_place_and_time, snapshot, with_calendar
 from wakeline.operators.polygons import lat_lon_rings, ring_points, with_polygon_class
 from wakeline.operators.tracks import build_tracks
 from wakeline.operators.vessels import with_vessel_group
@@ -72,7 +72,10 @@ def test_day_layout_prunes_partitions(spark, tmp_path, rows):
     text = plan(near)
     assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text
     # Two local days are touched, one minute is kept.
-    assert near.inputFiles() and rows(near) == rows(snapshot(df, at))
+    assert near.inputFiles() and rows(near.select(df.columns)) == rows(snapshot(df, at))
+    assert "GreaterThanOrEqual(local_s," in text
+    place = near_place_and_time(stored, datetime(2017, 11, 4, 7), datetime(2017, 11, 4, 9), 40.0, 50.0, -130.0, -120.0)
+    assert "GreaterThanOrEqual(base_s," in plan(place) and place.count() == 3
     files = {f for f in near.inputFiles()}
     assert all("day=" in f for f in files)
 

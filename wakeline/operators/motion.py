@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from wakeline.functions.timefn import day_number, localtime, ntz
 from wakeline.schema import (
     ATTRIBUTE_COLUMNS,
+    BASE_SECONDS,
     IN_MOTION_KNOTS,
     LAT_MAX,
     LAT_MIN,
+    LOCAL_SECONDS,
     LON_MAX,
     LON_MIN,
     MINUTE_SECONDS,
@@ -85,11 +87,21 @@ def on_days(first: Column, last: Column) -> Column:
     return day_number(F.col("year"), F.col("month"), F.col("day")).between(number(first), number(last))
 
 
+def _seconds_within(df: DataFrame, column: str, start: datetime, end: datetime) -> DataFrame:
+    """Range on the stored seconds, if the table has them: skips files and row groups. It
+    only widens to whole seconds, so the exact test on the timestamp must follow."""
+    if column not in df.columns:
+        return df
+    first, last = ((t - datetime(1970, 1, 1)) // timedelta(seconds=1) for t in (start, end))
+    return df.where(F.col(column).between(first, last))
+
+
 def snapshot(df: DataFrame, at: datetime, width: timedelta = timedelta(seconds=MINUTE_SECONDS)) -> DataFrame:
     """Rows with local time in ``(at - width, at]``, whatever days that touches. On a table
     with day columns only the days in question are read."""
     start, end = ntz(at - width), ntz(at)
-    rows = df.where((F.col("localtime") > start) & (F.col("localtime") <= end))
+    rows = _seconds_within(df, LOCAL_SECONDS, at - width, at)
+    rows = rows.where((F.col("localtime") > start) & (F.col("localtime") <= end))
     return rows.where(on_days(start, end)) if {"year", "month", "day"} <= set(df.columns) else rows
 
 
@@ -106,8 +118,9 @@ def near_place_and_time(
     """Messages in a UTC time range and a box, reading only the local days it touches."""
     first, last = ntz(start), ntz(end)
     days = on_days(localtime(first, zone), localtime(last, zone))
+    rows = _seconds_within(df, BASE_SECONDS, start, end)
     return in_box(
-        df.where(F.col("base_dt").between(first, last) & days), lat_min, lat_max, lon_min, lon_max
+        rows.where(F.col("base_dt").between(first, last) & days), lat_min, lat_max, lon_min, lon_max
     )
 
 

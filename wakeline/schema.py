@@ -48,6 +48,10 @@ ATTRIBUTE_COLUMNS = (
 FIRST_KNOWN_COLUMNS = ("vessel_type", "vessel_name", "imo", "call_sign", "cargo")
 MEAN_COLUMNS = ("l", "w", "draft")
 
+# Whole seconds of ``base_dt`` and ``localtime``, stored next to them: Parquet statistics
+# are used for integers but not for zone-free timestamps.
+BASE_SECONDS, LOCAL_SECONDS = "base_s", "local_s"
+
 # --- defaults -------------------------------------------------------------------------
 
 LAT_MIN, LAT_MAX = 47.0, 49.45

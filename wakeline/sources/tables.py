@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline.functions.timefn import epoch_seconds
 from wakeline.operators.motion import order_key
 from wakeline.operators.vessels import group_memberships
+from wakeline.schema import BASE_SECONDS, LOCAL_SECONDS
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -26,10 +28,11 @@ def write_if_absent(df: DataFrame, path: str) -> None:
 
 
 def write_by_time(df: DataFrame, path: str) -> None:
-    """Files that follow each other in time, so that a time filter skips most of them. The
-    range key ends in the tie-break columns: even one busy second is cut."""
+    """Files that follow each other in time, with the seconds stored for skipping. The range
+    key ends in the tie-break columns: even one busy second is cut."""
     ranges = [*order_key(df), "mmsi"]
-    df.repartitionByRange(*ranges).sortWithinPartitions(*ranges).write.mode("ignore").parquet(path)
+    stamped = df.withColumn(BASE_SECONDS, epoch_seconds(F.col("base_dt")))
+    stamped.repartitionByRange(*ranges).sortWithinPartitions(*ranges).write.mode("ignore").parquet(path)
 
 
 def write_by_day(df: DataFrame, path: str) -> None:
@@ -39,8 +42,14 @@ def write_by_day(df: DataFrame, path: str) -> None:
     time, so days of any size are written in parallel and most tasks open one or two
     files."""
     ranges = ["year", "month", "day", *order_key(df), "mmsi"]
+    stamped = df.withColumns(
+        {
+            BASE_SECONDS: epoch_seconds(F.col("base_dt")),
+            LOCAL_SECONDS: epoch_seconds(F.col("localtime")),
+        }
+    )
     (
-        df.repartitionByRange(*ranges)
+        stamped.repartitionByRange(*ranges)
         .sortWithinPartitions(*ranges)
         .write.partitionBy("year", "month", "day")
         .parquet(path)
