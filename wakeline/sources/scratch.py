@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
+
+_made: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session may go without the setting; a cluster without a shared folder is
-    an error, because a machine-local path would be lost with its executor.
+    A session without that setting uses its warehouse, which driver and executors share as well.
     """
-    root = spark.conf.get(SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{SETTING} must name a shared folder")
-        root = tempfile.gettempdir() + "/wakeline-checkpoints"
-    return f"{root.rstrip('/')}/wakeline/{label}-{uuid4().hex}"
+    root = spark.conf.get(SETTING, None) or spark.conf.get(WAREHOUSE)
+    path = f"{root.rstrip('/')}/wakeline/{label}-{uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -30,3 +29,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes what this process stored below ``scratch_path`` and returns how many paths went.
+
+    Frames that still read them fail afterwards: call it when the results are written.
+    """
+    gone = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
