@@ -6,7 +6,8 @@ later one cuts the names into left and right halves by a salted bit and replaces
 get equal names everywhere and no dictionary has to be built or shipped.
 
 Which symbol appears depends on its own words and few neighbours: its context. A window takes as
-anchor the leftmost symbol of the highest round whose context lies inside the window. The anchor
+anchor the symbol of the highest round that has any whose context lies inside the window; of several the one
+whose hash is least. The anchor
 is a function of the window's words alone, so equal windows have equal anchors. Two Spark rounds
 follow: the first counts anchors over all documents (one row for some ten words), which rules out
 the windows whose anchor is met once; the second names the windows that are left with 128 bits
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from wakeline.llm.words import Words, combine, mix, powers, steps, words
 
 _BASE = 0xC2B2AE3D27D4EB4F
-ROUNDS = 12
+#: Rounds of pairs. After three a symbol and its context span ten words or so: short enough for
+#: windows of 35 words to hold several, which keeps one anchor in use over many windows.
+ROUNDS = 3
 _KEY = "cid long, cid2 int"
 
 
@@ -46,15 +49,15 @@ def anchors(names: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.ndar
 
     sym, left, right, where = names, np.arange(n), np.arange(n) + 1, text  # [left, right): context
     anchor, spot = np.zeros(len(place), np.uint64), np.zeros(len(place), np.int64)
-    for level in range(ROUNDS):
-        k = np.minimum(np.searchsorted(left, place), len(left) - 1)
-        inside = (left[k] >= place) & (right[k] <= place + window)
+    for level in range(ROUNDS + 1):
+        k0, k1 = np.searchsorted(left, place), np.searchsorted(right, place + window, "right")
+        inside = k0 < k1
         if not inside.any():
             break
-        k = k[inside]
+        k = _least(mix(sym ^ np.uint64(level)), k0[inside], k1[inside])
         content = (total[right[k]] - total[left[k]]) * down[left[k]]
         anchor[inside] = combine(content + np.uint64(level), sym[k])
-        spot[inside] = k * ROUNDS + level
+        spot[inside] = k * (ROUNDS + 1) + level
         # What a text's first and last symbol become also depends on what lies outside the window.
         edge = np.flatnonzero(where[1:] != where[:-1]) + 1
         heads, tails = np.concatenate(([0], edge)), np.concatenate((edge, [len(sym)])) - 1
@@ -86,6 +89,19 @@ def anchors(names: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.ndar
     return place, anchor, spot
 
 
+def _least(value: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Place of the smallest value in each range (the leftmost of equals), by a sparse table."""
+    low = ((value >> np.uint64(32)) << np.uint64(32)) | np.arange(len(value), dtype=np.uint64)
+    size = (end - begin).astype(np.int64)
+    depth = np.frexp(size)[1] - 1
+    out = np.empty(len(begin), np.uint64)
+    for d in range(int(depth.max()) + 1):
+        own = depth == d
+        out[own] = np.minimum(low[begin[own]], low[end[own] - (1 << d)])
+        low = np.minimum(low[: -(1 << d) or None], low[1 << d :]) if len(low) > 1 << d else low
+    return (out & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def window_names(names: np.ndarray, place: np.ndarray, window: int) -> np.ndarray:
     """A name for the ``window`` words from each place, by doubling."""
     out, at, width, power = None, 0, 1, names
