@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import simhash, substrings
+from wakeline.llm import simhash, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +41,16 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", 4, 4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    return toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity_model(spark, sf_dir)
+    scored = table(spark, sf_dir, "documents").select(
+        "doc_id", (toxicity.fold() == 0).alias("held_out"), toxicity.score(F.col("text"), model).alias("score")
+    )
+    return scored.select("*", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
