@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import simhash, substrings, toxicity
+from wakeline.llm import simhash, substrings, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,3 +54,50 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (toxicity.fold() == 0).alias("held_out"), toxicity.score(F.col("text"), model).alias("score")
     )
     return scored.select("*", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@register
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+_WORDS6 = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+SQL["op6_decontamination"] = f"""WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS6} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS6} AS w FROM benchmark),
+bw AS MATERIALIZED (
+ SELECT DISTINCT item_id, size, array_to_string(w[p:p + size - 1], ' ') AS win
+ FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM b WHERE len(w) > 0)),
+dw AS MATERIALIZED (
+ SELECT doc_id, p, size, array_to_string(w[p:p + size - 1], ' ') AS win
+ FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM d CROSS JOIN (SELECT DISTINCT size FROM bw))),
+h AS MATERIALIZED (SELECT doc_id, p, size, item_id FROM dw JOIN bw USING (size, win)),
+n AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+ FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+ CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+ coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)"""
+
+SQL["op3_substring_dedup"] = r"""WITH d AS MATERIALIZED (
+ SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS MATERIALIZED (
+ SELECT doc_id, p, md5(array_to_string(w[p:p + 34], ' ')) AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d)),
+r AS (SELECT doc_id, p FROM p WHERE win IN (SELECT win FROM p GROUP BY win HAVING count(*) > 1)),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM r),
+o AS (SELECT doc_id, list(q) AS gone FROM g GROUP BY doc_id),
+k AS (SELECT doc_id, w, [w[q] FOR q IN range(1, len(w) + 1) IF gone IS NULL OR NOT list_contains(gone, q)] AS kept FROM d LEFT JOIN o USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIGINT) AS n_removed,
+ sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k"""
