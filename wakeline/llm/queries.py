@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import simhash, substrings, toxicity, winnowing
+from wakeline.llm import mixing, simhash, substrings, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,3 +101,9 @@ o AS (SELECT doc_id, list(q) AS gone FROM g GROUP BY doc_id),
 k AS (SELECT doc_id, w, [w[q] FOR q IN range(1, len(w) + 1) IF gone IS NULL OR NOT list_contains(gone, q)] AS kept FROM d LEFT JOIN o USING (doc_id))
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIGINT) AS n_removed,
  sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k"""
+
+
+@register
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
