@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wakeline.llm import simhash, substrings
+from wakeline.llm import mixing, simhash, substrings, toxicity, winnowing
 from wakeline.sources.scratch import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more for toxicity go."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.where(toxicity.score(F.col("text"), model) < 0.5)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.one_of_each(docs, "doc_id", "text", size=4, budget=4)
@@ -22,9 +29,22 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return substrings.remove_repeats(docs, "text", 35)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark windows cover a twentieth or more go."""
+    return winnowing.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=13)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How often each document that is left is taken: sources weigh 1, 2, 3, repeating."""
+    return mixing.mix(docs, weights=(1, 2, 3), most=3)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("near_dedup", near_dedup),
     ("substring_dedup", substring_dedup),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
 ]
 
 #: The stages hash, learn and draw in ways that SQL cannot repeat; tests hold them against brute force.
