@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import mixing, simhash, substrings, toxicity, winnowing
+from wakeline.llm import mixing, simhash, substrings, tokens, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,3 +107,8 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIG
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@register
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.document_tokens(table(spark, sf_dir, "documents"), tokens.VOCABULARY)

@@ -164,10 +164,12 @@ def contamination(
         .agg(F.count(F.lit(1)).alias("n_hit"))
     )
     listed = runs.groupBy("cid", "cid2").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    # Stored, so that adaptive execution may split a text with very many copies on the left.
+    found = materialise(hit.join(listed, ["cid", "cid2"]), "hits")
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0).cast("long"))
     return (
         marked.select("doc_id", "cid", "cid2", "n_words")
-        .join(hit.join(listed, ["cid", "cid2"]), ["cid", "cid2"], "left")
+        .join(found, ["cid", "cid2"], "left")
         .select(
             "doc_id",
             "n_words",
