@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.sources.scratch import materialise
+
 #: Labelled texts of each class that the fit reads at most (in expectation: a hash picks them).
 FIT_TEXTS = 6000
 _FOLDS = 5
@@ -265,7 +267,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         share = F.when(F.col("y") == y, F.lit(min(1.0, fit_texts / n))).otherwise(share)
     known = known.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < share * 1_000_000)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-    rows = texts.join(known, "id").select("t", "y", fold("id").alias("fold"))
+    # At most about 2 * fit_texts ids, whatever the tables' size: small enough to broadcast and store.
+    rows = materialise(texts.join(F.broadcast(known), "id").select("t", "y", fold("id").alias("fold")), "fit")
     pairs = rows.where("fold < 4").select("y", F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]+"))).alias("word")).where("word != ''")
     counted = pairs.groupBy("word").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
     # Positive pairs first: entries of too few of them are never looked at.
