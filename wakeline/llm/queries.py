@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import mixing, simhash, substrings, tokens, toxicity, winnowing
+from wakeline.llm import mixing, simhash, substrings, tokens, topk, toxicity, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,3 +112,18 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.document_tokens(table(spark, sf_dir, "documents"), tokens.VOCABULARY)
+
+
+@register
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows.where("vec_id % 50 = 0"), rows, 5)
+
+
+SQL["op7_topk"] = """WITH v AS MATERIALIZED (
+ SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
+ FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
