@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import chat, mixing, simhash, substrings, tokens, topk, toxicity, winnowing
+from wakeline.llm import chat, mixing, simhash, substrings, tokens, topk, toxicity, urls, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -149,3 +149,17 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
  sha256(coalesce(string_agg(coalesce(text, ''), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
  CAST(sum(33 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id"""
+
+
+RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+@register
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), RULES)
