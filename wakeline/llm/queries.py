@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import chat, mixing, simhash, substrings, tokens, topk, toxicity, urls, winnowing
+from wakeline.llm import chat, htmltext, mixing, simhash, substrings, tokens, topk, toxicity, urls, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,3 +163,9 @@ RULES = {
 @register
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+@register
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
