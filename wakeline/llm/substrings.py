@@ -283,8 +283,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35) -> Dat
     result = kept_texts(docs, text, window).select(
         F.struct(F.col("cid"), F.col("cid2")).alias("k"), F.col("kept_text").alias("v")
     )
-    left = docs.select(F.struct(*content_key(text)).alias("k"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"))
-    new = F.when(F.col(f"d.`{text}`").isNotNull(), F.col("v"))
+    # The old text stays behind: the join moves its key, the other columns and the new text.
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    left = docs.select(
+        F.struct(*content_key(text)).alias("k"),
+        F.col(f"`{text}`").isNotNull().alias("has"),
+        F.struct(F.lit(0).alias("none"), *rest).alias("d"),
+    )
+    new = F.when(F.col("has"), F.col("v"))
     joined = left.join(result, "k", "left")
     return joined.select(
         *(
