@@ -23,6 +23,17 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return (later - earlier).cast("interval second").cast("bigint")
 
 
+def micros_between(later: Column, earlier: Column) -> Column:
+    """Microseconds from ``earlier`` to ``later``."""
+    seconds = (later - earlier).cast("interval second").cast("decimal(20, 6)")
+    return (seconds * 1_000_000).cast("bigint")
+
+
+def more_than(later: Column, earlier: Column, seconds: int) -> Column:
+    """Whether more than ``seconds`` passed, to the microsecond."""
+    return micros_between(later, earlier) > seconds * 1_000_000
+
+
 def epoch_seconds(ts: Column) -> Column:
     return seconds_between(ts, F.expr(EPOCH))
 
@@ -38,20 +49,22 @@ def epoch_millis(ts: Column) -> Column:
 
 def instant(ts: Column) -> Column:
     """Zone-free UTC wall clock -> instant, as the streaming watermark wants it."""
-    return F.timestamp_seconds(epoch_seconds(ts))
+    return F.timestamp_micros(micros_between(ts, F.expr(EPOCH)))
 
 
 def wall_clock(ts: Column) -> Column:
     """Instant -> zone-free UTC wall clock."""
-    return from_epoch_seconds(F.unix_seconds(ts))
+    seconds = (F.unix_micros(ts).cast("decimal(20, 0)") / 1_000_000).cast("decimal(18, 6)")
+    return F.expr(EPOCH) + seconds.cast("interval second")
 
 
 def localtime(ts: Column, zone: str = ZONE) -> Column:
-    """UTC wall clock -> wall clock of ``zone``, whole seconds.
+    """UTC wall clock -> wall clock of ``zone``, to the microsecond.
 
     Goes through an instant because the zone rules of ``from_utc_timestamp`` are looked up
     once per task; ``convert_timezone`` parses both zone names again for every row."""
-    return wall_clock(F.from_utc_timestamp(instant(ts), zone))
+    there = F.from_utc_timestamp(F.timestamp_seconds(epoch_seconds(ts)), zone)
+    return ts + (F.unix_seconds(there) - epoch_seconds(ts)).cast("interval second")
 
 
 def slot_end(ts: Column, seconds: int) -> Column:

@@ -1,85 +1,60 @@
-"""Cutting very large vessels into time-ordered parts.
+"""Cutting vessels into parts of one fixed time step.
 
-Everything that needs a vessel's messages in order works on (mmsi, part). For nearly all
-vessels there is one part. A vessel with more than ``max_points`` messages - a shared or
-default id can hold a large share of all rows - is cut along time, each part is handled by
-its own task, and what crosses a part edge is stitched from one summary row per part.
+Everything that needs a vessel's messages in order works on (mmsi, part): a part is one step of
+UTC time, the same for every vessel whatever its size, so a shared or default id that sends a large share
+of all messages is spread over as many tasks as it has steps. What crosses a part's edge is carried by
+one summary row per part; a vessel has at most one for each step of the time that the table covers.
+
+Rows without an id belong to no vessel: per-vessel operators leave them out (``without_id`` has them).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wakeline.functions.timefn import epoch_seconds
-from wakeline.schema import BROADCAST_ROWS, MAX_TRACK_POINTS, MINUTE_SECONDS
+from wakeline.schema import BROADCAST_ROWS, PART_SECONDS
 from wakeline.sources.scratch import materialise
 
+# Rows without a time come first, in a part of their own.
+_NO_TIME = -(1 << 62)
 
-@dataclass(frozen=True)
-class Load:
-    """Measured sizes of a message table. ``cuts`` is None when no vessel is too large,
-    else (mmsi, first_second, part_seconds) for the ones that are."""
-
-    vessels: int
-    cuts: DataFrame | None = None
-    cut_vessels: int = 0
 
+def with_part(df: DataFrame, seconds: int = PART_SECONDS) -> DataFrame:
+    """Messages that have an id, with ``part``: the number of their time step since 1970."""
+    step = F.floor(epoch_seconds(F.col("base_dt")) / seconds).cast("bigint")
+    return df.where(F.col("mmsi").isNotNull()).withColumn("part", F.coalesce(step, F.lit(_NO_TIME)))
 
-def measure(df: DataFrame, max_points: int = MAX_TRACK_POINTS) -> Load:
-    """Counts messages per vessel (partial counts before the shuffle, two numbers to the
-    driver) and plans cuts only if some vessel is over ``max_points``."""
-    totals = df.groupBy("mmsi").agg(F.count(F.lit(1)).alias("total"))
-    vessels, over = totals.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum((F.col("total") > max_points).cast("bigint")), F.lit(0))
-    ).first()
-    if not over:
-        return Load(vessels)
 
-    large = totals.where(F.col("total") > max_points).select("mmsi")
-    large = F.broadcast(large) if over <= BROADCAST_ROWS else large
-    by_second = (
-        df.join(large, "mmsi", "left_semi")
-        .groupBy("mmsi", epoch_seconds(F.col("base_dt")).alias("second"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    minute = F.floor(F.col("second") / MINUTE_SECONDS).cast("bigint")
-    by_minute = by_second.groupBy("mmsi", minute.alias("minute")).agg(
-        F.sum("n").alias("n"), F.max("n").alias("n_second")
-    )
-    # As many whole minutes as hold the busiest minute that often, else seconds. Either way
-    # a part has at most max_points messages, unless a single second has more.
-    minutes = F.floor(F.lit(max_points) / F.max("n")) * MINUTE_SECONDS
-    seconds = F.greatest(F.lit(1), F.floor(F.lit(max_points) / F.max("n_second")))
-    cuts = by_minute.groupBy("mmsi").agg(
-        (F.min("minute") * MINUTE_SECONDS).alias("first_second"),
-        F.when(F.max("n") <= max_points, minutes).otherwise(seconds).cast("bigint").alias("part_seconds"),
-    )
-    return Load(vessels, materialise(cuts, "track-cuts"), over)
+def without_id(df: DataFrame) -> DataFrame:
+    """The messages that per-vessel operators leave out."""
+    return df.where(F.col("mmsi").isNull())
 
 
-def with_part(df: DataFrame, load: Load) -> DataFrame:
-    """Adds ``part``: 0 for ordinary vessels, rising with time for cut ones."""
-    if load.cuts is None:
-        return df.withColumn("part", F.lit(0).cast("bigint"))
-    cuts = F.broadcast(load.cuts) if load.cut_vessels <= BROADCAST_ROWS else load.cuts
-    part = F.floor((epoch_seconds(F.col("base_dt")) - F.col("first_second")) / F.col("part_seconds"))
-    return (
-        df.join(cuts, "mmsi", "left")
-        .withColumn("part", F.coalesce(part.cast("bigint"), F.lit(0).cast("bigint")))
-        .drop("first_second", "part_seconds")
+def part_places(points: DataFrame, *keys: str) -> DataFrame:
+    """(keys, part, first_idx, n_points, before_dt): for each part the number of points before it, the
+    number of points in all, and the newest time of the parts before it. Counts are partial
+    aggregates, and only they are put in order."""
+    sizes = points.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("_n"), F.max("base_dt").alias("_last"))
+    along = W.partitionBy(*keys).orderBy("part")
+    earlier = along.rowsBetween(W.unboundedPreceding, -1)
+    return sizes.select(
+        *keys,
+        "part",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("bigint").alias("first_idx"),
+        F.sum("_n").over(W.partitionBy(*keys)).cast("bigint").alias("n_points"),
+        F.last("_last", ignorenulls=True).over(earlier).alias("before_dt"),
     )
 
 
-def attach_per_vessel(df: DataFrame, per_vessel: DataFrame, load: Load, how: str = "inner") -> DataFrame:
-    """Joins one row per vessel to its messages. The vessel count was measured: up to
-    ``BROADCAST_ROWS`` the messages stay where they are. Beyond that both sides meet on
-    (mmsi, part), so that a cut vessel is not joined in one task."""
-    if load.vessels <= BROADCAST_ROWS:
-        return df.join(F.broadcast(per_vessel), "mmsi", how)
-    if load.cuts is None:
-        return df.join(per_vessel, "mmsi", how)
+def attach_per_vessel(df: DataFrame, per_vessel: DataFrame, how: str = "inner") -> DataFrame:
+    """Joins one row per vessel to messages with ``part``. The rows are stored and counted: up to
+    ``BROADCAST_ROWS`` the messages stay where they are, beyond that both sides meet on
+    (mmsi, part), so that a large vessel is not joined in one task."""
+    stored = materialise(per_vessel, "per-vessel")
+    if stored.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(stored), "mmsi", how)
     parts = df.select("mmsi", "part").distinct()
-    return df.join(parts.join(per_vessel, "mmsi"), ["mmsi", "part"], how)
+    return df.join(parts.join(stored, "mmsi"), ["mmsi", "part"], how)

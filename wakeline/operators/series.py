@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.functions.timefn import epoch_millis, seconds_between
-from wakeline.operators.parts import Load, attach_per_vessel, measure, with_part
+from wakeline.functions.timefn import epoch_millis, more_than
+from wakeline.operators.parts import attach_per_vessel, with_part
 from wakeline.operators.tracks import build_tracks
-from wakeline.schema import MAX_TRACK_POINTS, RETENTION_SECONDS
+from wakeline.schema import PART_SECONDS, RETENTION_SECONDS
 from wakeline.sources.scratch import materialise
 
 
@@ -29,31 +29,29 @@ def series_range(series: DataFrame, mmsi: int, label: str, start: int = 0, end:
     rows = series.where((F.col("mmsi") == mmsi) & (F.col("label") == label) & (F.col("ts_ms") >= start))
     if end is not None:
         rows = rows.where(F.col("ts_ms") <= end)
-    return rows.orderBy("ts_ms", *[c for c in ("base_dt", "seq") if c in series.columns])
+    return rows.orderBy(*_in_time(series))
+
+
+def _in_time(series: DataFrame) -> list[str]:
+    """The local clock repeats an hour a year: UTC comes first where the series has it."""
+    return [c for c in ("base_dt", "seq", "ts_ms") if c in series.columns]
 
 
 def latest_samples(series: DataFrame) -> DataFrame:
     """Last sample of each series."""
-    order = [c for c in ("ts_ms", "base_dt", "seq") if c in series.columns]
     return (
         series.groupBy("mmsi", "label")
-        .agg(F.max_by(F.struct("ts_ms", "value"), F.struct(*order)).alias("_last"))
+        .agg(F.max_by(F.struct("ts_ms", "value"), F.struct(*_in_time(series))).alias("_last"))
         .select("mmsi", "label", "_last.*")
     )
 
 
-def retain(
-    df: DataFrame,
-    seconds: int = RETENTION_SECONDS,
-    load: Load | None = None,
-    max_points: int = MAX_TRACK_POINTS,
-) -> DataFrame:
+def retain(df: DataFrame, seconds: int = RETENTION_SECONDS) -> DataFrame:
     """Messages no older than ``seconds`` before the vessel's newest one. The newest time
     is a partial aggregate joined back, so no task sorts a vessel whole."""
-    load = load or measure(df, max_points)
-    newest = df.groupBy("mmsi").agg(F.max("base_dt").alias("_newest"))
-    joined = attach_per_vessel(with_part(df, load), newest, load)
-    return joined.where(seconds_between(F.col("_newest"), F.col("base_dt")) <= seconds).select(*df.columns)
+    newest = df.where(F.col("mmsi").isNotNull()).groupBy("mmsi").agg(F.max("base_dt").alias("_newest"))
+    joined = attach_per_vessel(with_part(df), newest)
+    return joined.where(~more_than(F.col("_newest"), F.col("base_dt"), seconds)).select(*df.columns)
 
 
 def of_vessels(df: DataFrame, vessels: DataFrame) -> DataFrame:
@@ -61,7 +59,7 @@ def of_vessels(df: DataFrame, vessels: DataFrame) -> DataFrame:
     return df.join(vessels.select("mmsi"), "mmsi", "left_semi")
 
 
-def last_hour_lines(hour: DataFrame, moving: DataFrame, max_points: int = MAX_TRACK_POINTS) -> DataFrame:
+def last_hour_lines(hour: DataFrame, moving: DataFrame, seconds: int = PART_SECONDS) -> DataFrame:
     """The track of the last hour of every vessel that is moving now. The hour is stored
     first: it is small next to the table it comes from, and is counted and then read."""
-    return build_tracks(materialise(of_vessels(hour, moving), "last-hour"), max_points=max_points)
+    return build_tracks(materialise(of_vessels(hour, moving), "last-hour"), seconds)

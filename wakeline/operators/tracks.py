@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wakeline.functions.timefn import seconds_between
+from wakeline.functions.timefn import micros_between, more_than
 from wakeline.operators.motion import order_key
-from wakeline.operators.parts import Load, attach_per_vessel, measure, with_part
-from wakeline.schema import GAP_SECONDS, IN_MOTION_KNOTS, MAX_TRACK_POINTS, MOTION_COLUMNS, QUINTILES
+from wakeline.operators.parts import attach_per_vessel, part_places, with_part
+from wakeline.schema import GAP_SECONDS, IN_MOTION_KNOTS, MOTION_COLUMNS, PART_SECONDS, QUINTILES
 
 # Struct field -> array column of the parallel form.
 ARRAY_NAMES = {
@@ -23,27 +23,35 @@ ARRAY_NAMES = {
 }
 
 
-def build_tracks(motion: DataFrame, load: Load | None = None, max_points: int = MAX_TRACK_POINTS) -> DataFrame:
-    """(mmsi, part, points): points in time order, one struct per message so that the
-    values of a message stay together even where some are NULL."""
-    load = load or measure(motion, max_points)
+def build_tracks(motion: DataFrame, seconds: int = PART_SECONDS) -> DataFrame:
+    """(mmsi, part, first_idx, n_points, before_dt, points): a vessel's points in time order, a row for
+    each time step, one struct per message so that the values of a message stay together even
+    where some are NULL. ``first_idx`` is the place of the first point in the whole track, ``n_points``
+    the whole track's size, ``before_dt`` the newest time of the steps before."""
     keys = order_key(motion)
     fields = keys + [c for c in MOTION_COLUMNS if c != "mmsi" and c not in keys]
     points = F.sort_array(F.collect_list(F.struct(*[c for c in fields if c in motion.columns])))
-    return with_part(motion, load).groupBy("mmsi", "part").agg(points.alias("points"))
+    parts = with_part(motion, seconds)
+    places = part_places(parts, "mmsi")
+    return (
+        parts.groupBy("mmsi", "part")
+        .agg(points.alias("points"))
+        .join(places, ["mmsi", "part"])
+        .select("mmsi", "part", "first_idx", "n_points", "before_dt", "points")
+    )
 
 
 def parallel_arrays(tracks: DataFrame) -> DataFrame:
     """The same tracks as seven arrays of equal length."""
     return tracks.select(
-        "mmsi", "part", *[F.col("points")[field].alias(name) for field, name in ARRAY_NAMES.items()]
+        "mmsi", "part", "first_idx", *[F.col("points")[field].alias(name) for field, name in ARRAY_NAMES.items()]
     )
 
 
 def track_points(tracks: DataFrame) -> DataFrame:
-    """One row per point with its place ``idx`` in the part."""
-    return tracks.select("mmsi", "part", F.posexplode("points").alias("idx", "p")).select(
-        "mmsi", "part", "idx", "p.*"
+    """One row per point with its place ``idx`` in the vessel's whole track."""
+    return tracks.select("mmsi", "part", "first_idx", F.posexplode("points").alias("_pos", "p")).select(
+        "mmsi", "part", (F.col("first_idx") + F.col("_pos")).alias("idx"), "p.*"
     )
 
 
@@ -59,11 +67,14 @@ def points_at(points: Column, indexes: Column) -> Column:
     return F.transform(indexes, lambda i: F.get(points, i))
 
 
-def minute_differences(times: Column) -> Column:
-    """Difference of each time to the one before, in minutes; one shorter than the input."""
+def minute_differences(times: Column, before: Column | None = None) -> Column:
+    """Difference of each time to the one before, in minutes; one shorter than the input, or as
+    long where ``before`` gives the time before the first."""
+    if before is not None:
+        times = F.when(before.isNull(), times).otherwise(F.concat(F.array(before), times))
     ahead = F.slice(times, F.lit(2), F.greatest(F.size(times) - 1, F.lit(0)))
     behind = F.slice(times, F.lit(1), F.greatest(F.size(times) - 1, F.lit(0)))
-    return F.zip_with(ahead, behind, lambda later, earlier: seconds_between(later, earlier) / 60.0)
+    return F.zip_with(ahead, behind, lambda later, earlier: micros_between(later, earlier) / 60e6)
 
 
 def split_at(values: Column, indexes: Column) -> Column:
@@ -126,10 +137,10 @@ def speed_class(sog: Column) -> Column:
     )
 
 
-def classed_points(motion: DataFrame, load: Load) -> DataFrame:
+def classed_points(motion: DataFrame, seconds: int = PART_SECONDS) -> DataFrame:
     """Messages with ``part`` and ``speed_class``; those without a class are left out."""
     cuts = speed_statistics(motion).select("mmsi", "q20", "q40", "q60", "q80")
-    joined = attach_per_vessel(with_part(motion, load), cuts, load)
+    joined = attach_per_vessel(with_part(motion, seconds), cuts)
     return (
         joined.withColumn("speed_class", speed_class(F.col("sog")))
         .where(F.col("speed_class").isNotNull())
@@ -137,66 +148,48 @@ def classed_points(motion: DataFrame, load: Load) -> DataFrame:
     )
 
 
-def with_segments(points: DataFrame, load: Load, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+def with_segments(points: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
     """Adds ``gap`` (more than ``gap_seconds`` since the previous point of the same vessel
     and class) and ``segment``, the running number of gaps, from 0."""
     keys = ["mmsi", "speed_class", "part"]
-    order = order_key(points)
-    window = W.partitionBy(*keys).orderBy(*order)
-    waited = seconds_between(F.col("base_dt"), F.lag("base_dt").over(window))
-    flagged = points.withColumn("_waited", waited)
-    running = F.sum((F.coalesce(F.col("_waited"), F.lit(0)) > gap_seconds).cast("int")).over(
-        window.rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    local = flagged.withColumn("_run", running.cast("int"))
-    if load.cuts is None:
-        return local.select(
-            *points.columns,
-            (F.coalesce(F.col("_waited"), F.lit(0)) > gap_seconds).alias("gap"),
-            F.col("_run").alias("segment"),
-        )
+    window = W.partitionBy(*keys).orderBy(*order_key(points))
+    before = F.lag("base_dt").over(window)
+    own = F.coalesce(more_than(F.col("base_dt"), before, gap_seconds), F.lit(False))
+    local = points.withColumns({"_gap": own, "_first": F.row_number().over(window) == 1})
+    running = F.sum(F.col("_gap").cast("int")).over(window.rowsBetween(W.unboundedPreceding, W.currentRow))
+    local = local.withColumn("_run", running.cast("int"))
 
     # One row per part: what the next part needs to know.
     ends = local.groupBy(*keys).agg(
-        F.min("base_dt").alias("_first"), F.max("base_dt").alias("_last"), F.max("_run").alias("_gaps")
+        F.min("base_dt").alias("_from"), F.max("base_dt").alias("_till"), F.max("_run").alias("_gaps")
     )
     along = W.partitionBy("mmsi", "speed_class").orderBy("part")
-    edge = F.coalesce(
-        (seconds_between(F.col("_first"), F.lag("_last").over(along)) > gap_seconds).cast("int"), F.lit(0)
-    )
+    earlier = along.rowsBetween(W.unboundedPreceding, -1)
+    last = F.last("_till", ignorenulls=True).over(earlier)
+    edge = F.coalesce(more_than(F.col("_from"), last, gap_seconds), F.lit(False))
     ends = ends.withColumn("_edge", edge)
-    before = F.sum(F.col("_gaps") + F.col("_edge")).over(along.rowsBetween(W.unboundedPreceding, -1))
-    ends = ends.select(
-        *keys, "_edge", (F.coalesce(before, F.lit(0)) + F.col("_edge")).cast("int").alias("_offset")
-    )
-    first_of_part = F.col("_waited").isNull() & (F.col("_edge") == 1)
+    so_far = F.coalesce(F.sum(F.col("_gaps") + F.col("_edge").cast("int")).over(earlier), F.lit(0))
+    ends = ends.select(*keys, "_edge", (so_far + F.col("_edge").cast("int")).cast("int").alias("_offset"))
     return local.join(ends, keys).select(
         *[F.col(c) for c in points.columns],
-        (first_of_part | (F.coalesce(F.col("_waited"), F.lit(0)) > gap_seconds)).alias("gap"),
+        (F.col("_gap") | (F.col("_first") & F.col("_edge"))).alias("gap"),
         (F.col("_run") + F.col("_offset")).alias("segment"),
     )
 
 
-def speed_segments(
-    motion: DataFrame,
-    gap_seconds: int = GAP_SECONDS,
-    load: Load | None = None,
-    max_points: int = MAX_TRACK_POINTS,
-) -> DataFrame:
+def speed_segments(motion: DataFrame, gap_seconds: int = GAP_SECONDS, seconds: int = PART_SECONDS) -> DataFrame:
     """Classed points with gap flags and segment numbers, for all vessels in one plan."""
-    load = load or measure(motion, max_points)
-    return with_segments(classed_points(motion, load), load, gap_seconds)
+    return with_segments(classed_points(motion, seconds), gap_seconds)
 
 
 def speed_polylines(segments: DataFrame) -> DataFrame:
-    """(mmsi, speed_class, segment, part, points): the [lat, lon] line of each segment. A
-    segment of a cut vessel comes as one line per part."""
-    order = order_key(segments)
-    ordered = F.sort_array(
-        F.collect_list(F.struct(*dict.fromkeys([*order, "lat", "lon"])))
-    )
+    """(mmsi, speed_class, segment, part, first_idx, points): the [lat, lon] line of each segment, a row
+    for each time step; ``first_idx`` is the place of the row's first point in the whole line."""
+    keys = ["mmsi", "speed_class", "segment"]
+    ordered = F.sort_array(F.collect_list(F.struct(*dict.fromkeys([*order_key(segments), "lat", "lon"]))))
     line = F.transform(ordered, lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon")))
-    return segments.groupBy("mmsi", "speed_class", "segment", "part").agg(line.alias("points"))
+    lines = segments.groupBy(*keys, "part").agg(line.alias("points"))
+    return lines.join(part_places(segments, *keys), [*keys, "part"]).select(*keys, "part", "first_idx", "points")
 
 
 def segment_summary(segments: DataFrame) -> DataFrame:

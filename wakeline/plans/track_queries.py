@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wakeline.functions.codes import speed_colour
 from wakeline.operators.geosets import MOVING, geo_sets, members
-from wakeline.operators.parts import attach_per_vessel, measure, with_part
+from wakeline.operators.parts import attach_per_vessel, with_part
 from wakeline.operators.series import (
     last_hour_lines,
     latest_samples,
@@ -43,7 +44,7 @@ from wakeline.plans.registry import (
 )
 from wakeline.schema import SPEED_COLOURS
 
-PLACE = "CAST(row_number() OVER (PARTITION BY mmsi ORDER BY base_dt, seq) - 1 AS INT) AS idx"
+PLACE = "row_number() OVER (PARTITION BY mmsi ORDER BY base_dt, seq) - 1 AS idx"
 
 
 def tracks(spark, sf_dir):
@@ -65,9 +66,9 @@ def a1(spark, sf_dir):
 def a1_parallel(spark, sf_dir):
     arrays = parallel_arrays(tracks(spark, sf_dir))
     zipped = F.arrays_zip("base_dts", "lats", "lons", "sogs", "statuses")
-    return arrays.select("mmsi", F.posexplode(zipped).alias("idx", "p")).select(
+    return arrays.select("mmsi", "first_idx", F.posexplode(zipped).alias("pos", "p")).select(
         "mmsi",
-        "idx",
+        (F.col("first_idx") + F.col("pos")).alias("idx"),
         F.col("p.base_dts").alias("base_dt"),
         F.col("p.lats").alias("lat"),
         F.col("p.lons").alias("lon"),
@@ -96,9 +97,8 @@ _statistics("a6_speed_quintiles", ["q20", "q40", "q60", "q80"])
 )
 def j8(spark, sf_dir):
     rows = motion(spark, sf_dir)
-    load = measure(rows)
     cuts = speed_statistics(rows).select("mmsi", "q20", "q40", "q60", "q80")
-    return attach_per_vessel(with_part(rows, load), cuts, load).select(
+    return attach_per_vessel(with_part(rows), cuts).select(
         "mmsi", "seq", "sog", "q20", "q40", "q60", "q80"
     )
 
@@ -109,7 +109,7 @@ def j8(spark, sf_dir):
 )
 def w1(spark, sf_dir):
     rows = motion(spark, sf_dir)
-    return classed_points(rows, measure(rows)).select("mmsi", "seq", "sog", "speed_class")
+    return classed_points(rows).select("mmsi", "seq", "sog", "speed_class")
 
 
 def segments(spark, sf_dir):
@@ -127,17 +127,16 @@ def w3(spark, sf_dir):
 
 
 LINE_ROWS = (
-    "SELECT mmsi, speed_class, segment, CAST(row_number() OVER (PARTITION BY mmsi, speed_class, segment "
-    "ORDER BY base_dt, seq) - 1 AS INT) AS idx, lat, lon FROM segments"
+    "SELECT mmsi, speed_class, segment, row_number() OVER (PARTITION BY mmsi, speed_class, segment "
+    "ORDER BY base_dt, seq) - 1 AS idx, lat, lon FROM segments"
 )
 
 
 @register("w4_speed_polylines", on_segments(LINE_ROWS))
 def w4(spark, sf_dir):
     lines = speed_polylines(segments(spark, sf_dir))
-    return lines.select("mmsi", "speed_class", "segment", F.posexplode("points").alias("idx", "p")).select(
-        "mmsi", "speed_class", "segment", "idx", "p.*"
-    )
+    points = lines.select("mmsi", "speed_class", "segment", "first_idx", F.posexplode("points").alias("pos", "p"))
+    return points.select("mmsi", "speed_class", "segment", (F.col("first_idx") + F.col("pos")).alias("idx"), "p.*")
 
 
 @register(
@@ -161,7 +160,7 @@ def x3(spark, sf_dir):
 )
 def u2(spark, sf_dir):
     rows = motion(spark, sf_dir)
-    counted = classed_points(rows, measure(rows)).groupBy("speed_class").agg(F.count(F.lit(1)).alias("n"))
+    counted = classed_points(rows).groupBy("speed_class").agg(F.count(F.lit(1)).alias("n"))
     return counted.select("speed_class", speed_colour(F.col("speed_class")).alias("colour"), "n")
 
 
@@ -187,47 +186,59 @@ def p7_arrays(spark, sf_dir):
     ),
 )
 def f13(spark, sf_dir):
-    ends = F.array(F.lit(0), F.size("points") - 1)
+    # Places in the whole track, as seen from the part; those in other parts come out NULL here.
+    ends = F.array(-F.col("first_idx"), F.col("n_points") - 1 - F.col("first_idx")).cast("array<int>")
     picked = tracks(spark, sf_dir).select("mmsi", F.posexplode(points_at(F.col("points"), ends)).alias("k", "p"))
-    return picked.select("mmsi", F.when(F.col("k") == 0, "first").otherwise("last").alias("idx"), "p.lat", "p.lon")
+    return picked.where("p IS NOT NULL").select("mmsi", F.when(F.col("k") == 0, "first").otherwise("last").alias("idx"), "p.lat", "p.lon")
 
 
 @register(
     "f14_minute_differences",
     on_motion(
-        "SELECT mmsi, CAST(place - 1 AS INT) AS idx, round(epoch_us(base_dt - before) / 60e6, 6) AS minutes FROM ("
+        "SELECT mmsi, place - 1 AS idx, round(epoch_us(base_dt - before) / 60e6, 6) AS minutes FROM ("
         "SELECT *, lag(base_dt) OVER v AS before, row_number() OVER v - 1 AS place "
         "FROM motion WINDOW v AS (PARTITION BY mmsi ORDER BY base_dt, seq)) WHERE before IS NOT NULL"
     ),
 )
 def f14(spark, sf_dir):
-    steps = minute_differences(F.col("points")["base_dt"])
+    steps = minute_differences(F.col("points")["base_dt"], F.col("before_dt"))
+    first = F.col("first_idx") - F.col("before_dt").isNotNull().cast("bigint")
     return (
         tracks(spark, sf_dir)
-        .select("mmsi", F.posexplode(steps).alias("idx", "minutes"))
-        .withColumn("minutes", F.round("minutes", 6))
+        .select("mmsi", first.alias("first"), F.posexplode(steps).alias("pos", "minutes"))
+        .select("mmsi", (F.col("first") + F.col("pos")).alias("idx"), F.round("minutes", 6).alias("minutes"))
     )
 
 
 @register(
     "f15_split_at_gaps",
     on_motion(
-        "SELECT mmsi, CAST(piece AS INT) AS piece, count(*) AS n FROM ("
+        "SELECT mmsi, CAST(piece AS BIGINT) AS piece, count(*) AS n FROM ("
         "SELECT mmsi, sum(cut) OVER (PARTITION BY mmsi ORDER BY base_dt, seq ROWS UNBOUNDED PRECEDING) AS piece FROM ("
         "SELECT *, CASE WHEN base_dt - lag(base_dt) OVER (PARTITION BY mmsi ORDER BY base_dt, seq) > INTERVAL 2 MINUTE "
         "THEN 1 ELSE 0 END AS cut FROM motion)) GROUP BY ALL"
     ),
 )
 def f15(spark, sf_dir):
+    shift = F.when(F.col("before_dt").isNull(), 1).otherwise(0)
     places = F.filter(
         F.transform(
-            minute_differences(F.col("points")["base_dt"]),
-            lambda minutes, i: F.when(minutes > 2.0, i + 1),
+            minute_differences(F.col("points")["base_dt"], F.col("before_dt")),
+            lambda minutes, i: F.when(minutes > 2.0, i + shift),
         ),
         lambda i: i.isNotNull(),
     )
-    pieces = tracks(spark, sf_dir).select("mmsi", F.posexplode(split_at(F.col("points"), places)).alias("piece", "p"))
-    return pieces.select("mmsi", "piece", F.size("p").cast("bigint").alias("n"))
+    cut = tracks(spark, sf_dir).select("mmsi", "part", "points", places.alias("places"))
+    earlier = W.partitionBy("mmsi").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    before = cut.select("mmsi", "part", F.size("places").alias("n")).select(
+        "mmsi", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    pieces = cut.join(before, ["mmsi", "part"]).select(
+        "mmsi", "before", F.posexplode(split_at(F.col("points"), F.col("places"))).alias("pos", "p")
+    )
+    # A piece that goes on over a part's edge is counted in both parts.
+    sized = pieces.select("mmsi", (F.col("before") + F.col("pos")).alias("piece"), F.size("p").alias("n"))
+    return sized.groupBy("mmsi", "piece").agg(F.sum("n").alias("n"))
 
 
 @register("f16_zip_lat_lon", on_motion(f"SELECT mmsi, {PLACE}, lat, lon FROM motion"))
@@ -235,8 +246,8 @@ def f16(spark, sf_dir):
     points = lat_lon_points(F.col("lats"), F.col("lons"))
     return (
         parallel_arrays(tracks(spark, sf_dir))
-        .select("mmsi", F.posexplode(points).alias("idx", "p"))
-        .select("mmsi", "idx", "p.*")
+        .select("mmsi", "first_idx", F.posexplode(points).alias("pos", "p"))
+        .select("mmsi", (F.col("first_idx") + F.col("pos")).alias("idx"), "p.*")
     )
 
 
@@ -271,7 +282,7 @@ def t4(spark, sf_dir):
 
 @register(
     "t5_series_range",
-    on_calendar("SELECT label, ts_ms, value FROM series WHERE mmsi = 366000007 AND label = 'Lat' ORDER BY ts_ms", LONG_SQL),
+    on_calendar("SELECT label, ts_ms, value FROM series WHERE mmsi = 366000007 AND label = 'Lat' ORDER BY base_dt, seq", LONG_SQL),
 )
 def t5(spark, sf_dir):
     return series_range(long_series(calendar(spark, sf_dir)), 366000007, "Lat").select("label", "ts_ms", "value")
@@ -280,8 +291,8 @@ def t5(spark, sf_dir):
 @register(
     "t7_latest_samples",
     on_calendar(
-        "SELECT mmsi, label, last(ts_ms ORDER BY ts_ms, base_dt, seq) AS ts_ms, "
-        "last(value ORDER BY ts_ms, base_dt, seq) AS value FROM series GROUP BY mmsi, label",
+        "SELECT mmsi, label, last(ts_ms ORDER BY base_dt, seq) AS ts_ms, "
+        "last(value ORDER BY base_dt, seq) AS value FROM series GROUP BY mmsi, label",
         LONG_SQL,
     ),
 )

@@ -76,9 +76,9 @@ KM_PER_MILE = 1.609344
 WGS84_A, WGS84_F = 6378137.0, 1 / 298.257223563
 GEOHASH_LAT_LIMIT = 85.05112878
 
-# A vessel with more points than this is cut into time-ordered parts, so that no task and
-# no array ever has to hold one vessel whole.
-MAX_TRACK_POINTS = 100_000
+# Vessels are cut into parts of this time step, so that no task and no array ever has to
+# hold one vessel whole. Results do not depend on it.
+PART_SECONDS = 3600
 # Tables up to this many short rows (about 100 MB in memory) may be broadcast; every use
 # counts the rows first and has a shuffle join for the larger case.
 BROADCAST_ROWS = 1_000_000
