@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
@@ -10,9 +11,9 @@ from wakeline.operators.polygons import lat_lon_rings, ring_points, with_polygon
 from wakeline.operators.tracks import build_tracks
 from wakeline.operators.vessels import with_vessel_group
 from wakeline.plans import flows
-from wakeline.sources.layers import read_polygons, write_polygons
+from wakeline.sources.layers import read_polygons, unread, write_polygons
 from wakeline.sources.messages import read_ais_csv, read_metadata_csv, write_metadata_csv
-from wakeline.sources.scratch import SETTING, materialise, scratch_path
+from wakeline.sources.scratch import SETTING, materialise, release, scratch_path
 from wakeline.sources.tables import (
     read_day,
     read_group,
@@ -130,13 +131,51 @@ def test_polygon_layers(spark, tmp_path, rows):
     assert rows(whole) == rows(lines)
     kept = ring_points(lat_lon_rings(with_polygon_class(lines)))
     assert rows(kept.where("vtx = 1"), "feature_id", "polygon_class", "lat", "lon") == [
-        (1, "precautionary_area", 48.0, -122.9), (2, "lane", 48.0, -122.9)
+        ("1", "precautionary_area", 48.0, -122.9), ("2", "lane", 48.0, -122.9)
     ]
     assert kept.count() == 8
     write_polygons(lines, str(tmp_path / "out"))
     assert rows(read_polygons(spark, str(tmp_path / "out"))) == rows(lines)
 
 
+def test_polygon_parts_and_odd_lines(spark, tmp_path, rows):
+    features = [_feature("a7", "96", [[RING], [HOLE]], "MultiPolygon"), _feature("b", "96", [-123.0, 48.0], "Point")]
+    path = tmp_path / "l.json"
+    path.write_text("\n".join([*(json.dumps(f) for f in features), "{broken", ""]))
+    assert rows(ring_points(read_polygons(spark, str(path))).groupBy("feature_id").count()) == [("a7", 8)]
+    assert rows(unread(spark, str(path))) == [("{broken",)]
+
+
+def test_group_folders_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "groups")
+    meta = with_vessel_group(spark.createDataFrame([(1, 52), (2, None)], "mmsi int, vessel_type int"))
+    df = track(spark, 1, [(0, 5.0)]).unionByName(track(spark, 2, [(0, 5.0)]))
+    for period in ("3m", "3y", "3m"):
+        write_groups(build_tracks(df), meta, period, path)
+    assert {r.period: r["count"] for r in spark.read.parquet(path).groupBy("period").count().collect()} == {"3m": 3, "3y": 3}
+
+
+def test_a_name_stands_for_one_folder(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(3).write.parquet(a)
+    spark.range(7).write.parquet(b)
+    assert register_table(spark, "one_folder", a).count() == 3
+    with pytest.raises(ValueError):
+        register_table(spark, "one_folder", b)
+
+
+def test_metadata_numbers_as_other_tools_write_them(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("mmsi,vessel_type,l\n1,36.0,12.5\n2,,x\n3,70,\n4,36.5,1\n")
+    found = {r.mmsi: (r.vessel_type, r.l) for r in read_metadata_csv(spark, str(tmp_path / "m.csv")).collect()}
+    assert found == {1: (36, 12.5), 2: (None, None), 3: (70, None), 4: (None, 1.0)}
+
+
+def test_released_tables_are_gone(spark):
+    stored = materialise(spark.range(5), "numbers")
+    path = stored.inputFiles()[0]
+    assert release(spark) > 0 and not os.path.exists(path.removeprefix("file://"))
+
+
 class _Cluster:
     """Looks like a session on a cluster."""
 
@@ -144,14 +183,13 @@ class _Cluster:
         master = "yarn"
 
     def __init__(self, setting):
-        self.conf = {SETTING: setting} if setting else {}
+        self.conf = {SETTING: setting} if setting else {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
 
 
 def test_scratch_is_the_shared_folder(spark, tmp_path):
     assert scratch_path(spark, "x").startswith(spark.conf.get(SETTING))
     assert scratch_path(_Cluster("hdfs:///shared/"), "x").startswith("hdfs:///shared/wakeline/x-")
-    with pytest.raises(RuntimeError):
-        scratch_path(_Cluster(None), "x")
+    assert scratch_path(_Cluster(None), "x").startswith("hdfs:///warehouse/wakeline/x-")
 
 
 def test_materialise_reads_a_table(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.frames import SCHEMA, START, track
 from wakeline.functions.timefn import ntz, slot_end
 from wakeline.operators.geosets import latest_positions
-from wakeline.streaming.live import last_hour_activity, latest_by_slot, run_to_table
+from wakeline.streaming.live import last_hour_activity, latest_by_slot, run_to_end, run_to_table
 
 
 def replay(spark, tmp_path, *batches):
@@ -43,3 +43,12 @@ def test_last_hour_activity(spark, tmp_path):
     assert found[START + timedelta(minutes=31)].n_points == 2
     assert found[START + timedelta(minutes=61)].n_points == 1
     assert START + timedelta(minutes=151) not in found
+
+
+def test_open_windows_come_out_too(spark, tmp_path, rows):
+    df = track(spark, 1, [(s, 5.0) for s in range(0, 7200, 45)])
+    live = replay(spark, tmp_path, df)
+    slots = run_to_end(latest_by_slot(live), latest_by_slot(df), F.col("slot_start") + F.expr("INTERVAL 1 MINUTE"), "slots")
+    assert rows(slots) == rows(latest_by_slot(df)) and slots.count() == 120
+    hours = run_to_end(last_hour_activity(live), last_hour_activity(df), F.col("window_end"), "hours")
+    assert rows(hours) == rows(last_hour_activity(df))

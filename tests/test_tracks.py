@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from tests.frames import START, track
 from wakeline.operators import parts
-from wakeline.operators.parts import Load, measure, with_part
+from wakeline.operators.parts import with_part, without_id
 from wakeline.operators.series import retain
 from wakeline.operators.tracks import (
     build_tracks,
     classed_points,
+    minute_differences,
     parallel_arrays,
     segment_summary,
     speed_polylines,
@@ -53,14 +54,14 @@ def test_vessel_that_never_moves_has_no_classes(spark, rows):
 def test_class_edges(spark, rows):
     # Cut points of 1..6 are exactly 2, 3, 4, 5.
     df = track(spark, 1, [(i * 60, s) for i, s in enumerate([0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, None, -1.0])])
-    assert rows(classed_points(df, Load(1)), "sog", "speed_class") == [
+    assert rows(classed_points(df), "sog", "speed_class") == [
         (0.0, 0), (1.0, 0), (2.0, 1), (3.0, 2), (4.0, 3), (5.0, 4), (6.0, 4)
     ]
 
 
 def test_all_speeds_equal_is_the_top_class(spark, rows):
     df = track(spark, 1, [(0, 5.0), (60, 5.0)])
-    assert rows(classed_points(df, Load(1)), "speed_class") == [(4,), (4,)]
+    assert rows(classed_points(df), "speed_class") == [(4,), (4,)]
 
 
 def test_gap_is_strictly_more_than_two_minutes(spark, rows):
@@ -97,47 +98,60 @@ def _busy(spark):
     return frames
 
 
+@pytest.mark.parametrize("seconds", [1, 60, 3600])
 @pytest.mark.parametrize("shuffled", [False, True])
-def test_cut_vessels_give_the_same_result(spark, rows, monkeypatch, shuffled):
+def test_the_time_step_does_not_change_results(spark, rows, monkeypatch, shuffled, seconds):
     if shuffled:  # too many vessels for a broadcast
         monkeypatch.setattr(parts, "BROADCAST_ROWS", 0)
     df = _busy(spark)
-    load = measure(df, max_points=50)
-    assert load.cut_vessels == 1 and load.vessels == 5
-    whole = Load(5)
-
-    sizes = with_part(df, load).groupBy("mmsi", "part").count().collect()
-    assert len([r for r in sizes if r.mmsi == 1]) > 20
-    assert max(r["count"] for r in sizes) <= 50
-    assert {r.part for r in sizes if r.mmsi != 1} == {0}
+    whole = 10**9
+    assert with_part(df, seconds).select("part").distinct().count() > 1
+    assert with_part(df, whole).select("part").distinct().count() == 1
 
     columns = ("mmsi", "seq", "speed_class", "gap", "segment")
-    assert rows(speed_segments(df, load=load), *columns) == rows(speed_segments(df, load=whole), *columns)
-    assert rows(segment_summary(speed_segments(df, load=load))) == rows(segment_summary(speed_segments(df, load=whole)))
-    assert rows(retain(df, load=load), "seq") == rows(retain(df, load=whole), "seq")
-
-    def in_order(tracks):
-        found = {}
-        for r in tracks.orderBy("mmsi", "part").collect():
-            found.setdefault(r.mmsi, []).extend(p.seq for p in r.points)
-        return found
+    cut, uncut = speed_segments(df, seconds=seconds), speed_segments(df, seconds=whole)
+    assert rows(cut, *columns) == rows(uncut, *columns)
+    assert rows(segment_summary(cut)) == rows(segment_summary(uncut))
 
-    assert in_order(build_tracks(df, load)) == in_order(build_tracks(df, whole))
+    places = ("mmsi", "idx", "seq")
+    points = rows(track_points(build_tracks(df, seconds)), *places)
+    assert points == rows(track_points(build_tracks(df, whole)), *places)
+    assert [idx for mmsi, idx, _ in points if mmsi == 2] == sorted(range(40), key=lambda i: repr((2, i)))
 
     def lines(segments):
-        found = {}
-        for r in speed_polylines(segments).orderBy("part").collect():
-            found.setdefault((r.mmsi, r.speed_class, r.segment), []).extend((p.lat, p.lon) for p in r.points)
-        return found
+        each = speed_polylines(segments).select("*", F.posexplode("points").alias("pos", "p"))
+        return rows(each, "mmsi", "speed_class", "segment", F.col("first_idx") + F.col("pos"), "p.lat", "p.lon")
+
+    assert lines(cut) == lines(uncut)
+
+
+def test_differences_cross_the_edges_of_steps(spark):
+    df = track(spark, 1, [(0, 5.0), (90, 5.0), (4000, 5.0), (4030, 5.0)])
+    parts_ = build_tracks(df, 60).orderBy("part")
+    found = parts_.select(minute_differences(F.col("points")["base_dt"], F.col("before_dt")).alias("d")).collect()
+    assert [x for r in found for x in r.d] == pytest.approx([1.5, 3910 / 60, 0.5])
+
+
+def test_a_burst_makes_no_more_parts_than_steps(spark):
+    df = track(spark, 1, [(0, 5.0)] * 300 + [(i * 60, 5.0) for i in range(120)])
+    assert build_tracks(df).count() == 2
+    assert build_tracks(df).agg(F.sum(F.size("points")), F.max("n_points")).first() == (420, 420)
+
 
-    assert lines(speed_segments(df, load=load)) == lines(speed_segments(df, load=whole))
+def test_rows_without_id_belong_to_no_vessel(spark, rows):
+    df = track(spark, 1, [(0, 5.0), (60, 6.0)])
+    both = df.unionByName(df.withColumn("mmsi", F.lit(None).cast("int")))
+    assert without_id(both).count() == 2
+    assert rows(track_points(build_tracks(both)), "mmsi", "idx") == [(1, 0), (1, 1)]
+    assert rows(speed_segments(both), "mmsi") == [(1,), (1,)]
+    assert rows(retain(both), "mmsi") == [(1,), (1,)]
 
 
-def test_second_of_a_shared_id_is_kept_whole(spark):
-    df = track(spark, 1, [(0, 5.0)] * 30 + [(3600, 5.0)] * 30)
-    load = measure(df, max_points=10)
-    assert sorted(r["count"] for r in with_part(df, load).groupBy("part").count().collect()) == [30, 30]
-    assert build_tracks(df, load).agg(F.sum(F.size("points"))).first()[0] == 60
+def test_fractions_of_a_second_count(spark, rows):
+    df = track(spark, 1, [(0, 5.0), (120.5, 5.0), (240.5, 5.0)])
+    assert rows(speed_segments(df), "seq", "gap") == [(0, False), (1, True), (2, False)]
+    late = track(spark, 1, [(0, 5.0), (0.6, 5.0), (3600.5, 5.0)])
+    assert rows(retain(late), "seq") == [(1,), (2,)]
 
 
 def test_segments_cover_all_classed_points(spark):

@@ -96,8 +96,8 @@ def test_index_sentinels(spark, rows):
 def test_terms_match_whole_words_in_any_case(spark, rows):
     assert rows(term_search(index(spark), "CARGO")) == [(11,)]
     assert rows(term_search(index(spark), "car")) == []
-    assert rows(group_page(index(spark), "unknown", offset=0, size=1)) == [(12,)]
-    assert rows(group_page(index(spark), "unknown", offset=1, size=1)) == []
+    assert rows(group_page(index(spark), "unknown", size=1)) == [(12,)]
+    assert rows(group_page(index(spark), "unknown", after=12, size=1)) == []
 
 
 def test_upsert_keeps_the_last_version(spark, rows):

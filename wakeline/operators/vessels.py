@@ -108,9 +108,14 @@ def ids_by_group(documents: DataFrame) -> DataFrame:
     return documents.select("vessel_group", strip_doc_prefix(F.col("doc_id")).cast("int").alias("mmsi"))
 
 
-def group_page(documents: DataFrame, group: str, offset: int = 0, size: int = 5000) -> DataFrame:
-    """One page of a group's ids in id order."""
-    return term_search(documents, group).orderBy("mmsi").offset(offset).limit(size)
+def group_page(documents: DataFrame, group: str, after: int | None = None, size: int | None = None) -> DataFrame:
+    """A group's ids in id order: all of them, or the first ``size`` beyond the id ``after`` (the last of
+    the page before). A deep page reads no more than the first."""
+    found = term_search(documents, group)
+    if after is not None:
+        found = found.where(F.col("mmsi") > after)
+    found = found.orderBy("mmsi")
+    return found if size is None else found.limit(size)
 
 
 def group_of_id(memberships: DataFrame) -> DataFrame:

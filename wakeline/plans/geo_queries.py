@@ -49,7 +49,7 @@ from wakeline.plans.registry import (
 from wakeline.plans.testbed import ais, messages_from, polygons
 from wakeline.sources.layers import read_polygons, write_polygons
 from wakeline.sources.scratch import materialise, scratch_path
-from wakeline.streaming.live import last_hour_activity, latest_by_slot, run_to_table
+from wakeline.streaming.live import last_hour_activity, latest_by_slot, run_to_end
 
 LAT0, LON0, WIDE = 48.0, -122.75, 30.0
 
@@ -357,7 +357,8 @@ KEPT = "WHERE objl IN ('96', '150', '148', '152')"
 def s9(spark, sf_dir):
     path = scratch_path(spark, "polygons")
     write_polygons(polygons(spark, sf_dir), path)
-    return _round(ring_points(read_polygons(spark, path)), 6, "lon", "lat")
+    layer = read_polygons(spark, path).withColumn("feature_id", F.col("feature_id").cast("int"))
+    return _round(ring_points(layer), 6, "lon", "lat")
 
 
 @register("p14_polygon_class", on_polygons(f"SELECT DISTINCT feature_id, objl, {CLASS_CASE} FROM lane_polygons {KEPT}"))
@@ -391,13 +392,15 @@ def u2_polygons(spark, sf_dir):
 
 
 def live_messages(spark, sf_dir):
-    """The messages as a stream over the same files."""
+    """The messages as a stream over the same files, some at a time."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    # The pattern matches this one table; a stream does not take the name of a single file.
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{sf_dir}/events.parque[t]")
     return messages_from(events)
 
 
-CLOSED = "(SELECT max(base_dt) - INTERVAL 10 MINUTE FROM ais)"
+def messages_at_rest(spark, sf_dir):
+    return messages_from(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 @register(
@@ -405,11 +408,12 @@ CLOSED = "(SELECT max(base_dt) - INTERVAL 10 MINUTE FROM ais)"
     on_ais(
         "SELECT slot_start, mmsi, last(lat ORDER BY base_dt, seq) AS lat, last(lon ORDER BY base_dt, seq) AS lon FROM "
         "(SELECT *, date_trunc('minute', base_dt) AS slot_start FROM ais) "
-        f"WHERE slot_start + INTERVAL 1 MINUTE <= {CLOSED} GROUP BY slot_start, mmsi"
+        "GROUP BY slot_start, mmsi"
     ),
 )
 def st1(spark, sf_dir):
-    return run_to_table(latest_by_slot(live_messages(spark, sf_dir)), "latest-by-slot")
+    live, still = latest_by_slot(live_messages(spark, sf_dir)), latest_by_slot(messages_at_rest(spark, sf_dir))
+    return run_to_end(live, still, F.col("slot_start") + F.expr("INTERVAL 1 MINUTE"), "latest-by-slot")
 
 
 @register(
@@ -418,11 +422,12 @@ def st1(spark, sf_dir):
         "SELECT window_end, mmsi, count(*) AS n_points, min(base_dt) AS first_dt, max(base_dt) AS last_dt FROM "
         "(SELECT mmsi, base_dt, unnest(generate_series(1, 60)) AS k FROM ais), "
         "LATERAL (SELECT date_trunc('minute', base_dt) + to_minutes(k) AS window_end) "
-        f"WHERE window_end <= {CLOSED} GROUP BY window_end, mmsi"
+        "GROUP BY window_end, mmsi"
     ),
 )
 def st2(spark, sf_dir):
-    return run_to_table(last_hour_activity(live_messages(spark, sf_dir)), "last-hour")
+    live, still = last_hour_activity(live_messages(spark, sf_dir)), last_hour_activity(messages_at_rest(spark, sf_dir))
+    return run_to_end(live, still, F.col("window_end"), "last-hour")
 
 
 # --- flagship -------------------------------------------------------------------------

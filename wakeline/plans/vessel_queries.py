@@ -392,7 +392,7 @@ def t3(spark, sf_dir):
 @register(
     "o5_group_page",
     on_docs(
-        "SELECT CAST(substr(doc_id, 6) AS INT) AS mmsi FROM docs WHERE vessel_group = 'cargo' ORDER BY 1 LIMIT 5000"
+        "SELECT CAST(substr(doc_id, 6) AS INT) AS mmsi FROM docs WHERE vessel_group = 'cargo' ORDER BY 1"
     ),
 )
 def o5(spark, sf_dir):

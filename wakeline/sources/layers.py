@@ -6,17 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FEATURE = (
-    "id INT, properties STRUCT<OBJL: STRING>, "
-    "geometry STRUCT<type: STRING, coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>"
+    "id STRING, properties STRUCT<OBJL: STRING>, "
+    "geometry STRUCT<type: STRING, coordinates: STRING>"
 )
+_RING = "array<array<double>>"
 
 
 def _layer(features: DataFrame) -> DataFrame:
-    exterior = F.col("geometry.coordinates")[0]
-    ring = F.transform(exterior, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat")))
-    return features.where(F.col("geometry.type") == "Polygon").select(
-        F.col("id").alias("feature_id"), F.col("properties.OBJL").alias("objl"), ring.alias("ring")
-    )
+    """A row for each polygon: a MultiPolygon gives several rows of one feature. Geometries of
+    other types have no ring and are left out; ``unread`` has the lines that are no feature."""
+    text, kind = F.col("geometry.coordinates"), F.col("geometry.type")
+    one = F.array(F.from_json(text, f"array<{_RING}>"))
+    polygons = F.when(kind == "Polygon", one).when(kind == "MultiPolygon", F.from_json(text, f"array<array<{_RING}>>"))
+    each = features.select("id", "properties", F.explode(polygons).alias("polygon"))
+    ring = F.transform(F.get("polygon", F.lit(0)), lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat")))
+    return each.select(F.col("id").alias("feature_id"), F.col("properties.OBJL").alias("objl"), ring.alias("ring"))
+
+
+def unread(spark: SparkSession, path: str) -> DataFrame:
+    """(line): the lines of a one-feature-per-line file that are not a feature with a geometry."""
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    parsed = F.from_json("line", "type STRING, geometry STRUCT<type: STRING, coordinates: STRING>")
+    return lines.where((F.trim("line") != "") & parsed["geometry"]["type"].isNull())
 
 
 def read_polygons(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
@@ -29,7 +40,7 @@ def read_polygons(spark: SparkSession, path: str, collection: bool = False) -> D
 
 
 def _as_struct(ddl: str) -> str:
-    return ddl.replace("id INT", "id: INT").replace("properties STRUCT", "properties: STRUCT").replace(
+    return ddl.replace("id STRING", "id: STRING").replace("properties STRUCT", "properties: STRUCT").replace(
         "geometry STRUCT", "geometry: STRUCT"
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,14 @@ def write_metadata_csv(meta: DataFrame, path: str) -> None:
     meta.write.option("header", True).option("nullValue", "").option("emptyValue", '""').csv(path)
 
 
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """Text as ``kind``, NULL where it does not fit; ``36.0`` is a whole number."""
+    if isinstance(kind, T.IntegerType):
+        number = text.try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    return text.try_cast(kind)
+
+
 def read_metadata_csv(spark: SparkSession, path: str, rename: dict[str, str] | None = None) -> DataFrame:
     """Metadata bound by header name, whatever the column order in the file; ``rename``
     maps header names to ours."""
@@ -56,6 +64,6 @@ def read_metadata_csv(spark: SparkSession, path: str, rename: dict[str, str] | N
     columns = []
     for header in text.columns:
         name = rename.get(header, header)
-        column = F.col(header).cast(types.get(name, T.StringType()))
+        column = _typed(F.col(f"`{header}`"), types.get(name, T.StringType()))
         columns.append((missing_number_to_null(column) if name in MEAN_COLUMNS else column).alias(name))
     return text.select(*columns)

@@ -58,7 +58,8 @@ def write_by_day(df: DataFrame, path: str) -> None:
 
 def write_groups(tracks: DataFrame, meta: DataFrame, period: str, path: str) -> None:
     """Tracks of every vessel group in one job, in ``period=/vessel_group=`` folders. A
-    vessel in two groups is in both folders; one in no group is left out."""
+    vessel in two groups is in both folders; one in no group is left out. A folder that gets rows is
+    replaced, so a second run for a period leaves the same rows; other folders stay."""
     memberships = group_memberships(meta)
     (
         tracks.join(memberships, "mmsi")
@@ -66,7 +67,8 @@ def write_groups(tracks: DataFrame, meta: DataFrame, period: str, path: str) ->
         # Rebalancing splits a group that holds a large share of the tracks.
         .hint("rebalance", "vessel_group")
         .write.partitionBy("period", "vessel_group")
-        .mode("append")
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
 
@@ -78,9 +80,20 @@ def read_group(spark: SparkSession, path: str, vessel_group: str = "cargo", peri
     )
 
 
+def _place(spark: SparkSession, path: str) -> str:
+    """The full form of a path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
+
+
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Makes a (partitioned) Parquet folder known to the catalog under ``name``."""
-    if not spark.catalog.tableExists(name):
+    """Makes a (partitioned) Parquet folder known to the catalog under ``name``; a name that stands for
+    another folder is an error."""
+    if spark.catalog.tableExists(name):
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+        if _place(spark, described.data_type) != _place(spark, path):
+            raise ValueError(f"{name} is already the name of {described.data_type}")
+    else:
         spark.catalog.createTable(name, path=path, source="parquet")
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)

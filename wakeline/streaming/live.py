@@ -7,10 +7,12 @@ one, and the partial aggregation runs before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.functions.timefn import instant, wall_clock
+from wakeline.functions.timefn import instant, ntz, wall_clock
 from wakeline.operators.motion import order_key
 from wakeline.schema import HOUR_SECONDS, MINUTE_SECONDS
 from wakeline.sources.scratch import scratch_path
@@ -69,6 +71,20 @@ def last_hour_activity(
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     """Runs a stream over what its source holds now, appends the closed windows to a
     Parquet table in the shared folder and returns a scan of it."""
+    return _run(stream, label)[0]
+
+
+def run_to_end(stream: DataFrame, batch: DataFrame, end: Column, label: str) -> DataFrame:
+    """Closed windows from the stream and the ones that are still open from ``batch``, the same
+    aggregation over the same messages at rest. ``end`` is a window's end as UTC wall clock: what ends by the
+    stream's last watermark is closed, so only rows that came too late are in neither."""
+    closed, watermark = _run(stream, label)
+    if watermark is not None:
+        batch = batch.where(end > ntz(watermark))
+    return closed.unionByName(batch)
+
+
+def _run(stream: DataFrame, label: str) -> tuple[DataFrame, datetime | None]:
     spark = stream.sparkSession
     out = scratch_path(spark, label)
     query = (
@@ -80,4 +96,6 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
+    watermark = datetime.fromisoformat(max(marks)).replace(tzinfo=None) if marks else None
+    return spark.read.schema(stream.schema).parquet(out), watermark
