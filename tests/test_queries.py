@@ -12,6 +12,8 @@ from tools.check import SAME, bag
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = catalog.QUERIES, catalog.SQL
+#: Read only the days they ask for.
+PRUNED = ("s3_day_partition_read", "p4_minute_snapshot", "p5_hour_snapshot", "p12_near_place_and_time")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
 
@@ -48,6 +50,8 @@ def test_query(spark, db, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for word in ("PythonUDF", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan
+    if name in PRUNED:
+        assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
     want = db.sql(SQL[name])
     assert {f.name: SAME[f.dataType.simpleString()] for f in df.schema} == dict(zip(want.columns, map(str, want.types)))
     assert bag(df.columns, rows) == bag(want.columns, want.fetchall())

@@ -18,6 +18,7 @@ from wakeline.sources.tables import (
     read_day,
     read_group,
     register_table,
+    upsert_stored,
     write_by_day,
     write_by_time,
     write_groups,
@@ -170,6 +171,26 @@ def test_metadata_numbers_as_other_tools_write_them(spark, tmp_path):
     assert found == {1: (36, 12.5), 2: (None, None), 3: (70, None), 4: (None, 1.0)}
 
 
+def test_upsert_replaces_touched_folders_only(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    schema = "doc_id string, v int, length double"
+    first = spark.createDataFrame([(f"meta_{i}", 1, float(i)) for i in range(40)], schema)
+    upsert_stored(spark, path, first, ["v"], buckets=8)
+    times = {f: os.path.getmtime(f) for f in map(str, (tmp_path / "docs").rglob("*.parquet"))}
+    fresh = spark.createDataFrame([("meta_3", 2, 99.0), ("meta_3", 0, 0.0), ("meta_new", 1, 5.0)], schema)
+    upsert_stored(spark, path, fresh, ["v"], buckets=8)
+    found = {r.doc_id: r.length for r in spark.read.parquet(path).collect()}
+    assert len(found) == 41 and found["meta_3"] == 99.0 and found["meta_new"] == 5.0 and found["meta_4"] == 4.0
+    kept = [f for f, t in times.items() if os.path.exists(f) and os.path.getmtime(f) == t]
+    assert len(kept) >= len(times) - 2 > 0
+
+
+def test_place_and_time_without_day_columns(spark):
+    df = track(spark, 1, [(0, 5.0), (60, 5.0), (7200, 5.0)])
+    box = (40.0, 50.0, -130.0, -120.0)
+    assert near_place_and_time(df, datetime(2017, 11, 3, 17), datetime(2017, 11, 3, 18), *box).count() == 2
+
+
 def test_released_tables_are_gone(spark):
     stored = materialise(spark.range(5), "numbers")
     path = stored.inputFiles()[0]

@@ -87,6 +87,10 @@ def on_days(first: Column, last: Column) -> Column:
     return day_number(F.col("year"), F.col("month"), F.col("day")).between(number(first), number(last))
 
 
+# No zone is farther from UTC.
+_ZONES = timedelta(hours=15)
+
+
 def _seconds_within(df: DataFrame, column: str, start: datetime, end: datetime) -> DataFrame:
     """Range on the stored seconds, if the table has them: skips files and row groups. It
     only widens to whole seconds, so the exact test on the timestamp must follow."""
@@ -98,11 +102,18 @@ def _seconds_within(df: DataFrame, column: str, start: datetime, end: datetime)
 
 def snapshot(df: DataFrame, at: datetime, width: timedelta = timedelta(seconds=MINUTE_SECONDS)) -> DataFrame:
     """Rows with local time in ``(at - width, at]``, whatever days that touches. On a table
-    with day columns only the days in question are read."""
+    with day columns only the days in question are read; a table in UTC order is narrowed by its
+    stored seconds first, as wide as any zone can be from UTC."""
     start, end = ntz(at - width), ntz(at)
     rows = _seconds_within(df, LOCAL_SECONDS, at - width, at)
+    rows = _seconds_within(rows, BASE_SECONDS, at - width - _ZONES, at + _ZONES)
     rows = rows.where((F.col("localtime") > start) & (F.col("localtime") <= end))
-    return rows.where(on_days(start, end)) if {"year", "month", "day"} <= set(df.columns) else rows
+    return _days_within(rows, start, end)
+
+
+def _days_within(df: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Range on the day columns, if the table has them."""
+    return df.where(on_days(first, last)) if {"year", "month", "day"} <= set(df.columns) else df
 
 
 def near_place_and_time(
@@ -117,16 +128,16 @@ def near_place_and_time(
 ) -> DataFrame:
     """Messages in a UTC time range and a box, reading only the local days it touches."""
     first, last = ntz(start), ntz(end)
-    days = on_days(localtime(first, zone), localtime(last, zone))
     rows = _seconds_within(df, BASE_SECONDS, start, end)
-    return in_box(
-        rows.where(F.col("base_dt").between(first, last) & days), lat_min, lat_max, lon_min, lon_max
-    )
+    rows = _days_within(rows, localtime(first, zone), localtime(last, zone))
+    return in_box(rows.where(F.col("base_dt").between(first, last)), lat_min, lat_max, lon_min, lon_max)
 
 
 def sample_period(df: DataFrame, start: str = SAMPLE_START, end: str = SAMPLE_END) -> DataFrame:
     """Local time in ``[start, end)``; the three-month sample by default."""
-    return df.where((F.col("localtime") >= ntz(start)) & (F.col("localtime") < ntz(end)))
+    first, last = datetime.fromisoformat(start), datetime.fromisoformat(end)
+    rows = _days_within(_seconds_within(df, LOCAL_SECONDS, first, last), ntz(start), ntz(end))
+    return rows.where((F.col("localtime") >= ntz(start)) & (F.col("localtime") < ntz(end)))
 
 
 def moving(df: DataFrame, knots: float = MOVING_KNOTS) -> DataFrame:

@@ -42,6 +42,11 @@ def tracks_in_group(tracks: DataFrame, meta: DataFrame, group: str) -> DataFrame
     return tracks.join(members, "mmsi", "left_semi")
 
 
+def in_any_group(messages: DataFrame, meta: DataFrame) -> DataFrame:
+    """Messages of the vessels that are in some group: what is worth building tracks of."""
+    return messages.join(group_memberships(meta).select("mmsi").distinct(), "mmsi", "left_semi")
+
+
 def vessel(meta: DataFrame, mmsi: int) -> DataFrame:
     return meta.where(F.col("mmsi") == mmsi)
 
@@ -67,8 +72,9 @@ def with_group_colour(df: DataFrame) -> DataFrame:
 # --- index ----------------------------------------------------------------------------
 
 
-def index_documents(meta: DataFrame) -> DataFrame:
-    """(doc_id, vessel_group, length, width, draft) with sentinels for missing values."""
+def index_documents(meta: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, vessel_group, length, width, draft) with sentinels for missing values, and the
+    columns named in ``keep``."""
 
     def number(column):
         return F.coalesce(missing_number_to_null(F.col(column)), F.lit(MISSING_NUMBER))
@@ -79,6 +85,7 @@ def index_documents(meta: DataFrame) -> DataFrame:
         number("l").alias("length"),
         number("w").alias("width"),
         number("draft").alias("draft"),
+        *keep,
     )
 
 

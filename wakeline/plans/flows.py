@@ -20,6 +20,7 @@ from wakeline.operators.tracks import build_tracks, speed_polylines, speed_segme
 from wakeline.operators.vessels import sort_by_type, vessel_metadata
 from wakeline.schema import RADIUS_MILES, ZONE
 from wakeline.sources.messages import read_ais_csv, write_metadata_csv
+from wakeline.sources.scratch import materialise
 from wakeline.sources.tables import write_by_day, write_by_time, write_groups, write_if_absent
 
 
@@ -49,7 +50,7 @@ def moment(
 ) -> tuple[DataFrame, DataFrame]:
     """Around one moving vessel at one moment: (neighbours in the set of all vessels,
     forecasts of all moving vessels)."""
-    sets = geo_sets(snapshot(spark.read.parquet(by_day_path), at), keep=("sog", "cog"))
+    sets = materialise(geo_sets(snapshot(spark.read.parquet(by_day_path), at), keep=("sog", "cog")), "sets")
     moving = members(sets, MOVING)
     return within_radius(members(sets, ALL), nth_member(moving, index), miles), forecast(moving)
 

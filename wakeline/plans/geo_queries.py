@@ -149,7 +149,7 @@ def _radius_sql(name: str, miles: float) -> str:
 
 def _radius(name: str, miles: float):
     def run(spark, sf_dir):
-        found = sets(spark, sf_dir)
+        found = materialise(sets(spark, sf_dir), "sets")  # for the centre and for the search
         centre = nth_member(members(found, MOVING), 10)
         return _round(within_radius(members(found, name), centre, miles), 4, "miles")
 
@@ -452,6 +452,7 @@ def flagship(spark, sf_dir):
     busiest = (
         rows.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "slot").limit(1).select("slot")
     )
-    positions = latest_positions(rows.join(F.broadcast(busiest), "slot", "left_semi"))
+    # One minute's positions: stored, as centre and search both read them.
+    positions = materialise(latest_positions(rows.join(F.broadcast(busiest), "slot", "left_semi")), "minute")
     centre = positions.orderBy("mmsi").limit(1)
     return _round(within_radius(positions, centre), 4, "miles")

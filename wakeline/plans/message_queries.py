@@ -185,12 +185,14 @@ SNAPSHOT_ROW = "mmsi, base_dt, localtime_ AS localtime, lat, lon, sog, cog, seq"
 
 @register("p4_minute_snapshot", on_minute(f"SELECT {SNAPSHOT_ROW} FROM minute_rows"))
 def p4(spark, sf_dir):
-    return minute_rows(spark, sf_dir).select("mmsi", "base_dt", "localtime", "lat", "lon", "sog", "cog", "seq")
+    rows = snapshot(read_table(spark, _by_day(spark, sf_dir)), MINUTE_AT)
+    return rows.select("mmsi", "base_dt", "localtime", "lat", "lon", "sog", "cog", "seq")
 
 
 @register("p5_hour_snapshot", on_calendar(f"SELECT {SNAPSHOT_ROW} FROM hour_rows", HOUR_SQL))
 def p5(spark, sf_dir):
-    return hour_rows(spark, sf_dir).select("mmsi", "base_dt", "localtime", "lat", "lon", "sog", "cog", "seq")
+    rows = snapshot(read_table(spark, _by_day(spark, sf_dir)), HOUR_AT, timedelta(hours=1))
+    return rows.select("mmsi", "base_dt", "localtime", "lat", "lon", "sog", "cog", "seq")
 
 
 @register(
@@ -235,7 +237,7 @@ def p10(spark, sf_dir):
 )
 def p12(spark, sf_dir):
     rows = near_place_and_time(
-        calendar(spark, sf_dir),
+        read_table(spark, _by_day(spark, sf_dir)),
         datetime(2017, 11, 5, 6, 30),
         datetime(2017, 11, 5, 7, 30),
         47.5, 48.5, -123.25, -122.25,

@@ -15,13 +15,13 @@ from wakeline.operators.vessels import (
     group_page,
     group_sizes,
     ids_by_group,
+    in_any_group,
     index_documents,
     lookup_group,
     number_range,
     sort_by_type,
     term_search,
     tracks_in_group,
-    upsert,
     vessel,
     vessel_metadata,
     with_group_colour,
@@ -45,7 +45,7 @@ from wakeline.plans.testbed import ais, ais_with_names
 from wakeline.schema import GROUP_COLOURS, UNKNOWN, VESSEL_GROUPS
 from wakeline.sources.messages import read_metadata_csv, write_metadata_csv
 from wakeline.sources.scratch import scratch_path
-from wakeline.sources.tables import read_group, read_table, upsert_table, write_groups
+from wakeline.sources.tables import read_group, read_table, upsert_stored, write_groups
 
 
 def meta(spark, sf_dir):
@@ -238,8 +238,9 @@ GROUP_POINTS = (
     ),
 )
 def j1(spark, sf_dir):
-    tracks = tracks_in_group(build_tracks(motion(spark, sf_dir)), types(spark, sf_dir), "tugTow")
-    return track_points(tracks).select("mmsi", "base_dt", "seq", "lat", "lon")
+    # The vessels are picked before their arrays are built.
+    rows = tracks_in_group(motion(spark, sf_dir), types(spark, sf_dir), "tugTow")
+    return track_points(build_tracks(rows)).select("mmsi", "base_dt", "seq", "lat", "lon")
 
 
 @register(
@@ -264,7 +265,10 @@ def j1_unknown(spark, sf_dir):
 )
 def s8(spark, sf_dir):
     path = scratch_path(spark, "groups")
-    write_groups(build_tracks(motion(spark, sf_dir)), types(spark, sf_dir), "3m", path)
+    kinds = types(spark, sf_dir)
+    rows = in_any_group(motion(spark, sf_dir), kinds)
+    for _ in range(2):  # the second run replaces what the first one wrote
+        write_groups(build_tracks(rows), kinds, "3m", path)
     return (
         read_table(spark, path)
         .groupBy("vessel_group", "mmsi")
@@ -338,8 +342,8 @@ def p13(spark, sf_dir):
 @register(
     "s11_upsert_documents",
     on_ais(
-        "SELECT doc_id, vessel_group, length, draft FROM (SELECT concat('meta_', CAST(mmsi AS VARCHAR)) AS doc_id, "
-        f"coalesce({group_case('vessel_type')}, 'unknown') AS vessel_group, coalesce(l, -999) AS length, "
+        "SELECT doc_id, vessel_group, length, width, draft FROM (SELECT concat('meta_', CAST(mmsi AS VARCHAR)) AS doc_id, "
+        f"coalesce({group_case('vessel_type')}, 'unknown') AS vessel_group, coalesce(l, -999) AS length, coalesce(w, -999) AS width, "
         "coalesce(draft, -999) AS draft, row_number() OVER (PARTITION BY mmsi ORDER BY base_dt DESC, seq DESC) AS rn "
         "FROM ais) WHERE rn = 1"
     ),
@@ -347,28 +351,13 @@ def p13(spark, sf_dir):
 def s11(spark, sf_dir):
     # A first load of the older messages, then an upsert of the newer ones over it.
     rows = ais(spark, sf_dir)
-    stamped = rows.select("mmsi", "base_dt", "seq", "vessel_type", "l", "w", "draft")
-    docs = index_documents_with_version(stamped)
-    old_path, new_path = scratch_path(spark, "docs"), scratch_path(spark, "docs")
-    cut = F.expr("TIMESTAMP_NTZ'2017-11-05 08:00:00'")
-    upsert_table(spark, old_path, upsert(docs.where(F.col("base_dt") < cut), ["base_dt", "seq"]))
-    stored = read_table(spark, old_path)
-    fresh = docs.where(F.col("base_dt") >= cut)
-    upsert_table(spark, new_path, upsert(stored.unionByName(fresh), ["base_dt", "seq"]))
-    return read_table(spark, new_path).select("doc_id", "vessel_group", "length", "draft")
-
-
-def index_documents_with_version(rows):
-    """Index documents of single messages, with their time as version."""
-    docs = rows.withColumn("vessel_group", vessel_group(F.col("vessel_type")))
-    return docs.select(
-        doc_id(F.col("mmsi")).alias("doc_id"),
-        "base_dt",
-        "seq",
-        F.coalesce("vessel_group", F.lit(UNKNOWN)).alias("vessel_group"),
-        F.coalesce("l", F.lit(-999.0)).alias("length"),
-        F.coalesce("draft", F.lit(-999.0)).alias("draft"),
+    docs = index_documents(
+        rows.withColumn("vessel_group", vessel_group(F.col("vessel_type"))), keep=("base_dt", "seq")
     )
+    path, cut = scratch_path(spark, "docs"), F.expr("TIMESTAMP_NTZ'2017-11-05 08:00:00'")
+    for part in (docs.where(F.col("base_dt") < cut), docs.where(F.col("base_dt") >= cut)):
+        upsert_stored(spark, path, part, ["base_dt", "seq"])
+    return read_table(spark, path).select("doc_id", "vessel_group", "length", "width", "draft")
 
 
 @register("t1_term_search", on_docs("SELECT CAST(substr(doc_id, 6) AS INT) AS mmsi FROM docs WHERE vessel_group = 'tugTow'"))

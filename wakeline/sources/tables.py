@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from wakeline.functions.timefn import epoch_seconds
 from wakeline.operators.motion import order_key
-from wakeline.operators.vessels import group_memberships
+from wakeline.operators.vessels import group_memberships, upsert
 from wakeline.schema import BASE_SECONDS, LOCAL_SECONDS
+from wakeline.sources.scratch import materialise
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -101,7 +102,22 @@ def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def upsert_table(spark: SparkSession, path: str, merged: DataFrame) -> None:
-    """Replaces the stored documents by ``merged``, which may read other tables but not
-    ``path`` itself."""
-    merged.write.mode("overwrite").parquet(path)
+def upsert_stored(
+    spark: SparkSession, path: str, fresh: DataFrame, version: list[str], key: str = "doc_id", buckets: int = 64
+) -> None:
+    """Brings new versions of documents into the table at ``path``, which is made if it is absent.
+
+    Documents lie in folders by a hash of their key. Only the folders that ``fresh`` touches are read,
+    merged (the last version of each document stays) and replaced; ``buckets`` must stay the same for a
+    table. The merged rows are stored before they replace what they were read from.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    merged = upsert(fresh, version, key).withColumn("bucket", bucket)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        touched = [r.bucket for r in merged.select("bucket").distinct().collect()]  # ``buckets`` numbers at most
+        stored = spark.read.parquet(path).where(F.col("bucket").isin(touched))
+        both = stored.drop("bucket").unionByName(merged.drop("bucket"))
+        merged = materialise(upsert(both, version, key).withColumn("bucket", bucket), "upsert")
+    writer = merged.repartition("bucket").write.partitionBy("bucket").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
