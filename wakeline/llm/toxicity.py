@@ -269,7 +269,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
     # At most about 2 * fit_texts ids, whatever the tables' size: small enough to broadcast and store.
     rows = materialise(texts.join(F.broadcast(known), "id").select("t", "y", fold("id").alias("fold")), "fit")
-    pairs = rows.where("fold < 4").select("y", F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]+"))).alias("word")).where("word != ''")
+    # Copies of one text are one witness: what only they have in common says nothing about the label.
+    words = F.split(F.lower("t"), r"[^\p{L}]+")
+    known = rows.withColumn("w", words)
+    for seed in range(3):
+        first = F.array_min(F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2), F.lit(seed))))
+        known = known.withColumn("least", first).dropDuplicates(["y", "fold", "least"])
+    known = materialise(known.select("t", "y", "fold"), "fit")
+    pairs = known.where("fold < 4").select("y", F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]+"))).alias("word")).where("word != ''")
     counted = pairs.groupBy("word").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
     # Positive pairs first: entries of too few of them are never looked at.
     all_counts = counted.select(F.explode(_prefixes(8)).alias("f"), "p", "n").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
@@ -278,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         ratio = (F.col("p") + 0.5) / (F.col("n") + 0.5) * (totals[1] + 1) / (totals[0] + 1)
         found = [tuple(r) for r in all_counts.where((F.col("p") >= 5) & (ratio >= 1.5)).collect()]
         model.lexicon = {**model.lexicon, **choose(found, totals[0], totals[1], 5, 1.0)}
-    curve = rows.where("fold = 4").select("y", features(F.col("t"), model.lexicon).alias("x")).collect()
+    curve = known.where("fold = 4").select("y", features(F.col("t"), model.lexicon).alias("x")).collect()
     if len({r.y for r in curve}) == 2:
         model.weights = logistic(np.array([r.x for r in curve]), np.array([r.y for r in curve], float))
     return model
