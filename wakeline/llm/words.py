@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 #: Bytes of text that one vectorised step takes, unless a single text is longer.
-STEP_BYTES = 1 << 21
-_CHUNK = 1 << 20
+STEP_BYTES = 1 << 19
+_CHUNK = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
