@@ -18,6 +18,7 @@ from wakeline.operators.geosets import (
     nth_member,
     pair_distance,
     proximity_pairs,
+    within,
     within_radius,
     within_radius_of_point,
 )
@@ -198,3 +199,13 @@ def test_filter_on_a_destination_stays_small(spark):
 
 def test_arc_of_a_known_distance():
     assert asin(1.0) * R == pytest.approx(pi / 2 * R)
+
+
+def test_units(spark):
+    rows_ = positions(spark, [(1, 48.0, -122.5, 5.0), (2, 48.02, -122.5, 5.0), (3, 49.0, -122.5, 5.0)])
+    miles = pair_distance(rows_, 1, 2).first().miles
+    assert pair_distance(rows_, 1, 2, "km").first().kilometres == pytest.approx(miles * 1.609344)
+    assert pair_distance(rows_, 1, 2, "ft").first().feet == pytest.approx(miles * 5280)
+    centre = rows_.where("mmsi = 1")
+    assert {r.mmsi: round(r.metres) for r in within(rows_, centre, 2300, "m").collect()} == {1: 0, 2: round(miles * 1609.344)}
+    assert within(rows_, centre, 2200, "m").count() == 1

@@ -11,6 +11,7 @@ from wakeline.operators.polygons import lat_lon_rings, ring_points, with_polygon
 from wakeline.operators.tracks import build_tracks
 from wakeline.operators.vessels import with_vessel_group
 from wakeline.plans import flows
+from wakeline.schema import GROUPED_METADATA, MOTION_COLUMNS
 from wakeline.sources.layers import read_polygons, unread, write_polygons
 from wakeline.sources.messages import read_ais_csv, read_metadata_csv, write_metadata_csv
 from wakeline.sources.scratch import SETTING, materialise, release, scratch_path
@@ -243,3 +244,25 @@ def test_flows_end_to_end(spark, tmp_path):
     lines = flows.group_and_segment(spark, paths["motion"], paths["tracks"], meta, "3m", str(tmp_path / "groups"))
     assert lines.agg(F.sum(F.size("points"))).first()[0] == 40
     assert read_group(spark, str(tmp_path / "groups"), "cargo", "3m").count() == 1
+
+
+def test_sample_and_map(spark, tmp_path):
+    ais = track(spark, 1, [(s, 10.0) for s in range(0, 7200, 60)]).unionByName(track(spark, 2, [(0, 1.0), (7100, 1.0)]))
+    early = track(spark, 3, [(0, 5.0)], start=datetime(2017, 9, 1))
+    extra = {c: F.lit(None).cast("string") for c in ("vessel_name", "imo", "call_sign")}
+    numbers = {c: F.lit(None).cast("double") for c in ("l", "w", "draft")}
+    ais = ais.unionByName(early).withColumns({**extra, **numbers, "vessel_type": F.when(F.col("mmsi") == 1, 70), "cargo": F.lit(70)})
+    by_day = str(tmp_path / "by_day")
+    write_by_day(with_calendar(ais.select(*MOTION_COLUMNS, "seq")), by_day)
+
+    paths = flows.sample(spark, by_day, ais, str(tmp_path / "sample"))
+    assert spark.read.parquet(paths["motion"]).count() == 122
+    assert spark.read.parquet(paths["tracks"]).select("mmsi").distinct().count() == 2
+    meta = read_metadata_csv(spark, paths["metadata"])
+    assert meta.columns == [f.name for f in GROUPED_METADATA.fields] and dict(meta.dtypes)["vessel_code"] == "int"
+    assert {r.mmsi: (r.vessel_code, r.vessel_group) for r in meta.collect()} == {1: (70, "cargo"), 2: (None, "unknown")}
+
+    markers, lines = flows.moving_map(spark, by_day, datetime(2017, 11, 3, 11, 59, 0), meta)
+    assert [(r.mmsi, r.vessel_group, r.colour) for r in markers.collect()] == [(1, "cargo", "#CF1C90")]
+    assert {"south", "west", "north", "east", "cog"} <= set(markers.columns)
+    assert {(r.vessel_group, r.colour) for r in lines.collect()} == {("cargo", "#CF1C90")} and lines.count() == 60

@@ -28,6 +28,7 @@ from wakeline.schema import (
     MARKER_LON,
     MOVING_KNOTS,
     RADIUS_MILES,
+    UNITS,
 )
 from wakeline.sources.scratch import materialise
 
@@ -92,8 +93,10 @@ def nth_member(positions: DataFrame, index: int) -> DataFrame:
     return by_score(positions).offset(index).limit(1)
 
 
-def pair_distance(positions: DataFrame, first: int, second: int) -> DataFrame:
-    """One row with the distance of two members; NULL if either is missing."""
+def pair_distance(positions: DataFrame, first: int, second: int, unit: str = "mi") -> DataFrame:
+    """One row with the distance of two members, in a column named after the ``unit`` (mi, km, m or
+    ft); NULL if either is missing."""
+    per_mile, name_of_unit = UNITS[unit]
 
     def side(name, mmsi):
         here = F.col("mmsi") == mmsi
@@ -105,7 +108,7 @@ def pair_distance(positions: DataFrame, first: int, second: int) -> DataFrame:
         side("lat", second).alias("lat2"),
         side("lon", second).alias("lon2"),
     )
-    return both.select(haversine(*[F.col(c) for c in both.columns]).alias("miles"))
+    return both.select((haversine(*[F.col(c) for c in both.columns]) * per_mile).alias(name_of_unit))
 
 
 def within_radius(
@@ -139,6 +142,13 @@ def within_radius(
     )
 
 
+def within(positions: DataFrame, centre: DataFrame, distance: float, unit: str = "mi") -> DataFrame:
+    """``within_radius`` with the distance, and the column of distances, in ``unit`` (mi, km, m or ft)."""
+    per_mile, name = UNITS[unit]
+    found = within_radius(positions, centre, distance / per_mile)
+    return found.withColumn("miles", F.col("miles") * per_mile).withColumnRenamed("miles", name)
+
+
 def within_radius_of_point(
     positions: DataFrame,
     lat: float,

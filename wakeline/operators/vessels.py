@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.functions.codes import group_colour, group_priority, in_group, vessel_group, vessel_groups
 from wakeline.functions.ids import doc_id, has_term, missing_number_to_null, strip_doc_prefix
 from wakeline.operators.motion import order_key
-from wakeline.schema import FIRST_KNOWN_COLUMNS, MEAN_COLUMNS, MISSING_NUMBER, UNKNOWN
+from wakeline.schema import GROUPED_METADATA, FIRST_KNOWN_COLUMNS, MEAN_COLUMNS, MISSING_NUMBER, UNKNOWN
 
 
 def first_known(df: DataFrame, column: str) -> Column:
@@ -65,6 +65,18 @@ def lookup_group(positions: DataFrame, meta: DataFrame) -> DataFrame:
     return positions.join(meta.select("mmsi", "vessel_group"), "mmsi", "left")
 
 
+def grouped_metadata(meta: DataFrame) -> DataFrame:
+    """Metadata with the group, under the names and in the order of the file that carries it."""
+    grouped = with_vessel_group(meta).withColumnRenamed("vessel_type", "vessel_code")
+    return grouped.select(*[f.name for f in GROUPED_METADATA.fields])
+
+
+def coloured(rows: DataFrame, meta: DataFrame) -> DataFrame:
+    """Positions, tracks or lines with the vessel's group and its display colour, for maps; a vessel
+    that the metadata does not know has neither."""
+    return with_group_colour(lookup_group(rows, meta))
+
+
 def with_group_colour(df: DataFrame) -> DataFrame:
     return df.withColumn("colour", group_colour(F.col("vessel_group")))
 

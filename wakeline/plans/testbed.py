@@ -20,6 +20,9 @@ OBJECT_CODES = ("96", "150", "148", "152", "30")
 TIME_START = "TIMESTAMP_NTZ'2017-11-05 06:00:00'"
 SOURCE_START = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 
+# A quarter of the messages lies between two seconds.
+HALF = "CASE WHEN event_id % 4 = 1 THEN INTERVAL '0.5' SECOND ELSE INTERVAL '0' SECOND END"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,13 +33,12 @@ def messages_from(events: DataFrame) -> DataFrame:
     seconds = f"cast(cast(ts - {SOURCE_START} AS interval second) AS bigint) div 180"
     codes = ", ".join("NULL" if c is None else str(c) for c in TYPE_CODES)
     return (
-        events.where("user_id >= 0")
-        .withColumn("code", F.expr(f"get(array({codes}), cast(user_id % 21 AS int))"))
+        events.withColumn("code", F.expr(f"get(array({codes}), cast(user_id % 21 AS int))"))
         .selectExpr(
             "event_id AS seq",
             "user_id",
             "cast(366000000 + user_id AS int) AS mmsi",
-            f"{TIME_START} + cast(({seconds}) AS interval second) AS base_dt",
+            f"{TIME_START} + cast(({seconds}) AS interval second) + {HALF} AS base_dt",
             "46.95D + cast((event_id*7919 + user_id*104729) % 2600 AS double)/1000 AS lat",
             "-123.8D + cast((event_id*15485863) % 1850 AS double)/1000 AS lon",
             "CASE WHEN event_id % 23 = 0 THEN NULL ELSE cast((event_id*31) % 250 AS double)/10 END AS sog",
@@ -97,7 +99,8 @@ _CODES = ", ".join(f"({i}, {'CAST(NULL AS INT)' if c is None else c})" for i, c
 AIS_SQL = f"""ais AS (
  SELECT e.event_id AS seq,
   CAST(366000000 + e.user_id AS INT) AS mmsi,
-  make_timestamp((1509861600 + CAST(floor((epoch_us(e.ts) - 1704067200000000)/180000000) AS BIGINT))*1000000) AS base_dt,
+  make_timestamp((1509861600 + CAST(floor((epoch_us(e.ts) - 1704067200000000)/180000000) AS BIGINT))*1000000
+  + CASE WHEN e.event_id % 4 = 1 THEN 500000 ELSE 0 END) AS base_dt,
   46.95e0 + CAST((e.event_id*7919 + e.user_id*104729) % 2600 AS DOUBLE)/1000 AS lat,
   -123.8e0 + CAST((e.event_id*15485863) % 1850 AS DOUBLE)/1000 AS lon,
   CASE WHEN e.event_id % 23 = 0 THEN NULL ELSE CAST((e.event_id*31) % 250 AS DOUBLE)/10 END AS sog,

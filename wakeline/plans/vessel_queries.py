@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from wakeline.functions.codes import group_map, vessel_group
 from wakeline.functions.ids import doc_id, strip_doc_prefix
 from wakeline.operators.geosets import MOVING, geo_sets, members
+from wakeline.operators.series import last_hour_lines
 from wakeline.operators.tracks import build_tracks, track_points
 from wakeline.operators.vessels import (
+    coloured,
     first_known,
     group_memberships,
     group_of_id,
@@ -27,8 +29,9 @@ from wakeline.operators.vessels import (
     with_group_colour,
     with_vessel_group,
 )
-from wakeline.plans.message_queries import minute_rows, motion
+from wakeline.plans.message_queries import hour_rows, minute_rows, motion
 from wakeline.plans.registry import (
+    HOUR_SQL,
     CALENDAR_SQL,
     GROUP_MAP_SQL,
     MEMBERS_SQL,
@@ -329,6 +332,36 @@ def j3(spark, sf_dir):
     return with_group_colour(lookup_group(moving, types(spark, sf_dir))).select("mmsi", "vessel_group", "colour")
 
 
+@register(
+    "j3_coloured_moving",
+    on_meta(
+        f"SELECT s.mmsi, s.lat, s.lon, s.sog, s.cog, m.vessel_group, {COLOUR_CASE} AS colour FROM sets s "
+        "LEFT JOIN meta m ON s.mmsi = m.mmsi WHERE set_name = 'moving'",
+        *LOOKUP_TABLES,
+    ),
+)
+def j3_coloured(spark, sf_dir):
+    moving = members(geo_sets(minute_rows(spark, sf_dir), keep=("sog", "cog")), MOVING)
+    found = coloured(moving, types(spark, sf_dir))
+    return found.select("mmsi", "lat", "lon", "sog", "cog", "vessel_group", "colour")
+
+
+@register(
+    "t6_coloured_lines",
+    on_meta(
+        f"SELECT h.mmsi, row_number() OVER (PARTITION BY h.mmsi ORDER BY h.base_dt, h.seq) - 1 AS idx, h.lat, h.lon, "
+        f"m.vessel_group, {COLOUR_CASE} AS colour FROM hour_rows h JOIN (SELECT mmsi FROM sets WHERE set_name = 'moving') s "
+        "ON h.mmsi = s.mmsi LEFT JOIN meta m ON h.mmsi = m.mmsi",
+        *LOOKUP_TABLES,
+        HOUR_SQL,
+    ),
+)
+def t6_coloured(spark, sf_dir):
+    moving = members(geo_sets(minute_rows(spark, sf_dir)), MOVING)
+    lines = track_points(last_hour_lines(hour_rows(spark, sf_dir), moving))
+    return coloured(lines, types(spark, sf_dir)).select("mmsi", "idx", "lat", "lon", "vessel_group", "colour")
+
+
 # --- index ----------------------------------------------------------------------------
 
 DOC_ROW = "doc_id, vessel_group, length, width, round(draft, 6) AS draft"

@@ -40,6 +40,11 @@ METADATA = T.StructType(
         T.StructField("draft", T.DoubleType()),
     ]
 )
+# The same with the group: the type goes by another name there.
+GROUPED_METADATA = T.StructType(
+    [T.StructField("vessel_code" if f.name == "vessel_type" else f.name, f.dataType) for f in METADATA.fields]
+    + [T.StructField("vessel_group", T.StringType())]
+)
 
 MOTION_COLUMNS = ("mmsi", "status", "base_dt", "lat", "lon", "sog", "cog", "heading")
 ATTRIBUTE_COLUMNS = (
@@ -73,6 +78,8 @@ MARKER_LAT, MARKER_LON = 0.0010, 0.0015
 
 EARTH_RADIUS_MILES = 3958.7613
 KM_PER_MILE = 1.609344
+# Unit -> how many make a mile, and the name of a distance column in it.
+UNITS = {"mi": (1.0, "miles"), "km": (KM_PER_MILE, "kilometres"), "m": (KM_PER_MILE * 1000, "metres"), "ft": (5280.0, "feet")}
 WGS84_A, WGS84_F = 6378137.0, 1 / 298.257223563
 GEOHASH_LAT_LIMIT = 85.05112878
 

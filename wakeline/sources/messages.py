@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wakeline.functions.ids import missing_number_to_null
-from wakeline.schema import AIS, MEAN_COLUMNS, METADATA
+from wakeline.schema import AIS, GROUPED_METADATA, MEAN_COLUMNS, METADATA
 
 BAD_RECORD = "bad_record"
+# Fractions of a second may be there or not.
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def read_ais_csv(
     spark: SparkSession,
     paths: str | list[str],
-    timestamp_format: str = "yyyy-MM-dd'T'HH:mm:ss",
+    timestamp_format: str = TIMESTAMP_FORMAT,
     schema: T.StructType = AIS,
     keep_bad_records: bool = False,
 ) -> DataFrame:
@@ -37,7 +39,7 @@ def read_ais_csv(
     return reader.csv(paths)
 
 
-def write_ais_csv(ais: DataFrame, path: str, timestamp_format: str = "yyyy-MM-dd'T'HH:mm:ss") -> None:
+def write_ais_csv(ais: DataFrame, path: str, timestamp_format: str = TIMESTAMP_FORMAT) -> None:
     ais.write.option("header", True).option("timestampNTZFormat", timestamp_format).csv(path)
 
 
@@ -59,7 +61,7 @@ def read_metadata_csv(spark: SparkSession, path: str, rename: dict[str, str] | N
     """Metadata bound by header name, whatever the column order in the file; ``rename``
     maps header names to ours."""
     text = spark.read.option("header", True).csv(path)
-    types = {f.name: f.dataType for f in METADATA.fields}
+    types = {f.name: f.dataType for f in (*METADATA.fields, *GROUPED_METADATA.fields)}
     rename = rename or {}
     columns = []
     for header in text.columns:
