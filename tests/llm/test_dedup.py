@@ -112,6 +112,22 @@ def test_near_duplicates(spark, rows):
         assert (doc, signed, min(ids, default=None)) in found
 
 
+@pytest.mark.parametrize("crowded", [200_000, 20, 0])
+def test_crowded_block_values_are_divided(spark, monkeypatch, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    rng = np.random.default_rng(9)
+    centres = [int(c) for c in rng.integers(0, 1 << 62, 12)]
+    near = {c ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 6), False)) for c in centres for _ in range(60)}
+    prints = sorted(near)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    links = simhash.near_links(spark.createDataFrame([(s,) for s in signed], "fingerprint long"))
+    found = {r.node: r.smallest for r in smallest_reachable(links).collect()}
+    component = brute_components(prints)
+    for i, s in enumerate(signed):
+        own = [signed[j] for j in range(len(signed)) if component[j] == component[i]]
+        assert found.get(s, s) == min(own)
+
+
 def test_one_of_each_group_stays(spark, rows):
     base = text(5, 400)
     given = [(5, base), (3, base), (3, base), (20, text(6, 400)), (None, base)]

@@ -11,10 +11,11 @@ reduced to a spanning forest on the spot, so a dense group never leaves all of i
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -28,6 +29,10 @@ _FRONTIER = 1 << 19
 #: Fingerprints that one walk takes, unless a single block value has more.
 _AT_ONCE = 1 << 16
 _LEAF = 4
+#: Fingerprints of one block value from which on the value is divided by further bits.
+CROWDED = 200_000
+#: Crowded values that may be broadcast; they are counted first.
+BROADCAST_ROWS = 400_000
 
 
 def fingerprint(text: str | None, size: int = 4, seed: int = 42) -> int:
@@ -64,9 +69,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", si
     return slim.mapInArrow(rows, "doc_id long, fingerprint long")
 
 
-def blocks(budget: int) -> list[tuple[int, int]]:
-    """Shift and width of budget + 1 blocks that make up 64 bits."""
-    edges = [round(i * 64 / (budget + 1)) for i in range(budget + 2)]
+def blocks(budget: int, bits: int = 64) -> list[tuple[int, int]]:
+    """Begin and width of budget + 1 blocks that make up ``bits`` bits."""
+    edges = [round(i * bits / (budget + 1)) for i in range(budget + 2)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
@@ -153,67 +158,96 @@ def _compare(keys: np.ndarray, pairs: np.ndarray, budget: int, forest: _Forest)
     forest.add(i[near], j[near])
 
 
-def _walk(budget: int):
-    cuts = blocks(budget)
+def _front(prints: np.ndarray, places: list[int]) -> np.ndarray:
+    """The fingerprints with their bits in the order of ``places`` (from the highest bit down)."""
+    out = np.zeros_like(prints)
+    for at, place in enumerate(places):
+        out |= ((prints >> np.uint64(place)) & np.uint64(1)) << np.uint64(63 - at)
+    return out
+
+
+def _order(budget: int, block: int, sub: int) -> tuple[list[int], int]:
+    """Bit places with those first in which the rows of (block, sub) agree, and their number."""
+    shift, width = blocks(budget)[block]
+    first = list(range(shift + width - 1, shift - 1, -1))
+    rest = [p for p in range(63, -1, -1) if p not in first]
+    if sub >= 0:
+        inner, size = blocks(budget, len(rest))[sub]
+        first += rest[inner : inner + size]
+        rest = [p for p in rest if p not in first]
+    return first + rest, len(first)
 
+
+def _walk(budget: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[tuple[np.ndarray, np.ndarray]] = []
+        rest: list[np.ndarray] = []
         held = 0
 
-        def joined(which: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for block in np.unique(which):
-                shift, width = cuts[block]
-                own = prints[which == block]
-                # The block's bits go to the front, so that equal blocks are one subtrie.
-                turn = (64 - shift - width) % 64
-                keys = (own << np.uint64(turn)) | (own >> np.uint64(64 - turn)) if turn else own
-                keys = np.sort(keys)
-                label = trie_join(keys, keys >> np.uint64(64 - width), width, budget)
+        def joined(which: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for block, sub in sorted({(int(b), int(u)) for b, u in np.unique(which[:, [0, 1]], axis=0)}):
+                own = which[(which[:, 0] == block) & (which[:, 1] == sub), 3].view(np.uint64)
+                places, depth = _order(budget, block, sub)
+                keys = _front(own, places)
+                order = np.argsort(keys)
+                own, keys = own[order], keys[order]
+                label = trie_join(keys, keys >> np.uint64(64 - depth) if depth else keys * np.uint64(0), depth, budget)
                 linked = np.flatnonzero(label != np.arange(len(keys)))
-                back = (keys >> np.uint64(turn)) | (keys << np.uint64(64 - turn)) if turn else keys
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(back[linked].view(np.int64)), pa.array(back[label[linked]].view(np.int64))], names=["a", "b"]
+                    [pa.array(own[linked].view(np.int64)), pa.array(own[label[linked]].view(np.int64))], names=["a", "b"]
                 )
 
-        def value_of(which: np.ndarray, prints: np.ndarray) -> np.ndarray:
-            shift, width = np.array(cuts)[which].T
-            return (prints >> shift.astype(np.uint64)) & ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1))
-
         for batch in batches:
-            rest.append((np.asarray(batch.column("block")), np.asarray(batch.column("fingerprint")).view(np.uint64)))
+            rest.append(np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("block", "sub", "value", "fingerprint")], axis=1))
             held += batch.num_rows
             if held < _AT_ONCE:
                 continue
-            which, prints = (np.concatenate(x) for x in zip(*rest))
-            value = value_of(which, prints)
-            # Rows come in order of (block, value): the last value may go on in the next batch.
-            change = np.flatnonzero((which[1:] != which[:-1]) | (value[1:] != value[:-1])) + 1
-            if not len(change):
-                rest = [(which, prints)]
-                continue
-            cut = change[-1]
-            yield from joined(which[:cut], prints[:cut])
-            rest, held = [(which[cut:], prints[cut:])], len(which) - cut
+            which = np.concatenate(rest)
+            # Rows come in order of (block, sub, value): the last group may go on in the next batch.
+            change = np.flatnonzero((which[1:, :3] != which[:-1, :3]).any(1)) + 1
+            cut = change[-1] if len(change) else 0
+            if cut:
+                yield from joined(which[:cut])
+            rest, held = [which[cut:]], len(which) - cut
         if held:
-            yield from joined(*(np.concatenate(x) for x in zip(*rest)))
+            yield from joined(np.concatenate(rest))
 
     return rows
 
 
-def near_links(prints: DataFrame, budget: int = 4) -> DataFrame:
-    """Links (a, b) between different values of ``fingerprint``: a spanning forest for each block."""
-    if not 0 <= budget < 64:
-        raise ValueError("budget must be from 0 to 63")
-    cases = F.col("block")
+def _bits(budget: int, sub: int) -> Column:
+    """The bits in which the rows of a group agree, as one number, for each block."""
     value = F.lit(None).cast("long")
-    for i, (shift, width) in enumerate(blocks(budget)):
-        value = F.when(cases == i, F.shiftrightunsigned("fingerprint", shift).bitwiseAND((1 << width) - 1 if width < 64 else -1)).otherwise(value)
+    for block in range(budget + 1):
+        places, depth = _order(budget, block, sub)
+        own = F.lit(0).cast("long")
+        for i, place in enumerate(places[:depth]):
+            own = own.bitwiseOR(F.shiftleft(F.shiftright("fingerprint", place).bitwiseAND(F.lit(1)), depth - 1 - i))
+        value = F.when(F.col("block") == block, own).otherwise(value)
+    return value
+
+
+def near_links(prints: DataFrame, budget: int = 4) -> DataFrame:
+    """Links (a, b) between different values of ``fingerprint``: a spanning forest for each group.
+
+    A block value with more than ``CROWDED`` fingerprints is divided once more: the other bits make
+    budget + 1 blocks as well, and a linked pair agrees in one of those too. So no group of a dense
+    cluster has to be walked by one task."""
+    if not 0 <= budget < 32:
+        raise ValueError("budget must be from 0 to 31")
+    each = prints.select("fingerprint", F.explode(F.array(*(F.lit(i) for i in range(budget + 1)))).alias("block"))
+    each = each.withColumn("value", _bits(budget, -1))
+    crowded = materialise(each.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).drop("n"), "crowded")
+    n = crowded.count()
+    groups = each.select("fingerprint", "block", F.lit(-1).alias("sub"), "value")
+    if n:
+        side = F.broadcast(crowded) if n <= BROADCAST_ROWS else crowded
+        parted = each.join(side, ["block", "value"]).drop("value")
+        divided = [parted.select("fingerprint", "block", F.lit(u).alias("sub"), _bits(budget, u).alias("value")) for u in range(budget + 1)]
+        plain = each.join(side, ["block", "value"], "left_anti").select("fingerprint", "block", F.lit(-1).alias("sub"), "value")
+        groups = reduce(DataFrame.unionAll, divided, plain)
     return (
-        prints.select("fingerprint", F.explode(F.array(*(F.lit(i) for i in range(budget + 1)))).alias("block"))
-        .withColumn("value", value)
-        .repartition("block", "value")
-        .sortWithinPartitions("block", "value")
-        .select("block", "fingerprint")
+        groups.repartition("block", "sub", "value")
+        .sortWithinPartitions("block", "sub", "value")
         .mapInArrow(_walk(budget), "a long, b long")
     )
 

@@ -174,5 +174,7 @@ def judge(
         "scores",
     )
     judged = urls.join(_hinted(kinds_scored), ["host", "tokens"])
+    # The last places of a sum depend on the order of its terms.
+    judged = judged.withColumn("score", F.round("score", 6))
     own = F.when(F.col("score") > 0, "block").otherwise("allow")
-    return judged.select("page_id", "host", "path", "rule", F.coalesce(ruled, own).alias("verdict"), F.round("score", 6).alias("score"))
+    return judged.select("page_id", "host", "path", "rule", F.coalesce(ruled, own).alias("verdict"), "score")
