@@ -270,11 +270,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     # At most about 2 * fit_texts ids, whatever the tables' size: small enough to broadcast and store.
     rows = materialise(texts.join(F.broadcast(known), "id").select("t", "y", fold("id").alias("fold")), "fit")
     # Copies of one text are one witness: what only they have in common says nothing about the label.
-    words = F.split(F.lower("t"), r"[^\p{L}]+")
-    known = rows.withColumn("w", words)
-    for seed in range(3):
-        first = F.array_min(F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2), F.lit(seed))))
-        known = known.withColumn("least", first).dropDuplicates(["y", "fold", "least"])
+    known = rows.withColumn("w", F.split(F.lower("t"), r"[^\p{L}]+"))
+
+    def least(seed: int) -> Column:
+        return F.array_min(F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2), F.lit(seed))))
+
+    known = known.select("t", "y", "fold", *(least(i).alias(f"least{i}") for i in range(3)))
+    for i in range(3):
+        known = known.dropDuplicates(["y", "fold", f"least{i}"])
     known = materialise(known.select("t", "y", "fold"), "fit")
     pairs = known.where("fold < 4").select("y", F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]+"))).alias("word")).where("word != ''")
     counted = pairs.groupBy("word").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
