@@ -209,3 +209,12 @@ def test_units(spark):
     centre = rows_.where("mmsi = 1")
     assert {r.mmsi: round(r.metres) for r in within(rows_, centre, 2300, "m").collect()} == {1: 0, 2: round(miles * 1609.344)}
     assert within(rows_, centre, 2200, "m").count() == 1
+
+
+def test_crowded_cells_do_not_change_a_search(spark, rows):
+    rng = np.random.default_rng(8)
+    spread = [(i, 48 + float(a) / 50, -122.5 + float(b) / 50, 5.0) for i, (a, b) in enumerate(rng.random((300, 2)))]
+    frame = positions(spark, spread)
+    centres = frame.where("mmsi < 40")
+    want = rows(within_radius(frame, centres, 0.3), "centre_mmsi", "mmsi")
+    assert len(want) > 40 and rows(within_radius(frame, centres, 0.3, cell_rows=10), "centre_mmsi", "mmsi") == want

@@ -116,12 +116,14 @@ def within_radius(
     centre: DataFrame,
     miles: float = RADIUS_MILES,
     earth: float = EARTH_RADIUS_MILES,
+    cell_rows: int | None = None,
 ) -> DataFrame:
     """Members within ``miles`` of each row of ``centre`` (mmsi, lat, lon), itself
     included, as (centre_mmsi, mmsi, lat, lon, miles).
 
     Each centre is spread over the few cells its circle touches and meets the positions in
-    an equi-join. One centre is a known small side; for many the engine decides by size.
+    an equi-join. One centre is a known small side. For many centres pass stored positions and
+    ``cell_rows``: cells that hold more are spread over several tasks.
     """
     height = cell_height(miles, earth)
     probes = _probes(
@@ -133,9 +135,11 @@ def within_radius(
         height,
     )
     away = haversine(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon"), earth)
+    stored, keys = _placed(positions.select("mmsi", "lat", "lon"), height), ["_band", "_cell"]
+    if cell_rows is not None:
+        probes, stored, keys = _dealt(probes, stored, keys, "mmsi", cell_rows)
     return (
-        _placed(positions.select("mmsi", "lat", "lon"), height)
-        .join(probes, ["_band", "_cell"])
+        stored.join(probes, keys)
         .withColumn("miles", away)
         .where(F.col("miles") <= miles)
         .select("centre_mmsi", "mmsi", "lat", "lon", "miles")
@@ -181,6 +185,35 @@ def _probes(df: DataFrame, lat: str, lon: str, height: float, upward_only: bool
     )
 
 
+def _dealt(
+    searching: DataFrame, stored: DataFrame, keys: list[str], mmsi: str, cell_rows: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides and their join keys, with cells of more than ``cell_rows`` stored rows spread
+    over several tasks: the stored side is dealt out, the searching side visits every share."""
+    crowded = (
+        stored.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > cell_rows)
+        .select(*keys, F.ceil(F.col("_n") / cell_rows).cast("int").alias("_shares"))
+    )
+    crowded = materialise(crowded, "crowded-cells")
+    crowded_cells = crowded.count()
+    if not crowded_cells:
+        return searching, stored, keys
+    shares = F.broadcast(crowded) if crowded_cells <= BROADCAST_ROWS else crowded
+    stored = (
+        stored.join(shares, keys, "left")
+        .withColumn("_share", F.pmod(F.xxhash64(mmsi), F.coalesce("_shares", F.lit(1))).cast("int"))
+        .drop("_shares")
+    )
+    searching = (
+        searching.join(shares, keys, "left")
+        .withColumn("_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)))
+        .drop("_shares")
+    )
+    return searching, stored, [*keys, "_share"]
+
+
 def proximity_pairs(
     positions: DataFrame,
     miles: float = RADIUS_MILES,
@@ -215,29 +248,7 @@ def proximity_pairs(
     )
     keys = [slot, "_band", "_cell"]
 
-    crowded = (
-        stored.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > cell_rows)
-        .select(*keys, F.ceil(F.col("_n") / cell_rows).cast("int").alias("_shares"))
-    )
-    crowded = materialise(crowded, "crowded-cells")
-    crowded_cells = crowded.count()
-    if crowded_cells:
-        shares = F.broadcast(crowded) if crowded_cells <= BROADCAST_ROWS else crowded
-        # The stored side is dealt out, the searching side visits every share.
-        right = (
-            right.join(shares, keys, "left")
-            .withColumn("_share", F.pmod(F.xxhash64("_mmsi"), F.coalesce("_shares", F.lit(1))).cast("int"))
-            .drop("_shares")
-        )
-        left = (
-            left.join(shares, keys, "left")
-            .withColumn("_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1)))
-            .drop("_shares")
-        )
-        keys = [*keys, "_share"]
-
+    left, right, keys = _dealt(left, right, keys, "_mmsi", cell_rows)
     away = haversine(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon"), earth)
     once = (F.col("_band") > F.col("_home")) | (F.col("mmsi") < F.col("_mmsi"))
     return (

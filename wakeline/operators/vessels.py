@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.functions.codes import group_colour, group_priority, in_group, vessel_group, vessel_groups
 from wakeline.functions.ids import doc_id, has_term, missing_number_to_null, strip_doc_prefix
 from wakeline.operators.motion import order_key
-from wakeline.schema import GROUPED_METADATA, FIRST_KNOWN_COLUMNS, MEAN_COLUMNS, MISSING_NUMBER, UNKNOWN
+from wakeline.schema import FIRST_KNOWN_COLUMNS, GROUPED_METADATA, MEAN_COLUMNS, MISSING_NUMBER, UNKNOWN
 
 
 def first_known(df: DataFrame, column: str) -> Column:
@@ -18,12 +18,14 @@ def first_known(df: DataFrame, column: str) -> Column:
     return F.min_by(column, F.when(known, F.struct(*order_key(df))))
 
 
-def vessel_metadata(ais: DataFrame) -> DataFrame:
-    """One row per vessel: first known attributes, mean dimensions. Covers every message,
-    inside the box or not."""
+def vessel_metadata(
+    ais: DataFrame, columns: tuple[str, ...] = (*FIRST_KNOWN_COLUMNS, *MEAN_COLUMNS)
+) -> DataFrame:
+    """One row per vessel: first known attributes, mean dimensions, as far as ``columns`` names
+    them. Covers every message, inside the box or not."""
     return ais.groupBy("mmsi").agg(
-        *[first_known(ais, c).alias(c) for c in FIRST_KNOWN_COLUMNS],
-        *[F.avg(missing_number_to_null(F.col(c).cast("double"))).alias(c) for c in MEAN_COLUMNS],
+        *[first_known(ais, c).alias(c) for c in FIRST_KNOWN_COLUMNS if c in columns],
+        *[F.avg(missing_number_to_null(F.col(c).cast("double"))).alias(c) for c in MEAN_COLUMNS if c in columns],
     )
 
 

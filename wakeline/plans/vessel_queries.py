@@ -45,7 +45,7 @@ from wakeline.plans.registry import (
     register,
 )
 from wakeline.plans.testbed import ais, ais_with_names
-from wakeline.schema import GROUP_COLOURS, UNKNOWN, VESSEL_GROUPS
+from wakeline.schema import GROUP_COLOURS, MEAN_COLUMNS, UNKNOWN, VESSEL_GROUPS
 from wakeline.sources.messages import read_metadata_csv, write_metadata_csv
 from wakeline.sources.scratch import scratch_path
 from wakeline.sources.tables import read_group, read_table, upsert_stored, write_groups
@@ -57,19 +57,12 @@ def meta(spark, sf_dir):
 
 def types(spark, sf_dir):
     """Vessel types alone, for queries that need no names."""
-    rows = ais(spark, sf_dir)
-    return with_vessel_group(rows.groupBy("mmsi").agg(first_known(rows, "vessel_type").alias("vessel_type")))
+    return with_vessel_group(vessel_metadata(ais(spark, sf_dir), ("vessel_type",)))
 
 
 def dimensions(spark, sf_dir):
     """Types and mean sizes, for the index."""
-    rows = ais(spark, sf_dir)
-    return with_vessel_group(
-        rows.groupBy("mmsi").agg(
-            first_known(rows, "vessel_type").alias("vessel_type"),
-            *[F.avg(c).alias(c) for c in ("l", "w", "draft")],
-        )
-    )
+    return with_vessel_group(vessel_metadata(ais(spark, sf_dir), ("vessel_type", *MEAN_COLUMNS)))
 
 
 def documents(spark, sf_dir):
