@@ -40,7 +40,12 @@ def ranked_sources(sizes: DataFrame) -> DataFrame:
         .select("source", "source_size", F.monotonically_increasing_id().alias("_id"))
     )
     placed = materialise(
-        parts.select("source", "source_size", F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_place")),
+        parts.select(
+            "source",
+            "source_size",
+            F.shiftright("_id", 33).alias("_part"),
+            F.col("_id").bitwiseAND((1 << 33) - 1).alias("_place"),
+        ),
         "sources",
     )
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -137,7 +142,15 @@ def _settle_largest(aimed: DataFrame) -> DataFrame:
     return aimed.withColumn("frac", F.when(possible, own).otherwise(f)).drop("largest")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[float, ...] = (1, 2, 3), most: int = MAX_COPIES, fan_in: int = FAN_IN) -> DataFrame:
+def mix(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    weights: tuple[float, ...] = (1, 2, 3),
+    most: int = MAX_COPIES,
+    fan_in: int = FAN_IN,
+) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken (= copies * size) for each row of ``docs``.
 
     Weights repeat over the sources in code point order, null last. Documents without words are
@@ -206,9 +219,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
     extra = last.select("source", "doc", "size", "tie", "frac")
     for part in decided:
         extra = extra.unionAll(part.select("source", "doc", "size", "tie", "frac"))
-    rest = aimed.where(~undecided).select("source", "doc", "size", "tie", F.when(F.col("size") > 0, F.col("frac")).otherwise(0.0).alias("frac"))
+    certain = F.when(F.col("size") > 0, F.col("frac")).otherwise(0.0)
+    rest = aimed.where(~undecided).select("source", "doc", "size", "tie", certain.alias("frac"))
     every = with_aims(extra.unionAll(rest))
     copies = F.floor(rate).cast("long") + F.col("frac").cast("long")
     return every.select(
-        F.col("doc").alias("doc_id"), "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        F.col("doc").alias("doc_id"),
+        "source",
+        "size",
+        "source_size",
+        "target",
+        copies.alias("copies"),
+        (copies * F.col("size")).alias("taken"),
     )

@@ -168,7 +168,13 @@ def count_tokens(files: DataFrame, eod: int, width: str = "<u2", block_bytes: in
     )
 
 
-def document_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def document_tokens(
+    docs: DataFrame,
+    vocabulary: str = VOCABULARY,
+    id_col: str = "doc_id",
+    text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """doc_id, n_tokens for each row of ``docs``, counted in the flat files that its texts make.
 
     Null and empty texts have 0 tokens; repeated rows and null ids come back as often. Other columns

@@ -61,7 +61,9 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[chosen]
 
 
-def search_block(query: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, pivots: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def search_block(
+    query: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, pivots: np.ndarray, k: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query's place, candidates' places, scores) of each query's k best rows other than its own id;
     of equal scores the smaller id."""
     dq, dr = _distances(query, pivots), _distances(rows, pivots)
@@ -144,7 +146,14 @@ def _meet(k: int, pivots: dict[int, np.ndarray]):
     return run
 
 
-def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, id_col: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS) -> DataFrame:
+def top_k(
+    queries: DataFrame,
+    vectors: DataFrame,
+    k: int = 5,
+    id_col: str = "vec_id",
+    vector: str = "embedding",
+    pivots: int = PIVOTS,
+) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` largest integer inner products of each query.
 
     A query meets every row of its length but those of its own id; ties go to the smaller vec_id. Rows with

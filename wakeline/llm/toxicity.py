@@ -247,7 +247,14 @@ def choose(rows: list[tuple[str, int, int]], pos: int, neg: int, least: int, str
     return chosen
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", fit_texts: int = FIT_TEXTS) -> Model:
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    fit_texts: int = FIT_TEXTS,
+) -> Model:
     """Learns from the labelled rows whose crc32(id as text) mod 5 is not 0.
 
     Remainders 1 to 3 make the lexicon, 4 the curve. Of each class a hash of the id picks about

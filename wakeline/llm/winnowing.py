@@ -48,7 +48,8 @@ def with_prints(df: DataFrame, hashes: str, name: str, k: int, span: int) -> Dat
     while width < span:
         by = min(width, span - width)
         # Beyond the end a shorter list gives nulls, which least() leaves out: the tail is cut off below.
-        df = df.withColumn("_low", F.zip_with("_low", F.slice("_low", F.lit(by + 1), F.greatest(F.col("_n") - by, F.lit(0))), lambda a, b: F.least(a, b)))
+        shifted = F.slice("_low", F.lit(by + 1), F.greatest(F.col("_n") - by, F.lit(0)))
+        df = df.withColumn("_low", F.zip_with("_low", shifted, lambda a, b: F.least(a, b)))
         width += by
     count = F.greatest(F.col("_n") - (span - 1), F.least(F.col("_n"), F.lit(1)))
     return df.withColumn(name, F.array_distinct(F.slice("_low", F.lit(1), count))).drop("_low", "_n")
