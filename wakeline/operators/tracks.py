@@ -184,7 +184,8 @@ def speed_segments(motion: DataFrame, gap_seconds: int = GAP_SECONDS, seconds: i
 
 def speed_polylines(segments: DataFrame) -> DataFrame:
     """(mmsi, speed_class, segment, part, first_idx, points): the [lat, lon] line of each segment, a row
-    for each time step; ``first_idx`` is the place of the row's first point in the whole line."""
+    for each time step; ``first_idx`` is the place of the row's first point in the whole line.
+    ``segments`` is read twice: pass a stored table."""
     keys = ["mmsi", "speed_class", "segment"]
     ordered = F.sort_array(F.collect_list(F.struct(*dict.fromkeys([*order_key(segments), "lat", "lon"]))))
     line = F.transform(ordered, lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon")))
