@@ -188,6 +188,24 @@ def test_repeated_branches_are_cut(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_boxes_inside_articles_are_cut(spark):
+    rows = []
+    for i in range(20):
+        words = [hashlib.md5(f"{i}-{j}".encode()).hexdigest() for j in range(3)]
+        flag = "yes" if i % 2 else "no"
+        body = (
+            f"<h2>Summary</h2><p>{words[0]} <b class='x'>never</b> {words[1]}</p><div class='kiosk'><p>Join our readers</p></div>"
+            f"<table><tr><td>{words[2]}</td><td>{flag}</td></tr></table><span class='pill'>Tell a friend</span>"
+        )
+        tag = "main" if i % 2 else "article"
+        rows.append((i, f"http://a.example/{i}", f"<body><{tag}>{body}</{tag}></body>", f"Summary {words[0]} never {words[1]} {words[2]} {flag}"))
+        rows.append((100 + i, "http://b.example/" if i < 1 else f"http://h{i}.example/", rows[-1][2], None))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, want string")
+    text = {r.page_id: r.text for r in htmltext.extract(df).collect()}
+    assert all(text[r[0]] == r[3] for r in rows if r[3])
+    assert all("Join our readers" in text[100 + i] and "Tell a friend" in text[100 + i] for i in range(20))  # one page a host
+
+
 def test_pages_against_a_pattern(spark):
     def pattern(page):
         inside = re.search(r"<article>(.*?)(</article>|\Z)", page, re.S)

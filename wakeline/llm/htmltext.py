@@ -8,7 +8,8 @@ teasers) has next to none and its branches are cut from every page. A node of fe
 
 Menus and adverts may well differ on every page, so the roles that tags, classes and ids state count as
 well: branches of a noise role go whatever their entropy; where a page marks its article, what is
-outside goes and the article's own nodes need not earn their place.
+outside goes. Inside the article the tree decides too, with the role as a prior: a branch must be a box of
+its own (no bare paragraph, heading, item, cell or word of a sentence) and have half the importance.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from wakeline.sources.scratch import materialise
 #: Weight of the contents' entropy beside that of the presentations.
 CONTENT_SHARE = 0.9
 LEAST_IMPORTANCE = 0.2
+#: The same for a box inside a marked article.
+LEAST_INSIDE = 0.1
 #: Occurrences from which on a node's entropy is judged.
 LEAST_COUNT = 8
 #: Rows (one a host) up to which the cut branches are broadcast; they are counted first.
@@ -58,6 +61,10 @@ _CLOSES = {
 _BARRIERS = frozenset("ul ol dl table select article section div body html".split())
 _CLOSES_P = _BLOCK - {"br", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "legend"}
 
+#: Parts of the text they stand in, never boxes of their own inside an article; those of _FLOW unless they are named.
+_PIECES = frozenset("html body article main h1 h2 h3 h4 h5 h6 li dt dd option legend caption tr td th tbody thead tfoot br hr".split())
+_FLOW = frozenset("p pre blockquote".split())
+
 _NOISE_TAGS = frozenset("nav footer aside form button select menu dialog head object".split())
 _NOISE_NAMES = frozenset(
     "nav navigation navbar menu footer contentinfo sidebar aside complementary banner notice cookie cookies consent ad ads advert "
@@ -70,9 +77,9 @@ _ARTICLE = frozenset(("article", "main"))
 KEPT, INSIDE, NOISE = 0, 1, 2
 
 
-def parse(page: str) -> tuple[list[tuple[int, int, int, str]], list[tuple[int, str, bool]]]:
-    """Nodes (parent, signature, role, tag) in page order, and texts (node, text, whether a block ends before it)."""
-    nodes: list[tuple[int, int, int, str]] = [(-1, 0, KEPT, "")]
+def parse(page: str) -> tuple[list[tuple[int, int, int, str, bool]], list[tuple[int, str, bool]]]:
+    """Nodes (parent, signature, role, tag, whether it is named) in page order, and texts (node, text, whether a block ends before it)."""
+    nodes: list[tuple[int, int, int, str, bool]] = [(-1, 0, KEPT, "", False)]
     texts: list[tuple[int, str, bool]] = []
     stack = [0]
     at, broken = 0, True
@@ -123,21 +130,37 @@ def parse(page: str) -> tuple[list[tuple[int, int, int, str]], list[tuple[int, s
             end = _RAW[tag].search(page, at)
             at = end.start() if end else len(page)
             continue
-        nodes.append((parent, sign, role, tag))
+        nodes.append((parent, sign, role, tag, bool(names)))
         if tag not in _VOID and not m[0].endswith("/>"):
             stack.append(len(nodes) - 1)
 
 
-def main_text(page: str | None, cut: set[int] | frozenset[int] = frozenset()) -> str:
-    """Text of the page without noise roles and without the branches whose signature is in ``cut``."""
+def _is_box(tag: str, named: bool, in_text: bool) -> bool:
+    """Whether an element of an article stands for itself; ``in_text``: its parent has text of its own."""
+    if tag in _PIECES or (tag in _FLOW and not named):
+        return False
+    return tag in _BLOCK or (named and not in_text)
+
+
+def main_text(
+    page: str | None, cut: set[int] | frozenset[int] = frozenset(), inside: set[int] | frozenset[int] = frozenset()
+) -> str:
+    """Text of the page without noise roles, the branches whose signature is in ``cut``, and the article's boxes whose
+    signature is in ``inside``."""
     if not page:
         return ""
     nodes, texts = parse(page)
     marked = any(n[2] == INSIDE for n in nodes)
+    speaks = {node for node, text, _ in texts if text.strip()} if inside else set()
     gone = [False] * len(nodes)
-    for i, (parent, sign, role, _) in enumerate(nodes):
+    for i, (parent, sign, role, tag, named) in enumerate(nodes):
         if i:
-            gone[i] = gone[parent] or role == NOISE or (role == KEPT and sign in cut)
+            gone[i] = (
+                gone[parent]
+                or role == NOISE
+                or (role == KEPT and sign in cut)
+                or (role == INSIDE and sign in inside and _is_box(tag, named, parent in speaks))
+            )
     blocks: list[list[str]] = []
     fresh = True
     for node, text, broken in texts:
@@ -165,7 +188,7 @@ def observations(page: str | None) -> Iterator[tuple[int, int, int]]:
         if flat:
             below[node].append(xxh64_intdigest(flat))
     for i in range(len(nodes) - 1, 0, -1):
-        parent, sign, role, tag = nodes[i]
+        parent, sign, role, tag, _ = nodes[i]
         content = xxh64_intdigest(repr(below[i]))
         below[parent].append(content)
         tags[parent].append(tag)
@@ -218,11 +241,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
         F.col(f"`{html}`").cast("string").alias("html"),
     )
     low = importance(named).where((F.col("count") >= LEAST_COUNT) & (F.col("importance") < LEAST_IMPORTANCE))
-    cut = materialise(low.groupBy("host").agg(F.collect_list("node").alias("cut")), "branches")
+    strict = F.when(F.col("importance") < LEAST_INSIDE, F.col("node"))
+    cut = materialise(low.groupBy("host").agg(F.collect_list("node").alias("cut"), F.collect_list(strict).alias("inside")), "branches")
 
     @F.pandas_udf("string")
-    def text_of(page: pd.Series, branches: pd.Series) -> pd.Series:
-        return pd.Series([main_text(p, frozenset(b) if b is not None else frozenset()) for p, b in zip(page, branches)], dtype=object)
+    def text_of(page: pd.Series, branches: pd.Series, boxes: pd.Series) -> pd.Series:
+        sets = ((p, *(frozenset(x) if x is not None else frozenset() for x in (b, i))) for p, b, i in zip(page, branches, boxes))
+        return pd.Series([main_text(*s) for s in sets], dtype=object)
 
     right = F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut
-    return named.join(right, "host", "left").select("page_id", "url", text_of("html", "cut").alias("text"))
+    return named.join(right, "host", "left").select("page_id", "url", text_of("html", "cut", "inside").alias("text"))
