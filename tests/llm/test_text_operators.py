@@ -206,6 +206,27 @@ def test_boxes_inside_articles_are_cut(spark):
     assert all("Join our readers" in text[100 + i] and "Tell a friend" in text[100 + i] for i in range(20))  # one page a host
 
 
+@pytest.mark.parametrize("copies", [7, 8, 1000])
+def test_copies_of_a_page_are_one_page(spark, copies):
+    page = "<html><body><div><p>Same</p><p>Same</p></div></body></html>" * 8
+    rows = [(i, u, page) for i in range(copies) for u in ("http://a.example/", None)]
+    # On a host with other pages the copies do not decide about those.
+    others = [(1000 + i, "http://b.example/", f"<body><div>{hashlib.md5(f'{i}'.encode()).hexdigest()}</div><div class='kiosk'>Join</div></body>") for i in range(100)]
+    rows += [(i, "http://b.example/", others[0][2]) for i in range(copies)] + others
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = htmltext.extract(df).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        own = hashlib.md5(f"{max(r.page_id - 1000, 0)}".encode()).hexdigest()
+        assert r.text == (own if r.url and "b.ex" in r.url else htmltext.main_text(page)) != ""
+
+
+def test_a_page_of_repeated_text_keeps_it(spark):
+    rows = [(i, "http://a.example/", f"<body><!-- {i} --><div>Members only</div></body>") for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in htmltext.extract(df).collect()} == {"Members only"}
+
+
 def test_pages_against_a_pattern(spark):
     def pattern(page):
         inside = re.search(r"<article>(.*?)(</article>|\Z)", page, re.S)

@@ -4,7 +4,8 @@ The DOMs of one host are merged: elements of the same path (tags with their clas
 left out) are one node of the host's tree. Over all pages a node has as many presentations as
 different rows of child tags, and as many contents as different texts below it; the entropy of both,
 as a share of the greatest possible, is its importance. What a host repeats (notices, share bars,
-teasers) has next to none and its branches are cut from every page. A node of few pages tells nothing.
+teasers) has next to none and its branches are cut from every page. A node of few pages tells nothing, and
+copies of a page are one page. A page that would be left without text keeps its repeated branches.
 
 Menus and adverts may well differ on every page, so the roles that tags, classes and ids state count as
 well: branches of a noise role go whatever their entropy; where a page marks its article, what is
@@ -33,7 +34,7 @@ CONTENT_SHARE = 0.9
 LEAST_IMPORTANCE = 0.2
 #: The same for a box inside a marked article.
 LEAST_INSIDE = 0.1
-#: Occurrences from which on a node's entropy is judged.
+#: Different pages of a host from which on a node's entropy is judged.
 LEAST_COUNT = 8
 #: Rows (one a host) up to which the cut branches are broadcast; they are counted first.
 BROADCAST_ROWS = 50_000
@@ -146,10 +147,14 @@ def main_text(
     page: str | None, cut: set[int] | frozenset[int] = frozenset(), inside: set[int] | frozenset[int] = frozenset()
 ) -> str:
     """Text of the page without noise roles, the branches whose signature is in ``cut``, and the article's boxes whose
-    signature is in ``inside``."""
+    signature is in ``inside``; with these if there is no other text."""
     if not page:
         return ""
     nodes, texts = parse(page)
+    return _left(nodes, texts, cut, inside) or (_left(nodes, texts, frozenset(), frozenset()) if cut or inside else "")
+
+
+def _left(nodes, texts, cut, inside) -> str:
     marked = any(n[2] == INSIDE for n in nodes)
     speaks = {node for node, text, _ in texts if text.strip()} if inside else set()
     gone = [False] * len(nodes)
@@ -177,12 +182,14 @@ def main_text(
 
 
 def observations(page: str | None) -> Iterator[tuple[int, int, int]]:
-    """(signature, 0 for a presentation or 1 for a content, which one) of each node without a noise role."""
+    """(signature, 0 for a presentation or 1 for a content, which one) of each node without a noise role, and
+    (signature, 2, 0) once for each different one."""
     if not page:
         return
     nodes, texts = parse(page)
     below: list[list[int]] = [[] for _ in nodes]
     tags: list[list[str]] = [[] for _ in nodes]
+    shown: set[int] = set()
     for node, text, _ in texts:
         flat = _SPACE.sub(" ", text).strip()
         if flat:
@@ -195,35 +202,49 @@ def observations(page: str | None) -> Iterator[tuple[int, int, int]]:
         if role != NOISE and below[i]:
             yield sign, 0, xxh64_intdigest("+".join(tags[i])) >> 1
             yield sign, 1, content >> 1
+            shown.add(sign)
+    for sign in shown:
+        yield sign, 2, 0
 
 
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: Counter = Counter()
-        for name, page in zip(batch.column("host").to_pylist(), batch.column("html")):
+        for name, page, copies in zip(batch.column("host").to_pylist(), batch.column("html"), batch.column("copies").to_pylist()):
             for item in observations(page.as_py()):
-                seen[(name, *item)] += 1
+                seen[(name, *item)] += 1 / copies
         columns = list(zip(*seen)) or [[], [], [], []]
         kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(list(seen.values()), pa.int64())],
+            [*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(list(seen.values()), pa.float64())],
             names=["host", "node", "kind", "which", "n"],
         )
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """host, node, count, importance (0 to 1) over ``pages`` (host, html): the merged tree's nodes."""
+    """host, node, count (of pages), importance (0 to 1) over the different ``pages`` (host, html): the merged tree's nodes.
+
+    Each of n copies counts as the n-th part of a page, so that no text but that of copies is joined."""
+    key = [F.xxhash64("html").alias("print"), F.char_length("html").alias("size")]
+    known = pages.where(F.col("html").isNotNull()).select("host", "html", *key)
+    copied = materialise(
+        known.groupBy("host", "print", "size").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "copies"
+    )
+    right = F.broadcast(copied) if copied.count() <= BROADCAST_ROWS else copied
     counts = (
-        pages.select("host", "html")
-        .mapInArrow(_observed, "host string, node long, kind int, which long, n long")
+        known.join(right, ["host", "print", "size"], "left")
+        .select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
+        .mapInArrow(_observed, "host string, node long, kind int, which long, n double")
         .groupBy("host", "node", "kind", "which")
-        .agg(F.sum("n").alias("n"))
+        # The shares of copies make whole numbers up to rounding.
+        .agg(F.round(F.sum("n")).alias("n"))
     )
-    n = F.col("n").cast("double")
+    n = F.col("n")
     shares = counts.groupBy("host", "node", "kind").agg(F.sum("n").alias("count"), F.sum(n * F.log(n)).alias("s"))
     spread = F.when(F.col("count") > 1, 1 - F.col("s") / (F.col("count") * F.log("count"))).otherwise(1.0)
-    weight = F.when(F.col("kind") == 1, CONTENT_SHARE).otherwise(1 - CONTENT_SHARE)
-    return shares.groupBy("host", "node").agg(F.max("count").alias("count"), F.sum(spread * weight).alias("importance"))
+    weight = F.when(F.col("kind") == 1, CONTENT_SHARE).when(F.col("kind") == 0, 1 - CONTENT_SHARE).otherwise(0.0)
+    shown = F.max(F.when(F.col("kind") == 2, F.col("count")))
+    return shares.groupBy("host", "node").agg(shown.alias("count"), F.sum(spread * weight).alias("importance"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -231,7 +252,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
 
     The whole page is read. Null and empty pages give an empty text; pages without host share one tree.
     Text in a block has its references decoded, white space turned into one space and its ends trimmed; blocks
-    are joined in page order by one space. Repeated rows come back as often and count as often. Other
+    are joined in page order by one space. Repeated rows come back as often and count once. Other
     columns are not read. An empty table gives no rows.
     """
     named = pages.select(
