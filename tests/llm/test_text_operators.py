@@ -167,6 +167,20 @@ def test_main_text(page, text):
     assert htmltext.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body class='single has-sidebar'><article>t</article></body>", "t"), ("<html class='no-cookie'><body><p>t</p></body></html>", "t"),
+    ("<html class='cookie'><body id='menu' class='has-header'><p>t</p></body></html>", "t"), ("<article class='post category-social'>t</article>", "t"),
+    ("<article class='social'>t</article>", "t"), ("<main class='header search'>t</main>", "t"), ("<div id='content-form'><article>t</article></div>", "t"),
+    ("<div class='menu'><div id='form'><main><p>t</p></main></div></div><p>far longer than the rest</p>", "t"), ("<div class='social'><article>text</article></div><p>x</p>", "text"),
+    ("<div class='content-form'>t</div><div class='form'>f</div>", "t"), ("<div class='no-sidebar menu-open'>t</div><div class='left sidebar2'>s</div>", "t"),
+    ("<div class='category-social'>t</div><div class='main-menu'>m</div><div role='navigation'>n</div>", "t"), ("<p>long text</p><div id='related'><article>r</article></div>", "long text"),
+    ("<p>t</p><div id='comments'><article class='comment'>a far longer comment</article></div>", "t"), ("<article>t<div class='related'><article>r</article></div></article>", "t"),
+    ("<nav><article>n</article></nav><p>t</p>", "t"),
+])
+def test_noise_names_are_whole(page, text):
+    assert htmltext.main_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert htmltext.main_text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     assert htmltext.main_text("<p>word</p>" * 100_000) == " ".join(["word"] * 100_000)

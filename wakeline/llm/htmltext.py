@@ -19,6 +19,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -46,7 +47,7 @@ _TAG = re.compile(
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
-_PARTS = re.compile(r"[a-z]+")
+_WORD_RUNS = re.compile(r"[a-z]+")
 _RAW = {t: re.compile(rf"</{t}\b", re.I) for t in ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp")}
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,9 +74,82 @@ _NOISE_NAMES = frozenset(
     "breadcrumbs popup modal newsletter subscribe".split()
 )
 _HEAD_NAMES = frozenset("header masthead topbar".split())
+#: Names that say nothing at the end of a longer one (content-form, post-social): the tree decides on those.
+_DOUBTFUL = frozenset("form search social related comment promo share sharing ad complementary consent".split())
+#: First words of names that state a page's layout or topic, not what the element is (has-sidebar, no-cookie, tag-menu).
+_STATES = frozenset("has have no not without with is category tag topic type format term tax layout".split())
 _ARTICLE = frozenset(("article", "main"))
+#: Elements that names do not make noise.
+_UNNAMED = _ARTICLE | {"html", "body"}
 
-KEPT, INSIDE, NOISE = 0, 1, 2
+KEPT, INSIDE, NOISE, HEAD = 0, 1, 2, 3
+
+
+@lru_cache(maxsize=10_000)
+def _says(names: str) -> int:
+    """Role that class tokens, id and role state by a whole token or by its last word: NOISE, HEAD or KEPT."""
+    head = False
+    for token in names.split():
+        words = _WORD_RUNS.findall(token)
+        if not words:
+            continue
+        last = words[-1]
+        if len(words) > 1 and (last in _DOUBTFUL or words[0] in _STATES):
+            continue
+        if last in _NOISE_NAMES:
+            return NOISE
+        head = head or last in _HEAD_NAMES
+    return HEAD if head else KEPT
+
+
+def _with_roles(nodes: list[tuple[int, int, int, str, bool]], spared: frozenset[int] | set[int] = frozenset()) -> list[tuple[int, int, int, str, bool]]:
+    """``nodes`` with roles in place of what their names say; names of ``spared`` nodes say nothing."""
+    out = nodes[:1]
+    for i in range(1, len(nodes)):
+        parent, sign, says, tag, named = nodes[i]
+        if i in spared or tag in _UNNAMED:
+            says = KEPT
+        role = out[parent][2]
+        if role == NOISE or tag in _NOISE_TAGS or says == NOISE:
+            role = NOISE
+        elif role != INSIDE and (tag == "header" or says == HEAD):
+            role = NOISE
+        elif tag in _ARTICLE:
+            role = INSIDE
+        out.append((parent, sign, role, tag, named))
+    return out
+
+
+def _roles(nodes: list[tuple[int, int, int, str, bool]], texts: list[tuple[int, str, bool]]) -> list[tuple[int, int, int, str, bool]]:
+    """``nodes`` with roles. Where noise names leave no article with text, the names of the ancestors of an article
+    say nothing, if ``main`` or what articles not named as noise hold is longer than the rest that is kept."""
+    found = _with_roles(nodes)
+    if not any(n[3] in _ARTICLE for n in nodes):
+        return found
+    size = [0] * len(nodes)
+    kept = 0
+    for node, text, _ in texts:
+        n = len(text.strip())
+        size[node] += n
+        if found[node][2] == INSIDE and n:
+            return found
+        kept += n if found[node][2] == KEPT else 0
+    spared: set[int] = set()
+    for i in range(1, len(nodes)):
+        if nodes[i][3] == "main" or (nodes[i][3] == "article" and nodes[i][2] == KEPT):
+            up = nodes[i][0]
+            while up > 0 and up not in spared:
+                spared.add(up)
+                up = nodes[up][0]
+    if not spared:
+        return found
+    freed = _with_roles(nodes, spared)
+    inside = sum(n for n, node in zip(size, freed) if node[2] == INSIDE)
+    in_main = [False] * len(nodes)
+    for i in range(1, len(nodes)):
+        in_main[i] = in_main[nodes[i][0]] or nodes[i][3] == "main"
+    whole = any(n and m and node[2] == INSIDE for n, m, node in zip(size, in_main, freed))
+    return freed if inside > kept or whole else found
 
 
 def parse(page: str) -> tuple[list[tuple[int, int, int, str, bool]], list[tuple[int, str, bool]]]:
@@ -91,7 +165,7 @@ def parse(page: str) -> tuple[list[tuple[int, int, int, str, bool]], list[tuple[
             texts.append((stack[-1], piece, broken))
             broken = False
         if m is None:
-            return nodes, texts
+            return _roles(nodes, texts), texts
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
@@ -117,21 +191,12 @@ def parse(page: str) -> tuple[list[tuple[int, int, int, str, bool]], list[tuple[
                     break
         parent = stack[-1]
         names = " ".join(v.strip("\"'").lower() for _, v in _NAMED.findall(m[3] or m[6] or ""))
-        up = nodes[parent]
-        sign = xxh64_intdigest(f"{up[1]}>{tag}.{_DIGITS.sub('', names)}") >> 1
-        role = up[2]
-        parts = set(_PARTS.findall(names))
-        if role == NOISE or tag in _NOISE_TAGS or parts & _NOISE_NAMES:
-            role = NOISE
-        elif role != INSIDE and (tag == "header" or parts & _HEAD_NAMES):
-            role = NOISE
-        elif tag in _ARTICLE:
-            role = INSIDE
+        sign = xxh64_intdigest(f"{nodes[parent][1]}>{tag}.{_DIGITS.sub('', names)}") >> 1
         if tag in _RAW:
             end = _RAW[tag].search(page, at)
             at = end.start() if end else len(page)
             continue
-        nodes.append((parent, sign, role, tag, bool(names)))
+        nodes.append((parent, sign, _says(names) if names else KEPT, tag, bool(names)))
         if tag not in _VOID and not m[0].endswith("/>"):
             stack.append(len(nodes) - 1)
 
