@@ -52,3 +52,28 @@ def test_open_windows_come_out_too(spark, tmp_path, rows):
     assert rows(slots) == rows(latest_by_slot(df)) and slots.count() == 120
     hours = run_to_end(last_hour_activity(live), last_hour_activity(df), F.col("window_end"), "hours")
     assert rows(hours) == rows(last_hour_activity(df))
+
+
+def test_files_that_overlap_in_time_are_whole(spark, tmp_path, rows):
+    # Five batches, each over the whole period.
+    files = [track(spark, i % 2, [(s + 11 * i, 5.0) for s in range(0, 7200, 90)], first_seq=1000 * i) for i in range(5)]
+    live = replay(spark, tmp_path, *files)
+    df = spark.read.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    assert run_to_table(latest_by_slot(live), "lost").count() < latest_by_slot(df).count()
+    slots = run_to_end(latest_by_slot(live), latest_by_slot(df), F.col("slot_start") + F.expr("INTERVAL 1 MINUTE"), "slots")
+    assert rows(slots) == rows(latest_by_slot(df)) != []
+    hours = run_to_end(last_hour_activity(live), last_hour_activity(df), F.col("window_end"), "hours")
+    assert rows(hours) == rows(last_hour_activity(df)) != []
+    assert sum(r.n_points for r in hours.collect()) == 60 * df.count()
+
+
+def test_late_rows_are_noticed_in_unreported_batches(spark, tmp_path, rows):
+    files = [track(spark, 1, [(s, 5.0)], first_seq=10 * i) for i, s in enumerate((3600, 3600, 3601, 0, 9000, 9001, 9002))]
+    live = replay(spark, tmp_path, *files)
+    df = spark.read.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        slots = run_to_end(latest_by_slot(live), latest_by_slot(df), F.col("slot_start") + F.expr("INTERVAL 1 MINUTE"), "slots")
+        assert rows(slots) == rows(latest_by_slot(df)) and slots.count() == 3
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")

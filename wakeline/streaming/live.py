@@ -8,6 +8,8 @@ one, and the partial aggregation runs before the shuffle.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from wakeline.functions.timefn import instant, ntz, wall_clock
 from wakeline.operators.motion import order_key
 from wakeline.schema import HOUR_SECONDS, MINUTE_SECONDS
-from wakeline.sources.scratch import scratch_path
+from wakeline.sources.scratch import materialise, scratch_path
 
 DELAY = "10 minutes"
 
@@ -77,14 +79,27 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
 def run_to_end(stream: DataFrame, batch: DataFrame, end: Column, label: str) -> DataFrame:
     """Closed windows from the stream and the ones that are still open from ``batch``, the same
     aggregation over the same messages at rest. ``end`` is a window's end as UTC wall clock: what ends by the
-    stream's last watermark is closed, so only rows that came too late are in neither."""
-    closed, watermark = _run(stream, label)
-    if watermark is not None:
-        batch = batch.where(end > ntz(watermark))
-    return closed.unionByName(batch)
-
-
-def _run(stream: DataFrame, label: str) -> tuple[DataFrame, datetime | None]:
+    stream's last watermark is closed. If the stream dropped rows that came too late (files of a replay are in no
+    order of time), the closed windows that they belong to come from ``batch`` as well, so no message is left out."""
+    closed, watermark, late = _run(stream, label)
+    if watermark is None:
+        return closed.unionByName(batch)
+    still_open = batch.where(end > ntz(watermark))
+    if not late:
+        return closed.unionByName(still_open)
+    whole = materialise(batch.where(end <= ntz(watermark)), label + "-whole")
+
+    def same(columns: list[str]) -> Column:
+        return reduce(and_, (F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in columns))
+
+    x, y = closed.select(whole.columns).alias("x"), whole.alias("y")
+    complete = x.join(y, same(whole.columns), "left_semi")
+    mended = whole.alias("x").join(closed.alias("y"), same(whole.columns), "left_anti")
+    return complete.unionByName(mended).unionByName(still_open)
+
+
+def _run(stream: DataFrame, label: str) -> tuple[DataFrame, datetime | None, bool]:
+    """A scan of the closed windows, the last watermark, and whether rows were (or may have been) dropped as late."""
     spark = stream.sparkSession
     out = scratch_path(spark, label)
     query = (
@@ -96,6 +111,10 @@ def _run(stream: DataFrame, label: str) -> tuple[DataFrame, datetime | None]:
         .start()
     )
     query.awaitTermination()
-    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
+    progress = query.recentProgress
+    marks = [p["eventTime"]["watermark"] for p in progress if "watermark" in p["eventTime"]]
     watermark = datetime.fromisoformat(max(marks)).replace(tzinfo=None) if marks else None
-    return spark.read.schema(stream.schema).parquet(out), watermark
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"])
+    # Of a long run only the last batches are reported.
+    unseen = bool(progress) and len({p["batchId"] for p in progress}) <= max(p["batchId"] for p in progress)
+    return spark.read.schema(stream.schema).parquet(out), watermark, dropped > 0 or unseen
