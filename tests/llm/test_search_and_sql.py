@@ -67,6 +67,19 @@ def test_top_k(spark, rows, monkeypatch):
     assert topk.top_k(df.limit(0), df, 5).count() == topk.top_k(df, df.limit(0), 5).count() == 0
 
 
+def test_rows_of_one_id_with_different_vectors_are_candidates(spark, rows):
+    rng = np.random.default_rng(3)
+    given = [(i % 40, rng.normal(size=4).tolist()) for i in range(120)]
+    given = [*given, (100, [9.0] * 4), (100, [8.0] * 4)]
+    df = spark.createDataFrame(given, "vec_id long, embedding array<double>")
+    db = duckdb.connect()
+    db.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    db.executemany("INSERT INTO embeddings VALUES (?, ?)", given)
+    found = rows(topk.top_k(df.where("vec_id % 50 = 0"), df, 5), "query_id", "rank", "vec_id", "score")
+    assert found == sorted(db.sql(queries.SQL["op7_topk"]).fetchall(), key=repr)
+    assert [r[2] for r in found if r[0] == 0].count(100) <= 5 and len(found) == 10
+
+
 def test_search_stops_early_and_is_exact(monkeypatch):
     rng = np.random.default_rng(2)
     centres = rng.integers(-200, 200, (20, 16))

@@ -157,8 +157,9 @@ def top_k(
     """query_id, rank (from 1), vec_id, score: the ``k`` largest integer inner products of each query.
 
     A query meets every row of its length but those of its own id; ties go to the smaller vec_id. Rows with
-    a null id, or a vector that is null or holds null or non-finite components, take no part. Repeated
-    rows of an id count once (as the row whose vector is least). Scores beyond 64 bits stop at the limit.
+    a null id, or a vector that is null or holds null or non-finite components, take no part. Rows equal in
+    id and vector count once; rows of one id with different vectors are each a candidate, and as queries share the
+    ``k`` ranks of their id. Scores beyond 64 bits stop at the limit.
     Fewer rows than ``k`` are all returned; empty tables give no rows. Other columns are not read.
     """
     if k < 1:
@@ -171,7 +172,7 @@ def top_k(
             & F.col("vector").isNotNull()
             & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         )
-        return usable.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+        return usable.distinct()
 
     rows = materialise(slim(vectors), "vectors")
     asked = slim(queries)
