@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import chat, htmltext, mixing, simhash, substrings, tokens, topk, toxicity, urls, winnowing
+from wakeline.llm import chat, collocations, htmltext, language, mixing, simhash, substrings, tokens, topk, toxicity, urls, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,3 +180,44 @@ c AS (SELECT page_id, url, [trim(regexp_replace(regexp_replace(replace(replace(r
   '&amp;?', '&', 'g'), '[\s\x{A0}]+', ' ', 'g')) FOR x IN blocks] AS blocks FROM b),
 d AS (SELECT page_id, url, coalesce(array_to_string([x FOR x IN blocks IF x <> ''], ' '), '') AS text FROM c)
 SELECT page_id, url, text, length(text) AS n_chars FROM d"""
+
+
+@register
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
+@register
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_collocations"] = r"""WITH d AS (
+ SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+q AS MATERIALIZED (SELECT lang, unnest(w) AS w1, unnest(list_concat(w[2:], [NULL])) AS w2, unnest(list_concat(w[3:], [NULL, NULL])[:len(w)]) AS w3 FROM p),
+f1 AS MATERIALIZED (SELECT lang, w1, CAST(count(*) AS BIGINT) AS f FROM q WHERE w1 IS NOT NULL GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, CAST(count(*) AS BIGINT) AS f FROM q WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS MATERIALIZED (SELECT lang, w1, w2, w3, CAST(count(*) AS BIGINT) AS f FROM q WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+c AS (
+ SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, 1 AS cut, f2.f AS a, x.f AS l, y.f AS r FROM f2
+ JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+ UNION ALL
+ SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 1, f3.f, x.f, y.f FROM f3
+ JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1 JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+ UNION ALL
+ SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, 2, f3.f, x.f, y.f FROM f3
+ JOIN f2 x ON x.lang = f3.lang AND x.w1 = f3.w1 AND x.w2 = f3.w2 JOIN f1 y ON y.lang = f3.lang AND y.w1 = f3.w3),
+s AS (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM c),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS first FROM s),
+x AS (
+ SELECT lang, part, max(f) AS longer FROM (
+  SELECT lang, w1 || ' ' || w2 AS part, f FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, f FROM f3) GROUP BY ALL),
+o AS (
+ SELECT b.* FROM b LEFT JOIN x ON x.lang = b.lang AND x.part = b.phrase
+ WHERE first = 1 AND (longer IS NULL OR 100 * longer < 50 * b.a)),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang)
+SELECT t.lang, rank, phrase, a, l, r, n, score FROM t JOIN n USING (lang) WHERE rank <= 2000"""
