@@ -42,6 +42,10 @@ def from_epoch_seconds(seconds: Column) -> Column:
     return F.expr(EPOCH) + seconds.cast("interval second")
 
 
+def from_epoch_micros(micros: Column) -> Column:
+    return F.expr(EPOCH) + (micros.cast("decimal(20, 0)") / 1_000_000).cast("decimal(18, 6)").cast("interval second")
+
+
 def epoch_millis(ts: Column) -> Column:
     """Milliseconds since 1970 of the wall clock, whole seconds only."""
     return epoch_seconds(ts) * F.lit(1000).cast("bigint")
@@ -54,8 +58,7 @@ def instant(ts: Column) -> Column:
 
 def wall_clock(ts: Column) -> Column:
     """Instant -> zone-free UTC wall clock."""
-    seconds = (F.unix_micros(ts).cast("decimal(20, 0)") / 1_000_000).cast("decimal(18, 6)")
-    return F.expr(EPOCH) + seconds.cast("interval second")
+    return from_epoch_micros(F.unix_micros(ts))
 
 
 def localtime(ts: Column, zone: str = ZONE) -> Column:

@@ -49,7 +49,8 @@ from wakeline.plans.registry import (
 from wakeline.plans.testbed import ais, messages_from, polygons
 from wakeline.sources.layers import read_polygons, write_polygons
 from wakeline.sources.scratch import materialise, scratch_path
-from wakeline.streaming.live import last_hour_activity, latest_by_slot, run_to_end
+from wakeline.streaming.live import last_hour_activity, latest_by_slot, replay, run_to_end
+from wakeline.streaming.retained import retained_points, retained_track, run_retained
 
 LAT0, LON0, WIDE = 48.0, -122.75, 30.0
 
@@ -391,16 +392,9 @@ def u2_polygons(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------
 
 
-def live_messages(spark, sf_dir):
-    """The messages as a stream over the same files, some at a time."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    # The pattern matches this one table; a stream does not take the name of a single file.
-    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{sf_dir}/events.parque[t]")
-    return messages_from(events)
-
-
-def messages_at_rest(spark, sf_dir):
-    return messages_from(spark.read.parquet(f"{sf_dir}/events.parquet"))
+def replayed(spark, sf_dir, label):
+    """The messages as a stream in order of time, and at rest."""
+    return replay(ais(spark, sf_dir), label)
 
 
 @register(
@@ -412,7 +406,7 @@ def messages_at_rest(spark, sf_dir):
     ),
 )
 def st1(spark, sf_dir):
-    live, still = latest_by_slot(live_messages(spark, sf_dir)), latest_by_slot(messages_at_rest(spark, sf_dir))
+    live, still = map(latest_by_slot, replayed(spark, sf_dir, "slots-replay"))
     return run_to_end(live, still, F.col("slot_start") + F.expr("INTERVAL 1 MINUTE"), "latest-by-slot")
 
 
@@ -426,10 +420,27 @@ def st1(spark, sf_dir):
     ),
 )
 def st2(spark, sf_dir):
-    live, still = last_hour_activity(live_messages(spark, sf_dir)), last_hour_activity(messages_at_rest(spark, sf_dir))
+    live, still = map(last_hour_activity, replayed(spark, sf_dir, "hours-replay"))
     return run_to_end(live, still, F.col("window_end"), "last-hour")
 
 
+@register(
+    "st2_last_hour_track",
+    on_ais(
+        "SELECT mmsi, CAST(row_number() OVER (PARTITION BY mmsi ORDER BY base_dt, seq) - 1 AS INTEGER) AS idx, base_dt, lat, lon, sog "
+        "FROM (SELECT *, max(base_dt) OVER (PARTITION BY mmsi) AS newest FROM ais) WHERE base_dt > newest - INTERVAL 1 HOUR"
+    ),
+)
+def st2_track(spark, sf_dir):
+    """The stream keeps each vessel's last hour as state; the tracks are read from that state. Order does not matter."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # The pattern matches this one table; a stream does not take the name of a single file.
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{sf_dir}/events.parque[t]")
+    place = scratch_path(spark, "retained")
+    run_retained(retained_track(messages_from(events)), place)
+    return retained_points(spark, place)
+
+
 # --- flagship -------------------------------------------------------------------------
 
 FLAGSHIP_SQL = on_motion(

@@ -8,8 +8,6 @@ one, and the partial aggregation runs before the shuffle.
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +15,12 @@ from pyspark.sql import functions as F
 from wakeline.functions.timefn import instant, ntz, wall_clock
 from wakeline.operators.motion import order_key
 from wakeline.schema import HOUR_SECONDS, MINUTE_SECONDS
-from wakeline.sources.scratch import materialise, scratch_path
+from wakeline.sources.scratch import scratch_path
+from wakeline.sources.tables import write_by_time
 
 DELAY = "10 minutes"
+_REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
+_MOST_REPORTS = 1_000_000
 
 
 def with_event_time(messages: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -76,30 +77,56 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     return _run(stream, label)[0]
 
 
+class LateRows(RuntimeError):
+    """A replay dropped messages that came after their window had closed."""
+
+
 def run_to_end(stream: DataFrame, batch: DataFrame, end: Column, label: str) -> DataFrame:
     """Closed windows from the stream and the ones that are still open from ``batch``, the same
     aggregation over the same messages at rest. ``end`` is a window's end as UTC wall clock: what ends by the
-    stream's last watermark is closed. If the stream dropped rows that came too late (files of a replay are in no
-    order of time), the closed windows that they belong to come from ``batch`` as well, so no message is left out."""
-    closed, watermark, late = _run(stream, label)
-    if watermark is None:
-        return closed.unionByName(batch)
-    still_open = batch.where(end > ntz(watermark))
-    if not late:
-        return closed.unionByName(still_open)
-    whole = materialise(batch.where(end <= ntz(watermark)), label + "-whole")
-
-    def same(columns: list[str]) -> Column:
-        return reduce(and_, (F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in columns))
-
-    x, y = closed.select(whole.columns).alias("x"), whole.alias("y")
-    complete = x.join(y, same(whole.columns), "left_semi")
-    mended = whole.alias("x").join(closed.alias("y"), same(whole.columns), "left_anti")
-    return complete.unionByName(mended).unionByName(still_open)
-
-
-def _run(stream: DataFrame, label: str) -> tuple[DataFrame, datetime | None, bool]:
-    """A scan of the closed windows, the last watermark, and whether rows were (or may have been) dropped as late."""
+    stream's last watermark is closed. A stream whose messages come in order of time (``replay``) drops none; if one
+    came too late all the same, the result would not be whole and ``LateRows`` says so."""
+    closed, watermark, dropped = _run(stream, label)
+    if dropped:
+        raise LateRows(f"{dropped} aggregated rows came too late: replay the messages in order of time")
+    return closed.unionByName(batch if watermark is None else batch.where(end > ntz(watermark)))
+
+
+def replay(messages: DataFrame, label: str, files_per_batch: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """``messages`` as a stream in order of time, and the same rows at rest.
+
+    They are laid out once in files that follow each other in time (``write_by_time``). A file source takes files by their time
+    of change, which says nothing here: it is set in the order of the files' names, one second apart. Stores that keep no time
+    of change need writers that add files in order."""
+    spark = messages.sparkSession
+    place = scratch_path(spark, label)
+    write_by_time(messages, place)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(place)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in store.listStatus(folder)), key=lambda p: p.getName())
+    for number, path in enumerate(files):
+        store.setTimes(path, number * 1000, -1)
+    still = spark.read.parquet(place)
+    live = spark.readStream.schema(still.schema).option("maxFilesPerTrigger", files_per_batch).parquet(place)
+    return live, still
+
+
+def _run(stream: DataFrame, label: str) -> tuple[DataFrame, datetime | None, int]:
+    """A scan of the closed windows, the last watermark, and how many aggregated rows were dropped as late."""
+    spark = stream.sparkSession
+    kept = spark.conf.get(_REPORTS, None)
+    # Every batch must be reported: its late rows count.
+    spark.conf.set(_REPORTS, str(_MOST_REPORTS))
+    try:
+        return _finished(stream, label)
+    finally:
+        if kept is None:
+            spark.conf.unset(_REPORTS)
+        else:
+            spark.conf.set(_REPORTS, kept)
+
+
+def _finished(stream: DataFrame, label: str) -> tuple[DataFrame, datetime | None, int]:
     spark = stream.sparkSession
     out = scratch_path(spark, label)
     query = (
@@ -115,6 +142,4 @@ def _run(stream: DataFrame, label: str) -> tuple[DataFrame, datetime | None, boo
     marks = [p["eventTime"]["watermark"] for p in progress if "watermark" in p["eventTime"]]
     watermark = datetime.fromisoformat(max(marks)).replace(tzinfo=None) if marks else None
     dropped = sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"])
-    # Of a long run only the last batches are reported.
-    unseen = bool(progress) and len({p["batchId"] for p in progress}) <= max(p["batchId"] for p in progress)
-    return spark.read.schema(stream.schema).parquet(out), watermark, dropped > 0 or unseen
+    return spark.read.schema(stream.schema).parquet(out), watermark, dropped
