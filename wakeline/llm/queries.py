@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import chat, collocations, htmltext, language, mixing, simhash, substrings, tokens, topk, toxicity, urls, winnowing
+from wakeline.llm import (
+    chat,
+    collocations,
+    htmltext,
+    language,
+    mixing,
+    simhash,
+    substrings,
+    tokens,
+    topk,
+    toxicity,
+    urls,
+    whitening,
+    winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,6 +202,13 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # A deviation beyond 64 bits, possible above a billion rows, is null here and whole in the operator's own column.
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 @register
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.phrases(table(spark, sf_dir, "documents"))
