@@ -126,3 +126,27 @@ def test_mix_of_nothing(spark):
     assert mixing.mix(mixture(spark).limit(0)).count() == 0
     only_empty = spark.createDataFrame([(1, "a", None), (2, "b", "")], "doc_id long, source string, text string")
     assert [(r.size, r.target, r.taken) for r in mixing.mix(only_empty).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_equal_rows_are_settled_by_count(spark, monkeypatch, rows):
+    monkeypatch.setattr(mixing, "EQUAL_ROWS", 50)
+    given = [(None, "a", "w w w")] * 700 + [(None, "a", "w w")] * 3 + [(i, "b", "w " * (3 + i % 5)) for i in range(300)] + [(4, "b", "q q")] * 120
+    docs = spark.createDataFrame(given, "doc_id long, source string, text string")
+    mixed = mixing.mix(docs, weights=(1, 2), fan_in=4)
+    found = mixed.collect()
+    assert len(found) == len(given)
+    assert sorted((r.doc_id is None, r.size) for r in found) == sorted((i is None, len(t.split())) for i, _, t in given)
+    for name in "ab":
+        some = [r for r in found if r.source == name]
+        assert abs(sum(r.taken for r in some) - some[0].target) <= 10
+        rate = some[0].target / some[0].source_size
+        assert {r.copies for r in some} <= {int(rate), int(rate) + 1}
+    equal = [r.copies for r in found if r.doc_id is None and r.size == 3]
+    assert abs(sum(equal) - 700 * found[0].target / found[0].source_size) <= 2 or found[0].source != "a"
+    assert rows(mixed) == rows(mixing.mix(docs.repartition(7), weights=(1, 2), fan_in=4))
+
+
+def test_text_ids(spark):
+    docs = spark.createDataFrame([(f"d{i}", "ab"[i % 2], "w " * (1 + i % 4)) for i in range(40)], "doc_id string, source string, text string")
+    mixed = mixing.mix(docs, fan_in=4)
+    assert {r.doc_id for r in mixed.collect()} == {f"d{i}" for i in range(40)}

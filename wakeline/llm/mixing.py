@@ -6,10 +6,15 @@ of its expected words as makes one of the two fractions 0 or 1, in the direction
 that expectations hold. Words are handed over one for one, so a source's expected words never change
 and only its last undecided document is rounded. Pivots run within small groups first; what each
 group leaves undecided goes up a reduction tree until one document of each source is left.
+
+Rows equal in source, id, size and text are interchangeable: they are one entry with a count, the whole part of
+their common expectation is certain, and at most one of them is undecided. So no group of copies meets in one task.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +25,8 @@ FAN_IN = 64
 #: Rows (one a source) up to which source figures are broadcast; they are counted first.
 BROADCAST_ROWS = 400_000
 MAX_COPIES = 3
+#: Equal rows that one task writes.
+EQUAL_ROWS = 100_000
 
 _WORD_BREAKS = r"[\x20\x09-\x0D]+"
 
@@ -62,17 +69,23 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int
     ranked = materialise(ranked_sources(sizes).select("source", F.col("source_size"), weight.alias("w")), "weights")
     limit = F.col("source_size") * float(most)
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
+
+    def at(level: float) -> DataFrame:
+        # The level is a value in a one-row table: every round runs the same generated code.
+        given = sizes.sparkSession.createDataFrame([(1, level)], "one int, level double")
+        return ranked.withColumn("one", F.lit(1)).join(F.broadcast(given), "one")
+
     level = 0.0
     while True:
-        full = limit <= level * F.col("w")
-        used, open_w, n = ranked.agg(
-            F.sum(F.when(full, limit)), F.sum(F.when(~full, F.col("w"))), F.count(F.when(~full, 1))
-        ).first()
+        full = limit <= F.col("level") * F.col("w")
+        used, open_w, n = (
+            at(level).agg(F.sum(F.when(full, limit)), F.sum(F.when(~full, F.col("w"))), F.count(F.when(~full, 1))).first()
+        )
         new = (total - (used or 0)) / open_w if n else level
         if new <= level:
             break
         level = new
-    return ranked.select("source", "source_size", F.least(limit, level * F.col("w")).alias("target"))
+    return at(level).select("source", "source_size", F.least(limit, F.col("level") * F.col("w")).alias("target"))
 
 
 def _draw(*parts: Column) -> Column:
@@ -94,14 +107,14 @@ def _pivot(a: Column, b: Column) -> tuple[Column, Column]:
     return snapped(pa, sa, gain), snapped(pb, sb, -gain)
 
 
-_DOC = "struct<size:bigint,doc:bigint,frac:double,tie:bigint>"
+_FIELDS = ("size", "doc", "frac", "tie", "n", "extra")
 
 
-def _chain(items: Column) -> Column:
+def _chain(items: Column, doc_type: str) -> Column:
     """Pivots along a sorted group: array of documents where at most one is undecided."""
 
     def with_frac(x: Column, p: Column) -> Column:
-        return F.struct(x["size"].alias("size"), x["doc"].alias("doc"), p.alias("frac"), x["tie"].alias("tie"))
+        return F.struct(*((p if name == "frac" else x[name]).alias(name) for name in _FIELDS))
 
     def settled(x: Column) -> Column:
         return (x["frac"] <= 0) | (x["frac"] >= 1)
@@ -120,26 +133,47 @@ def _chain(items: Column) -> Column:
         passed = F.struct(x.alias("held"), F.concat(acc["done"], F.array(acc["held"])).alias("done"))
         return F.when(acc["held"].isNull(), first).when(settled(acc["held"]), passed).otherwise(chained)
 
-    start = F.struct(F.lit(None).cast(_DOC).alias("held"), F.array().cast(f"array<{_DOC}>").alias("done"))
+    entry = f"struct<size:bigint,doc:{doc_type},frac:double,tie:bigint,n:bigint,extra:bigint>"
+    start = F.struct(F.lit(None).cast(entry).alias("held"), F.array().cast(f"array<{entry}>").alias("done"))
     return F.aggregate(items, start, step, lambda acc: F.concat(acc["done"], F.array(acc["held"])))
 
 
 def _settle_largest(aimed: DataFrame) -> DataFrame:
-    """One transfer between the largest document of each source and all others together.
-
-    Single pivots with far smaller documents may never settle it. All fractions of a source are
-    still equal here, so the others' share of the transfer is the same factor for each. The step is
-    left out where the others cannot take what it needs."""
-    f, big = F.col("frac"), F.col("largest")
-    rest = (F.col("source_size") - big["size"]).cast("double") * F.least(f, 1 - f)
-    goes_up = _draw(F.lit("largest"), F.col("source"), big["doc"], big["tie"]) < f
-    need = big["size"] * F.when(goes_up, 1 - f).otherwise(f)
-    possible = (f > 0) & (rest > 0) & (big["size"] * F.greatest(f, 1 - f) <= rest)
+    """One transfer between the largest document of each source and all others together, then the whole parts of equal rows.
+
+    Single pivots with far smaller documents may never settle the largest. The fractions of the others are
+    still equal here, so their share of the transfer is the same factor for each. The step is
+    left out where the others cannot take what it needs. ``extra`` is how many of an entry's rows are certain to be taken
+    once more, ``frac`` what is left to decide."""
+    f, big = F.col("rate") - F.col("base"), F.col("largest")
+    one = big["n"] * f - F.floor(big["n"] * f)
+    rest = (F.col("source_size") - big["n"] * big["size"]).cast("double") * F.least(f, 1 - f)
+    goes_up = _draw(F.lit("largest"), F.col("source"), big["doc"], big["tie"]) < one
+    need = big["size"] * F.when(goes_up, 1 - one).otherwise(one)
+    possible = (one > 0) & (rest > 0) & (big["size"] * F.greatest(one, 1 - one) <= rest)
     moved = F.least(f, 1 - f) * need / rest
-    others = f + F.when(goes_up, -moved).otherwise(moved)
-    others = F.when(others < 1e-9, 0.0).when(others > 1 - 1e-9, 1.0).otherwise(others)
-    own = F.when(F.col("row") == big["row"], F.when(goes_up, 1.0).otherwise(0.0)).otherwise(others)
-    return aimed.withColumn("frac", F.when(possible, own).otherwise(f)).drop("largest")
+    others = f + F.when(possible, F.when(goes_up, -moved).otherwise(moved)).otherwise(0.0)
+    is_big = F.col("doc").eqNullSafe(big["doc"]) & (F.col("size") == big["size"]) & F.col("tie").eqNullSafe(big["tie"])
+    total = F.col("n") * F.when(is_big, f).otherwise(others)
+    # A document without words takes none, however often.
+    total = F.when(F.col("size") > 0, total).otherwise(0.0)
+    near = F.floor(total + 1e-9)
+    left = F.when(total - near < 1e-9, 0.0).otherwise(total - near)
+    own = F.when(is_big & possible, F.when(goes_up, 1.0).otherwise(0.0)).otherwise(left)
+    own = F.when(F.col("size") > 0, own).otherwise(0.0)
+    return aimed.withColumns({"extra": near.cast("long"), "frac": own}).drop("largest", "rate")
+
+
+def _each_row(entries: DataFrame, most_equal: int) -> DataFrame:
+    """One row for each of an entry's ``n`` equal rows, with its place ``at`` from 0."""
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / EQUAL_ROWS).cast("long"))
+    cut = entries.withColumn("_part", F.explode(parts))
+    if most_equal > EQUAL_ROWS:
+        cut = cut.repartition(*entries.columns, "_part")
+    size = F.least(F.lit(EQUAL_ROWS).cast("long"), F.col("n") - F.col("_part") * EQUAL_ROWS)
+    return cut.withColumn("_own", F.explode(F.sequence(F.lit(0).cast("long"), size - 1))).withColumn(
+        "at", F.col("_part") * EQUAL_ROWS + F.col("_own")
+    )
 
 
 def mix(
@@ -155,80 +189,71 @@ def mix(
 
     Weights repeat over the sources in code point order, null last. Documents without words are
     taken as often as the whole part of their source's rate says. Repeated rows and null ids are
-    documents of their own, each with its own draw. The draw is a hash of ids, so a rerun
-    gives the same. Sources without words have target 0. Other columns are not read. An empty table
+    documents of their own: of n equal rows n times the rate are taken, rounded by one draw. The draw is a hash of ids, so a rerun
+    gives the same. Sources without words have target 0. Other columns are not read; the id keeps its type. An empty table
     gives no rows.
     """
-    sized = materialise(
+    entries = materialise(
         docs.select(
-            F.col(f"`{id_col}`").cast("long").alias("doc"),
+            F.col(f"`{id_col}`").alias("doc"),
             F.col(f"`{source}`").cast("string").alias("source"),
             size_of(F.col(f"`{text}`")).alias("size"),
             F.xxhash64(F.col(f"`{text}`").cast("string")).alias("tie"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
+        )
+        .groupBy("source", "doc", "size", "tie")
+        .agg(F.count(F.lit(1)).alias("n")),
         "sizes",
     )
+    doc_type = entries.schema["doc"].dataType.simpleString()
     sums = materialise(
-        sized.groupBy("source").agg(
-            F.sum("size").alias("source_size"), F.max(F.struct("size", "doc", "tie", "row")).alias("largest")
+        entries.groupBy("source").agg(
+            F.sum(F.col("size") * F.col("n")).alias("source_size"),
+            F.max(F.struct("size", "doc", "tie", "n")).alias("largest"),
+            F.max("n").alias("most_equal"),
         ),
         "sums",
     )
-    aims = materialise(
-        targets(sums.select("source", "source_size"), weights, most)
-        .alias("t")
-        .join(sums.alias("s"), F.expr("t.source <=> s.source"))
-        .select("t.*", "s.largest"),
-        "targets",
-    )
-    small = aims.count() <= BROADCAST_ROWS
-
-    def with_aims(df: DataFrame) -> DataFrame:
-        right = F.broadcast(aims) if small else aims
-        return df.alias("x").join(right.alias("y"), F.expr("x.source <=> y.source")).select("x.*", "y.source_size", "y.target", "y.largest")
-
+    aims = targets(sums.select("source", "source_size"), weights, most).alias("t").join(sums.alias("s"), F.expr("t.source <=> s.source"))
+    aims = materialise(aims.select("t.*", "s.largest", "s.most_equal"), "targets")
+    sources, most_equal = aims.agg(F.count(F.lit(1)), F.max("most_equal")).first()
+    small = sources <= BROADCAST_ROWS
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    aimed = with_aims(sized).withColumn("base", F.floor(rate).cast("long")).withColumn("frac", rate - F.col("base"))
-    aimed = _settle_largest(aimed)
-    # A document without words takes none, however often.
-    undecided = (F.col("size") > 0) & (F.col("frac") > 0) & (F.col("frac") < 1)
-    open_, level = materialise(aimed.where(undecided).select("source", "doc", "size", "frac", "tie"), "undecided"), 0
-    decided = []
+    aims = aims.select("source", "source_size", "target", "largest", rate.alias("rate"), F.floor(rate).cast("long").alias("base"))
+    joined = entries.alias("x").join((F.broadcast(aims) if small else aims).alias("y"), F.expr("x.source <=> y.source"))
+    aimed = _settle_largest(joined.select("x.*", "y.source_size", "y.target", "y.largest", "y.rate", "y.base"))
+    # Figures of the source travel with each entry; the level of the tree is a value too, so that levels run the same code.
+    stored = materialise(aimed.withColumn("level", F.lit(0)), "undecided")
+    fixed = ["source", "source_size", "target", "base", "level"]
+    settled = (F.col("frac") <= 0) | (F.col("frac") >= 1)
+    decided, open_ = [stored.where(settled)], stored.where(~settled)
     while True:
-        counted = open_.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-        most_open = counted.agg(F.max("n")).first()[0] or 0
+        counted = open_.groupBy("source").agg(F.count(F.lit(1)).alias("entries"))
+        most_open = counted.agg(F.max("entries")).first()[0] or 0
         if most_open <= 1:
             break
-        groups = counted.select("source", F.ceil(F.col("n") / fan_in).alias("groups"))
+        groups = counted.select("source", F.ceil(F.col("entries") / fan_in).alias("groups"))
         dealt = open_.alias("x").join(F.broadcast(groups).alias("y") if small else groups.alias("y"), F.expr("x.source <=> y.source"))
         # Largest first: large documents settle each other, and what is left over is small.
-        members = F.sort_array(F.collect_list(F.struct("size", "doc", "frac", "tie")), asc=False)
+        members = F.sort_array(F.collect_list(F.struct(*_FIELDS)), asc=False)
         solved = materialise(
-            dealt.select("x.*", F.pmod(F.xxhash64("doc", "tie", F.lit(level)), F.col("groups")).alias("group"))
-            .groupBy("source", "group")
+            dealt.select("x.*", F.pmod(F.xxhash64("doc", "tie", "level"), F.col("groups")).alias("group"))
+            .groupBy(*fixed, "group")
             .agg(members.alias("m"))
-            .select("source", F.explode(_chain(F.col("m"))).alias("d"))
-            .select("source", "d.*"),
+            .select(*fixed, F.explode(_chain(F.col("m"), doc_type)).alias("d"))
+            .select(*[c for c in fixed if c != "level"], (F.col("level") + 1).alias("level"), "d.*"),
             "pivots",
         )
-        settled = (F.col("frac") <= 0) | (F.col("frac") >= 1)
         decided.append(solved.where(settled))
-        open_, level = solved.where(~settled), level + 1
-    last = open_.withColumn("frac", F.when(_draw(F.col("doc"), F.col("size"), F.col("frac")) < F.col("frac"), 1.0).otherwise(0.0))
-    extra = last.select("source", "doc", "size", "tie", "frac")
-    for part in decided:
-        extra = extra.unionAll(part.select("source", "doc", "size", "tie", "frac"))
-    certain = F.when(F.col("size") > 0, F.col("frac")).otherwise(0.0)
-    rest = aimed.where(~undecided).select("source", "doc", "size", "tie", certain.alias("frac"))
-    every = with_aims(extra.unionAll(rest))
-    copies = F.floor(rate).cast("long") + F.col("frac").cast("long")
-    return every.select(
+        open_ = solved.where(~settled)
+    last = F.when(_draw(F.col("doc"), F.col("size"), F.col("frac")) < F.col("frac"), 1.0).otherwise(0.0)
+    every = reduce(DataFrame.unionByName, decided, open_.withColumn("frac", last))
+    copies = F.col("base") + F.when(F.col("at") < F.col("extra") + F.col("frac"), 1).otherwise(0)
+    return _each_row(every, most_equal or 0).select(
         F.col("doc").alias("doc_id"),
         "source",
         "size",
         "source_size",
         "target",
-        copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        copies.cast("long").alias("copies"),
+        (copies * F.col("size")).cast("long").alias("taken"),
     )
