@@ -133,10 +133,27 @@ def test_one_of_each_group_stays(spark, rows):
     given = [(5, base), (3, base), (3, base), (20, text(6, 400)), (None, base)]
     kept = simhash.one_of_each(docs(spark, given))
     assert kept.columns == docs(spark, given).columns
-    assert rows(kept, "doc_id", "text") == sorted([(3, base), (20, text(6, 400)), (None, base)], key=repr)
+    assert rows(kept, "doc_id", "text") == sorted([(3, base), (20, text(6, 400))], key=repr)
     assert simhash.one_of_each(docs(spark, given).limit(0)).count() == 0
 
 
+def test_ids_do_not_decide_what_stays(spark, rows):
+    a, b, c, d = (text(i, 300) for i in (31, 32, 33, 34))
+    given = [(1, a), (1, b), (2, c), (None, a), (None, a), (None, d), (None, d), (7, None), (None, ""), (2, c)]
+    kept = simhash.one_of_each(docs(spark, given))
+    assert rows(kept, "doc_id", "text") == sorted([(1, a), (1, b), (2, c), (None, d), (7, None)], key=repr)
+    # A component of two texts under one id keeps one of them.
+    near = a.replace(a.split()[9], "other", 1)
+    assert simhash.one_of_each(docs(spark, [(4, a), (4, near), (4, b)])).count() == 2
+
+
+def test_ids_of_any_type(spark):
+    given = spark.createDataFrame([("x", text(5, 100)), ("b", text(5, 100)), ("c", text(6, 100))], "doc_id string, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(given).collect()}
+    assert found == {"x": "b", "b": "b", "c": "c"}
+    assert {r.doc_id for r in simhash.one_of_each(given).collect()} == {"b", "c"}
+
+
 PASSAGE = text(8, 60)
 CASES = [
     [None, "", "one two", text(1, 34), text(1, 34)],

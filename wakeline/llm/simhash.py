@@ -15,7 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -56,17 +56,27 @@ def fingerprint(text: str | None, size: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 4) -> DataFrame:
-    """doc_id, fingerprint (long, the 64 bits as a signed number) for each row of ``docs``."""
+    """doc_id, key1, key2, fingerprint (long, the 64 bits as a signed number) for each row of ``docs``. The keys
+    are 128 bits that name the id together with the text."""
+    names = ["doc_id", "key1", "key2"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = np.array([fingerprint(t.as_py(), size) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(made.view(np.int64))], names=["doc_id", "fingerprint"]
-            )
+            columns = [*(batch.column(c) for c in names), pa.array(made.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "fingerprint"])
 
-    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    return slim.mapInArrow(rows, "doc_id long, fingerprint long")
+    slim = docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"), *row_key(F.col(f"`{id_col}`"), F.col(f"`{text}`")), F.col(f"`{text}`").cast("string").alias("text")
+    )
+    kind = slim.schema["doc_id"].dataType.simpleString()
+    return slim.mapInArrow(rows, f"doc_id {kind}, key1 long, key2 long, fingerprint long")
+
+
+def row_key(id_col: Column, text: Column) -> tuple[Column, Column]:
+    """128 bits that name an id (null is one too) together with a text."""
+    known = F.concat(id_col.isNull().cast("string"), text.isNull().cast("string"))
+    return F.xxhash64(known, id_col, text).alias("key1"), F.xxhash64(F.lit("second"), text, known, id_col).alias("key2")
 
 
 def blocks(budget: int, bits: int = 64) -> list[tuple[int, int]]:
@@ -252,6 +262,14 @@ def near_links(prints: DataFrame, budget: int = 4) -> DataFrame:
     )
 
 
+def near_groups(prints: DataFrame, budget: int = 4) -> DataFrame:
+    """fingerprint, root for each row of ``prints`` (different fingerprints): linked fingerprints have one root."""
+    nodes = smallest_reachable(near_links(prints.select("fingerprint"), budget))
+    return prints.join(nodes, prints["fingerprint"] == nodes["node"], "left").select(
+        *prints.columns, F.coalesce("smallest", "fingerprint").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 4, budget: int = 4) -> DataFrame:
     """doc_id, fingerprint (long), component_id for each row of ``docs``.
 
@@ -259,26 +277,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     smallest doc_id that links reach, the own one included. A text of fewer words than ``size`` is
     one shingle; null and wordless texts have fingerprint 0 and link like any other. Null ids get
     the component of their fingerprint (null if no document in it has an id). Repeated rows come
-    back as often. Other columns are not read. An empty table gives no rows.
+    back as often; ids keep their type. Other columns are not read. An empty table gives no rows.
     """
-    marked = materialise(fingerprints(docs, id_col, text, size), "prints")
+    marked = materialise(fingerprints(docs, id_col, text, size).select("doc_id", "fingerprint"), "prints")
     owners = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("owner")), "owners")
-    nodes = smallest_reachable(near_links(owners, budget))
-    grouped = owners.join(nodes, owners["fingerprint"] == nodes["node"], "left").select(
-        "fingerprint", "owner", F.coalesce("smallest", "fingerprint").alias("root")
-    )
+    grouped = near_groups(owners, budget)
     least = grouped.groupBy("root").agg(F.min("owner").alias("component_id"))
     by_print = grouped.join(least, "root").select("fingerprint", "component_id")
     return marked.join(by_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 4, budget: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; rows without an id stay.
-
-    Of repeated rows with that id one stays (the smallest text)."""
-    found = near_duplicates(docs, id_col, text, size, budget).where("doc_id = component_id").select("doc_id").distinct()
-    key = F.col(f"d.`{id_col}`").cast("long")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"))
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col(f"d.`{text}`")))
-    known = rows.join(found, key == found["doc_id"], "left_semi").withColumn("n", rank).where("n = 1").select("d.*")
-    return known.unionAll(docs.where(F.col(f"`{id_col}`").isNull()))
+    """One row of each component of ``docs``: the one of the smallest id (rows without id come last), of different texts under
+    that id the one whose key is smallest, of rows equal in both one.
+
+    Every text without near copies stays, whatever its id: repeated and null ids decide nothing. Null and wordless texts are
+    one component. An empty table gives no rows.
+    """
+    marked = fingerprints(docs, id_col, text, size)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key1", "key2"))
+    owners = materialise(marked.groupBy("fingerprint").agg(first.alias("owner")), "owners")
+    stay = near_groups(owners, budget).groupBy("root").agg(F.min("owner").alias("owner")).select("owner.key1", "owner.key2")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *row_key(F.col(f"`{id_col}`"), F.col(f"`{text}`")))
+    # Equal rows are one before they are shuffled; the join then finds them where they are.
+    others = [c for c in docs.columns if c not in (id_col, text)]
+    one = rows.groupBy("key1", "key2").agg(F.min_by("row", F.xxhash64(F.lit(0), *(F.col(f"row.`{c}`") for c in others))).alias("row"))
+    return one.join(stay, ["key1", "key2"], "left_semi").select("row.*")
