@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from wakeline.sources.scratch import materialise
 
-#: Longest word that the segmentation looks for.
-LONGEST_WORD = 20
 #: Rows up to which a side is broadcast; they are counted first, and beyond it both sides are shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -51,17 +49,20 @@ def matched_rule(host_col: Column, path_col: Column, rules: dict[str, str]) -> C
 
 
 def segment(label: str, counts: dict[str, int], total: int) -> list[str]:
-    """Most likely words of a label. An unknown piece costs the more the longer it is."""
+    """Most likely words of a label of any length. An unknown piece costs the more the longer it is, a known one never more
+    than if it were unknown."""
+    longest, letter = max(map(len, counts), default=0), math.log(10)
     best: list[tuple[float, int]] = [(0.0, 0)]
+    # The best place for an unknown piece to begin, whatever its length: its letters cost the same each.
+    start = (0.0, 0)
     for end in range(1, len(label) + 1):
-        options = []
-        for begin in range(max(0, end - LONGEST_WORD), end):
+        options = [(start[0] - math.log(total) - end * letter, start[1])]
+        for begin in range(max(0, end - longest), end):
             n = counts.get(label[begin:end])
             if n:
                 options.append((best[begin][0] + math.log(n / total), begin))
-            elif end - begin <= 8 or end - begin == min(end, LONGEST_WORD):
-                options.append((best[begin][0] - math.log(total) - (end - begin) * math.log(10), begin))
         best.append(max(options))
+        start = max(start, (best[end][0] + end * letter, end))
     words, end = [], len(label)
     while end:
         begin = best[end][1]
@@ -96,21 +97,24 @@ def unigrams(texts: DataFrame, text: str) -> DataFrame:
     """word, n: lower-cased letter runs of all texts, markup left out."""
     bare = F.regexp_replace(F.lower(F.col(f"`{text}`").cast("string")), r"<[^>]*>", " ")
     words = texts.select(F.explode(F.split(bare, r"[^\p{L}]+")).alias("word"))
-    return words.where((F.col("word") != "") & (F.char_length("word") <= LONGEST_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return words.where("word != ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def host_words(hosts: DataFrame, counts: DataFrame) -> DataFrame:
-    """label, words for each different label of ``hosts`` (host)."""
+    """label, words for each different label of ``hosts`` (host). Words of all lengths are looked for: no piece of a label
+    longer than the longest counted word, and no word longer than the longest label, can be one."""
     labels = materialise(hosts.select(F.explode(_labels(F.col("host"))).alias("label")).distinct(), "labels")
     size = F.char_length("label")
+    longest_label = labels.agg(F.max(size)).first()[0] or 0
+    counts = materialise(counts, "unigrams")
+    total, longest = counts.agg(F.sum("n"), F.max(F.when(F.char_length("word") <= longest_label, F.char_length("word")))).first()
+    total, longest = total or 1, longest or 0
     cuts = (
         labels.select("label", F.explode(F.sequence(F.lit(1), size)).alias("begin"))
-        .select("label", "begin", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), size - F.col("begin") + 1))).alias("length"))
+        .select("label", "begin", F.explode(F.sequence(F.lit(1), F.least(F.lit(max(1, longest)), size - F.col("begin") + 1))).alias("length"))
         .select("label", F.expr("substring(label, begin, length)").alias("word"))
         .distinct()
     )
-    counts = materialise(counts, "unigrams")
-    total = counts.agg(F.sum("n")).first()[0] or 1
     wanted = materialise(counts.join(_hinted(materialise(cuts.select("word").distinct(), "cuts")), "word", "left_semi"), "words")
     known = cuts.join(_hinted(wanted), "word").groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("pieces"))
     return labels.join(known, "label", "left").mapInArrow(_segmented(total), "label string, words array<string>")
@@ -129,7 +133,8 @@ def judge(
     ``rules`` maps a rule to allow or block. ``score`` is the model's log-odds of block; it decides where no
     rule fits (block above 0). If the rules decide no url one way, the model has nothing to tell apart
     and its verdict is the way of the others (allow, if there are none). Null urls, and urls without ``://``,
-    have an empty host and path. Repeated rows come back as often. Other columns are not read.
+    have an empty host and path. Urls, labels and words of any length are read whole. Repeated rows come back as often. Other
+    columns are not read. An empty table gives no rows.
     """
     urls = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"))
     urls = urls.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
