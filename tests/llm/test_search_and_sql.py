@@ -39,14 +39,14 @@ def test_one_query_for_each_operator():
 
 
 def brute_top(rows, asked, k):
-    usable = {}
-    for i, v in sorted(((i, v) for i, v in rows if i is not None and (v_ := topk.whole(v)) is not None), key=lambda x: (x[0], x[1])):
-        usable.setdefault(i, topk.whole(v))
+    """Every row but the query's own is a candidate; every query row has its own ranks."""
+    usable = [(i, w) for i, v in rows if i is not None and (w := topk.whole(v)) is not None]
+    limit = lambda s: min(max(s, 1 - 2**63), 2**63 - 1)
     out = []
-    for q in asked:
-        if q not in usable:
+    for at, (q, own) in enumerate(usable):
+        if q not in asked:
             continue
-        scored = [(-sum(a * b for a, b in zip(usable[q], v)), i) for i, v in usable.items() if i != q and len(v) == len(usable[q])]
+        scored = [(-limit(sum(a * b for a, b in zip(own, v))), i) for n, (i, v) in enumerate(usable) if n != at and len(v) == len(own)]
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(out)
 
@@ -57,42 +57,50 @@ def test_top_k(spark, rows, monkeypatch):
     rng = np.random.default_rng(1)
     given = [(i, rng.normal(size=6).tolist()) for i in range(300)]
     given += [(i, given[0][1]) for i in range(300, 320)]  # ties
-    given += [(400, None), (450, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (500, [float("nan")] * 6), (550, [float("inf")] * 6), (600, [1.0, 2.0]), (650, []), (None, [1.0] * 6), (50, given[50][1]), (700, [1e12] * 6)]
+    given += [(400, None), (450, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (500, [float("nan")] * 6), (550, [float("inf")] * 6), (600, [1.0, 2.0]), (650, []), (None, [1.0] * 6), (50, given[50][1]), (700, [1e12] * 6), (701, [1e20, -1e308, 1.7e308, 0.0, 1e-300, 2.0]), (750, [-1e308] * 6), (100, given[7][1]), *[(800, given[3][1])] * 9]
     df = spark.createDataFrame(given, "vec_id long, embedding array<double>")
     df = df.withColumns({c: F.lit("x") for c in ("vector", "dim", "part", "score", "rank", "rows")})
-    asked = [i for i in range(0, 750, 50)]
+    asked = [i for i in range(0, 850, 50)]
     for k in (1, 5, 1000):
         found = topk.top_k(df.where("vec_id % 50 = 0"), df, k)
         assert rows(found, "query_id", "rank", "vec_id", "score") == sorted(brute_top(given, asked, k), key=repr)
     assert topk.top_k(df.limit(0), df, 5).count() == topk.top_k(df, df.limit(0), 5).count() == 0
 
 
-def test_rows_of_one_id_with_different_vectors_are_candidates(spark, rows):
+def test_repeated_rows_and_ids_are_candidates(spark, rows):
     rng = np.random.default_rng(3)
     given = [(i % 40, rng.normal(size=4).tolist()) for i in range(120)]
-    given = [*given, (100, [9.0] * 4), (100, [8.0] * 4)]
+    given = [*given, (100, [9.0] * 4), (100, [8.0] * 4), (0, given[0][1]), (1, [7.0] * 4), (1, [7.0] * 4), (200, [])]
     df = spark.createDataFrame(given, "vec_id long, embedding array<double>")
     db = duckdb.connect()
     db.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
     db.executemany("INSERT INTO embeddings VALUES (?, ?)", given)
     found = rows(topk.top_k(df.where("vec_id % 50 = 0"), df, 5), "query_id", "rank", "vec_id", "score")
     assert found == sorted(db.sql(queries.SQL["op7_topk"]).fetchall(), key=repr)
-    assert [r[2] for r in found if r[0] == 0].count(100) <= 5 and len(found) == 10
+    assert found == sorted(brute_top(given, (0, 50, 100, 200), 5), key=repr)
+    few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    assert [r.vec_id for r in topk.top_k(few.where("vec_id = 0"), few, 5).orderBy("rank").collect()] == [1, 1, 3, 2]
 
 
-def test_search_stops_early_and_is_exact(monkeypatch):
+def test_text_ids_are_searched(spark):
+    df = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [3.0, 1.0]), ("c", [0.0, 1.0])], "vec_id string, embedding array<double>")
+    assert [(r.query_id, r.vec_id) for r in topk.top_k(df.where("vec_id = 'a'"), df, 1).collect()] == [("a", "b")]
+
+
+def test_search_stops_early_and_is_exact():
     rng = np.random.default_rng(2)
     centres = rng.integers(-200, 200, (20, 16))
     data = np.concatenate([c + rng.integers(-4, 5, (100, 16)) for c in centres])
-    ids, seen = np.arange(len(data)), []
-    real = topk.exact
-    monkeypatch.setattr(topk, "exact", lambda a, b: seen.append(len(b)) or real(a, b))
-    pivots = topk.choose_pivots(data, 16)
-    for i, best, score in topk.search_block(data[:40], ids[:40], data, ids, pivots, 5):
+    pivots = topk.choose_pivots(data.astype(float), 16)
+    block = topk.Block(np.arange(len(data)), np.ones(len(data), int), data / 256, topk.distances(data.astype(float), pivots))
+    asked = topk.Block(block.ids[:40], block.copies[:40], block.vectors[:40], block.pivots[:40])
+    evaluated = 0
+    for i, best, score, seen in topk.search_block(asked, block, 5):
         all_scores = data @ data[i]
         want = sorted((-s, j) for j, s in enumerate(all_scores) if j != i)[:5]
         assert list(zip((-score).tolist(), best.tolist())) == want
-    assert sum(seen) < 40 * len(data) / 2
+        evaluated += seen
+    assert evaluated < 40 * len(data) / 2
 
 
 # --- pipeline -------------------------------------------------------------------------

@@ -5,18 +5,23 @@ difference between a query's and a candidate's distances bounds their distance f
 the two lengths that bounds their inner product from above. Candidates are evaluated in the order of
 that bound until the k-th best score exceeds every bound that is left.
 
-Vectors are packed in blocks; each block of queries meets each block of candidates in one task, and
-keeps k rows a query.
+Rows equal in id and vector are one entry with a count. Entries are packed in blocks together with their row of the pivot
+table, which is computed once; each block of queries meets each block of candidates in one task, and keeps k entries a query.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from wakeline.sources.scratch import materialise
 
@@ -26,27 +31,37 @@ PIVOT_SAMPLE = 2000
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
 _FIRST = 64
+_EXACT = 2.0**53
 
 
 def whole(vector: list[float] | None, scale: int = 256) -> list[int] | None:
     """floor(scale * x) of each component; None for a null vector or one with a null or non-finite component."""
     if vector is None or any(x is None or not np.isfinite(x) for x in vector):
         return None
-    return [int(np.floor(scale * float(x))) for x in vector]
+    return [math.floor(Fraction(x) * scale) for x in vector]
+
+
+def integers(x: np.ndarray, scale: int = 256) -> np.ndarray:
+    """floor(scale * x): as floats where these are exact, as Python integers beyond 2**53."""
+    if np.abs(x).max(initial=0) < _EXACT / scale:
+        return np.floor(x * scale)
+    return np.array([whole(row, scale) for row in x.tolist()], object).reshape(x.shape)
 
 
 def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole-number rows: 64-bit floats where they are exact, Python integers beyond."""
-    top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-    if top < 2.0**53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return np.clip((a.astype(object) @ b.astype(object).T), -(2**63), 2**63 - 1).astype(np.int64)
+    """Inner products of rows of ``integers``: 64-bit floats where they are exact, Python integers beyond; they stop at 64 bits."""
+    plain = a.dtype != object and b.dtype != object
+    if plain and float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1]) < _EXACT:
+        return (a @ b.T).astype(np.int64)
+    a, b = (x if x.dtype == object else x.astype(np.int64).astype(object) for x in (a, b))
+    return np.clip(a @ b.T, -(2**63 - 1), 2**63 - 1).astype(np.int64)
 
 
-def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    x, p = x.astype(np.float64), pivots.astype(np.float64)
-    square = (x * x).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * (x @ p.T)
-    return np.sqrt(np.maximum(square, 0))
+def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances of floats to the pivots; NaN where they are beyond the range of floats."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        square = (x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * (x @ pivots.T)
+        return np.sqrt(np.maximum(square, 0))
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -54,93 +69,130 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     if not len(sample):
         return sample
     chosen = [0]
-    near = _distances(sample, sample[:1])[:, 0]
+    near = distances(sample, sample[:1])[:, 0]
     while len(chosen) < min(count, len(sample)):
         chosen.append(int(near.argmax()))
-        near = np.minimum(near, _distances(sample, sample[chosen[-1:]])[:, 0])
+        near = np.minimum(near, distances(sample, sample[chosen[-1:]])[:, 0])
     return sample[chosen]
 
 
-def search_block(
-    query: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, pivots: np.ndarray, k: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query's place, candidates' places, scores) of each query's k best rows other than its own id;
-    of equal scores the smaller id."""
-    dq, dr = _distances(query, pivots), _distances(rows, pivots)
-    sq = (query.astype(np.float64) ** 2).sum(1)
-    sr = (rows.astype(np.float64) ** 2).sum(1)
-    # Rounding of the distances is far below this share of the lengths.
-    slack = 1e-9 * (sq.max(initial=0) + sr.max(initial=0)) + 1e-6
-    for i in range(len(query)):
-        apart = np.abs(dr - dq[i]).max(1) if pivots.size else np.zeros(len(rows))
-        bound = (sq[i] + sr - apart * apart) / 2 + slack
-        bound[row_ids == query_ids[i]] = -np.inf
-        order = np.argsort(-bound)
-        order = order[: int(np.isfinite(bound).sum())]
-        best = np.zeros(0, np.int64)
-        score = np.zeros(0, np.int64)
-        at, take = 0, _FIRST
+@dataclass
+class Block:
+    """Entries of one dimension: ids, how many rows each is, vectors, and their rows of the pivot table."""
+
+    ids: np.ndarray
+    copies: np.ndarray
+    vectors: np.ndarray
+    pivots: np.ndarray
+
+
+def bounds(query: Block, rows: Block, i: int) -> np.ndarray:
+    """No inner product of query ``i`` is above these; infinite where floats cannot tell."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        sq, sr = (np.floor(x * 256) for x in (query.vectors[i], rows.vectors))
+        sq, sr = (sq * sq).sum(), (sr * sr).sum(1)
+        # A distance is off by less than this share of the two lengths, neither of which exceeds the sum of the distance and the other.
+        off = 1e-7 * (rows.pivots + query.pivots[i] + np.sqrt(sr)[:, None] + np.sqrt(sq))
+        apart = (np.abs(rows.pivots - query.pivots[i]) - off).max(1, initial=0)
+        bound = (sq + sr - apart * apart) / 2 + 1e-9 * (sq + sr) + 1e-6
+    return np.where(np.isfinite(bound), bound, np.inf)
+
+
+def search_block(query: Block, rows: Block, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """(query's place, candidates' places, scores, how many were evaluated) of the best entries of each query that make ``k`` rows
+    without the query's own; of equal scores the smaller id."""
+    whole_query, whole_rows = integers(query.vectors), integers(rows.vectors)
+    for i in range(len(query.ids)):
+        bound = bounds(query, rows, i)
+        own = (rows.ids == query.ids[i]) & (rows.vectors == query.vectors[i]).all(1)
+        left = rows.copies - own
+        order = np.argsort(-bound, kind="stable")
+        order = order[left[order] > 0]
+        best, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at, take, seen = 0, _FIRST, 0
         while at < len(order) and (len(best) < k or bound[order[at]] >= score[-1]):
             some = order[at : at + take]
             if len(best) >= k:
                 some = some[bound[some] >= score[-1]]
             best = np.concatenate((best, some))
-            score = np.concatenate((score, exact(query[i : i + 1], rows[some])[0]))
-            top = np.lexsort((row_ids[best], -score))[:k]
+            score = np.concatenate((score, exact(whole_query[i : i + 1], whole_rows[some])[0]))
+            top = np.lexsort((rows.ids[best], -score))[:k]
             best, score = best[top], score[top]
-            at, take = at + take, take * 4
-        yield i, best, score
+            at, take, seen = at + take, take * 4, seen + len(some)
+        yield i, best, score, seen
 
 
-def _pack(rows: int, kind: str):
-    """Rows of one length to blocks: a block's vectors are one binary value."""
+_BLOCK = "dim int, ids array<{kind}>, copies array<long>, vectors binary, table binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list[int], list[list[int]]]] = {}
-        number = 0
-
-        def block(dim: int) -> pa.RecordBatch:
-            nonlocal number
-            ids, vectors = held.pop(dim)
-            number += 1
-            values = np.array(vectors, np.int64).reshape(len(ids), dim)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), pa.array([ids], pa.list_(pa.int64())), pa.array([values.tobytes()], pa.binary())],
-                names=["dim", "ids", kind],
-            )
 
+def _pack(rows: int, id_type: pa.DataType, pivots: dict[int, np.ndarray]):
+    """Entries of one length to blocks: a block's vectors and pivot distances are binary values."""
+
+    def block(dim: int, parts: list[tuple]) -> pa.RecordBatch:
+        ids, copies, vectors = (pa.concat_arrays([p[n] for p in parts]) if n < 2 else np.concatenate([p[2] for p in parts]) for n in range(3))
+        with np.errstate(over="ignore"):
+            table = distances(np.floor(vectors * 256), pivots.get(dim, np.zeros((0, dim))))
+
+        def listed(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([dim], pa.int32()),
+                listed(ids),
+                listed(copies),
+                pa.array([vectors.tobytes()], pa.binary()),
+                pa.array([table.tobytes()], pa.binary()),
+            ],
+            names=["dim", "ids", "copies", "vectors", "table"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
         for batch in batches:
-            for key, vector in zip(batch.column("vec_id").to_pylist(), batch.column("vector").to_pylist()):
-                numbers = whole(vector)
-                if numbers is None or key is None:
-                    continue
-                ids, vectors = held.setdefault(len(numbers), ([], []))
-                ids.append(key)
-                vectors.append(numbers)
-                if len(ids) >= rows:
-                    yield block(len(numbers))
-        for dim in list(held):
-            yield block(dim)
+            vectors = batch.column("vector")
+            sizes = np.asarray(pc.list_value_length(vectors))
+            for dim in np.unique(sizes).tolist():
+                some = pa.array(np.flatnonzero(sizes == dim))
+                flat = vectors.take(some).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(some), dim)
+                for at in range(0, len(some), rows):
+                    part = some.slice(at, rows)
+                    held.setdefault(dim, []).append((batch.column("vec_id").take(part), batch.column("n").take(part), flat[at : at + rows]))
+                    if sum(len(p[0]) for p in held[dim]) >= rows:
+                        yield block(dim, held.pop(dim))
+        for dim, parts in held.items():
+            yield block(dim, parts)
 
     return run
 
 
-def _meet(k: int, pivots: dict[int, np.ndarray]):
+def _meet(k: int, id_type: pa.DataType):
+    def unpacked(row: dict, dim: int, suffix: str) -> Block:
+        ids = np.array(row["ids" + suffix])
+        vectors = np.frombuffer(row["vectors" + suffix], np.float64).reshape(len(ids), dim)
+        table = np.frombuffer(row["table" + suffix], np.float64).reshape(len(ids), -1)
+        return Block(ids, np.array(row["copies" + suffix], np.int64), vectors, table)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                dim = row["dim"]
-                own, ids = np.array(row["query_ids"], np.int64), np.array(row["row_ids"], np.int64)
-                query = np.frombuffer(row["queries"], np.int64).reshape(len(own), dim)
-                rows = np.frombuffer(row["rows"], np.int64).reshape(len(ids), dim)
-                out = [(own[i], ids[best], score) for i, best, score in search_block(query, own, rows, ids, pivots.get(dim, query[:0]), k)]
+                query, rows = unpacked(row, row["dim"], "_q"), unpacked(row, row["dim"], "")
+                out = list(search_block(query, rows, k))
+                counts = [len(best) for _, best, _, _ in out]
+                places = np.concatenate([best for _, best, _, _ in out] or [np.zeros(0, np.int64)])
+                asker = np.repeat([i for i, _, _, _ in out], counts).astype(np.int64)
+                own = (rows.ids[places] == query.ids[asker]) & (rows.vectors[places] == query.vectors[asker]).all(1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64)),
-                        pa.array(np.concatenate([o[1] for o in out] or [np.zeros(0, np.int64)])),
-                        pa.array(np.concatenate([o[2] for o in out] or [np.zeros(0, np.int64)])),
+                        pa.array(np.full(len(places), row["block_q"], np.int64)),
+                        pa.array(asker),
+                        pa.array(query.ids[asker].tolist(), id_type),
+                        pa.array(query.copies[asker]),
+                        pa.array(rows.ids[places].tolist(), id_type),
+                        pa.array(rows.copies[places] - own),
+                        pa.array(np.concatenate([score for _, _, score, _ in out] or [np.zeros(0, np.int64)])),
                     ],
-                    names=["query_id", "vec_id", "score"],
+                    names=["block_q", "place_q", "query_id", "asked", "vec_id", "n", "score"],
                 )
 
     return run
@@ -154,47 +206,59 @@ def top_k(
     vector: str = "embedding",
     pivots: int = PIVOTS,
 ) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the ``k`` largest integer inner products of each query.
+    """query_id, rank (from 1), vec_id, score: the ``k`` largest integer inner products of each query row.
 
-    A query meets every row of its length but those of its own id; ties go to the smaller vec_id. Rows with
-    a null id, or a vector that is null or holds null or non-finite components, take no part. Rows equal in
-    id and vector count once; rows of one id with different vectors are each a candidate, and as queries share the
-    ``k`` ranks of their id. Scores beyond 64 bits stop at the limit.
-    Fewer rows than ``k`` are all returned; empty tables give no rows. Other columns are not read.
+    A query meets every row of its length but its own: of rows equal in id and vector one is the query's, all others are candidates
+    like any other, and each query row has ranks of its own. Ties go to the smaller vec_id. Rows with
+    a null id, or a vector that is null or holds null or non-finite components, take no part; finite components of any size do.
+    Scores beyond 64 bits stop at the limit. Fewer rows than ``k`` are all returned; empty tables give no rows. Ids keep
+    their type. Other columns are not read.
     """
     if k < 1:
         raise ValueError("k must be positive")
 
-    def slim(df: DataFrame) -> DataFrame:
-        named = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
+    def entries(df: DataFrame) -> DataFrame:
+        named = df.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
         usable = named.where(
             F.col("vec_id").isNotNull()
             & F.col("vector").isNotNull()
             & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         )
-        return usable.distinct()
+        return usable.groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("n"))
 
-    rows = materialise(slim(vectors), "vectors")
-    asked = slim(queries)
+    rows, asked = materialise(entries(vectors), "vectors"), materialise(entries(queries), "queries")
+    kind = rows.schema["vec_id"].dataType
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()
-    by_dim: dict[int, list[list[int]]] = {}
+    by_dim: dict[int, list[list[float]]] = {}
     for r in sample:
-        by_dim.setdefault(len(r.vector), []).append(whole(r.vector))
-    table = {dim: choose_pivots(np.array(v, np.int64).reshape(len(v), dim), pivots) for dim, v in by_dim.items()}
+        by_dim.setdefault(len(r.vector), []).append(r.vector)
+    with np.errstate(over="ignore"):
+        samples = {dim: np.floor(np.array(v, np.float64).reshape(len(v), dim) * 256) for dim, v in by_dim.items()}
+    table = {dim: choose_pivots(x[np.isfinite(x).all(1)], pivots) for dim, x in samples.items()}
     # Each part of the rows makes a block (one for each length of vectors); query blocks go to every part.
     parts = max(1, -(-rows.count() // BLOCK_ROWS))
-    packed = (
-        rows.repartition(parts)
-        .mapInArrow(_pack(BLOCK_ROWS * 2, "rows"), "dim int, ids array<long>, rows binary")
-        .select("dim", F.col("ids").alias("row_ids"), "rows", F.spark_partition_id().alias("part"))
+
+    def packed(df: DataFrame, size: int, label: str) -> DataFrame:
+        schema = _BLOCK.format(kind=kind.simpleString())
+        return materialise(df.mapInArrow(_pack(size, to_arrow_type(kind), table), schema).withColumn("part", F.spark_partition_id()), label)
+
+    blocks = packed(rows.repartition(parts), BLOCK_ROWS * 2, "blocks")
+    asking = packed(asked.repartition(max(1, -(-asked.count() // QUERY_ROWS))), QUERY_ROWS, "query-blocks")
+    asking = asking.select(
+        "dim", *(F.col(c).alias(c + "_q") for c in ("ids", "copies", "vectors", "table")), F.monotonically_increasing_id().alias("block_q")
+    ).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    id_name = kind.simpleString()
+    found = blocks.join(asking, ["part", "dim"]).mapInArrow(
+        _meet(k, to_arrow_type(kind)),
+        f"block_q long, place_q long, query_id {id_name}, asked long, vec_id {id_name}, n long, score long",
     )
-    asked = materialise(asked, "queries")
-    packed_queries = (
-        asked.repartition(max(1, -(-asked.count() // QUERY_ROWS)))
-        .mapInArrow(_pack(QUERY_ROWS, "queries"), "dim int, ids array<long>, queries binary")
-        .select("dim", F.col("ids").alias("query_ids"), "queries", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    # Of the best entries of all blocks, k; then as many rows as each has, up to k in all.
+    by_query = Window.partitionBy("block_q", "place_q").orderBy(F.desc("score"), "vec_id", "n")
+    first = found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+    before = F.coalesce(F.sum("n").over(by_query.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = first.withColumn("before", before).where(F.col("before") < k)
+    last = F.least(F.lit(k), F.col("before") + F.col("n"))
+    each = ranked.withColumn("rank", F.explode(F.sequence(F.col("before") + 1, last)))
+    return each.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("asked")))).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
     )
-    met = materialise(packed, "blocks").join(packed_queries, ["part", "dim"])
-    found = met.select("dim", "row_ids", "rows", "query_ids", "queries").mapInArrow(_meet(k, table), "query_id long, vec_id long, score long")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
