@@ -37,8 +37,10 @@ LEAST_IMPORTANCE = 0.2
 LEAST_INSIDE = 0.1
 #: Different pages of a host from which on a node's entropy is judged.
 LEAST_COUNT = 8
-#: Rows (one a host) up to which the cut branches are broadcast; they are counted first.
+#: Groups of copies up to which they are broadcast; they are counted first.
 BROADCAST_ROWS = 50_000
+#: The same for cut branches of all hosts (8 bytes each, twice at most).
+BROADCAST_NODES = 1_000_000
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"<]*+"|'[^'<]*+')*+)>|<[!?/][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
@@ -76,6 +78,10 @@ _NOISE_NAMES = frozenset(
 _HEAD_NAMES = frozenset("header masthead topbar".split())
 #: Names that say nothing at the end of a longer one (content-form, post-social): the tree decides on those.
 _DOUBTFUL = frozenset("form search social related comment promo share sharing ad complementary consent".split())
+#: Last words that make a box of what the first word names (comments-area, share-buttons, related-posts).
+_CONTAINERS = frozenset(
+    "area list box bar wrapper wrap container buttons icons links posts widget widgets section block panel items strip tray".split()
+)
 #: First words of names that state a page's layout or topic, not what the element is (has-sidebar, no-cookie, tag-menu).
 _STATES = frozenset("has have no not without with is category tag topic type format term tax layout".split())
 _ARTICLE = frozenset(("article", "main"))
@@ -87,14 +93,19 @@ KEPT, INSIDE, NOISE, HEAD = 0, 1, 2, 3
 
 @lru_cache(maxsize=10_000)
 def _says(names: str) -> int:
-    """Role that class tokens, id and role state by a whole token or by its last word: NOISE, HEAD or KEPT."""
+    """Role that class tokens, id and role state by a whole token, by its last word, or by its first word where the last
+    one is a container: NOISE, HEAD or KEPT."""
     head = False
     for token in names.split():
         words = _WORD_RUNS.findall(token)
         if not words:
             continue
-        last = words[-1]
-        if len(words) > 1 and (last in _DOUBTFUL or words[0] in _STATES):
+        first, last = words[0], words[-1]
+        if len(words) > 1 and first in _STATES:
+            continue
+        if len(words) > 1 and last in _CONTAINERS:
+            last = first
+        elif len(words) > 1 and last in _DOUBTFUL:
             continue
         if last in _NOISE_NAMES:
             return NOISE
@@ -102,12 +113,16 @@ def _says(names: str) -> int:
     return HEAD if head else KEPT
 
 
-def _with_roles(nodes: list[tuple[int, int, int, str, bool]], spared: frozenset[int] | set[int] = frozenset()) -> list[tuple[int, int, int, str, bool]]:
-    """``nodes`` with roles in place of what their names say; names of ``spared`` nodes say nothing."""
+def _with_roles(
+    nodes: list[tuple[int, int, int, str, bool]], spared: frozenset[int] | set[int] = frozenset(), noisy: frozenset[int] | set[int] = frozenset()
+) -> list[tuple[int, int, int, str, bool]]:
+    """``nodes`` with roles in place of what their names say; names of ``spared`` nodes say nothing, ``noisy`` nodes are noise."""
     out = nodes[:1]
     for i in range(1, len(nodes)):
         parent, sign, says, tag, named = nodes[i]
-        if i in spared or tag in _UNNAMED:
+        if i in noisy:
+            says = NOISE
+        elif i in spared or tag in _UNNAMED:
             says = KEPT
         role = out[parent][2]
         if role == NOISE or tag in _NOISE_TAGS or says == NOISE:
@@ -120,11 +135,27 @@ def _with_roles(nodes: list[tuple[int, int, int, str, bool]], spared: frozenset[
     return out
 
 
+def _lesser_articles(nodes: list[tuple[int, int, int, str, bool]], texts: list[tuple[int, str, bool]]) -> set[int]:
+    """Articles named as noise (a comment, a related story) that hold no more than half of the text outside of noise."""
+    named = [i for i, n in enumerate(nodes) if n[3] == "article" and n[2] == NOISE]
+    if not named:
+        return set()
+    found = _with_roles(nodes)
+    below = [0] * len(nodes)
+    for node, text, _ in texts:
+        if found[node][2] != NOISE:
+            below[node] += len(text.strip())
+    for i in range(len(nodes) - 1, 0, -1):
+        below[nodes[i][0]] += below[i]
+    return {i for i in named if 2 * below[i] <= below[0]}
+
+
 def _roles(nodes: list[tuple[int, int, int, str, bool]], texts: list[tuple[int, str, bool]]) -> list[tuple[int, int, int, str, bool]]:
     """``nodes`` with roles. Where noise names leave no article with text, the names of the ancestors of an article
     say nothing, if ``main`` or what articles not named as noise hold is longer than the rest that is kept."""
-    found = _with_roles(nodes)
-    if not any(n[3] in _ARTICLE for n in nodes):
+    noisy = _lesser_articles(nodes, texts)
+    found = _with_roles(nodes, noisy=noisy)
+    if not any(n[3] in _ARTICLE and i not in noisy for i, n in enumerate(nodes)):
         return found
     size = [0] * len(nodes)
     kept = 0
@@ -143,7 +174,7 @@ def _roles(nodes: list[tuple[int, int, int, str, bool]], texts: list[tuple[int,
                 up = nodes[up][0]
     if not spared:
         return found
-    freed = _with_roles(nodes, spared)
+    freed = _with_roles(nodes, spared, noisy)
     inside = sum(n for n, node in zip(size, freed) if node[2] == INSIDE)
     in_main = [False] * len(nodes)
     for i in range(1, len(nodes)):
@@ -335,5 +366,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: s
         sets = ((p, *(frozenset(x) if x is not None else frozenset() for x in (b, i))) for p, b, i in zip(page, branches, boxes))
         return pd.Series([main_text(*s) for s in sets], dtype=object)
 
-    right = F.broadcast(cut) if cut.count() <= BROADCAST_ROWS else cut
+    nodes = cut.agg(F.sum(F.size("cut") + F.size("inside"))).first()[0] or 0
+    right = F.broadcast(cut) if nodes <= BROADCAST_NODES else cut
     return named.join(right, "host", "left").select("page_id", "url", text_of("html", "cut", "inside").alias("text"))
