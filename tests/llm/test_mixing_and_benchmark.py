@@ -57,6 +57,25 @@ def test_contamination(spark, monkeypatch, broadcast):
     assert {r.doc_id for r in kept.collect()} == {i for i, b in enumerate(brute(TEXTS, ITEMS)) if not b[3]}
 
 
+def test_repeated_words_are_one_row_a_place(spark, monkeypatch):
+    """Texts and items of one word, or of two in turn: rows grow with the places, not with places times places."""
+    stored = {}
+    keep = winnowing.materialise
+
+    def counted(df, label):
+        out = keep(df, label)
+        stored[label] = out.count()
+        return out
+
+    monkeypatch.setattr(winnowing, "materialise", counted)
+    items = [(1, "la " * 400), (2, "la lo " * 200), (3, "solo")]
+    texts = ["la " * 500, "lo la " * 250, "x " * 50 + "la " * 13]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = winnowing.contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: (r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in found} == dict(enumerate(brute(texts, items)))
+    assert stored["runs"] <= 1100 and stored["item-windows"] == 4
+
+
 def test_contamination_of_nothing(spark):
     docs, items = tables(spark)
     assert winnowing.contamination(docs.limit(0), items).count() == 0

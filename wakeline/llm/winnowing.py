@@ -2,16 +2,16 @@
 
 Each text keeps the least hash of every nine consecutive 5-grams: texts that share 13 words share
 such a fingerprint. Fingerprints are stored beside the document's key and joined with those of the
-benchmark; texts that meet one are read again and all of their k-grams join the benchmark's.
-Matches on one diagonal (same item, same distance of places) are extended to runs; a run that
-spans a whole window is a hit.
+benchmark; texts that meet one are read again and the hits extended to whole windows: each place where a
+window of an item begins is found by the window's 128-bit name, and the windows cover the words that are hit. A place is
+one row however often an item repeats what stands there, so texts of one repeated word cost no more than others.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.sources.scratch import materialise
@@ -38,6 +38,22 @@ def grams(hashes: Column, k: int) -> Column:
     return F.when(count > 0, each).otherwise(F.array().cast("array<long>"))
 
 
+def names(hashes: Column, size: int) -> Column:
+    """128-bit names of all windows of ``size`` consecutive word hashes."""
+    count = F.size(hashes) - (size - 1)
+
+    def name(i: Column) -> Column:
+        part = F.slice(hashes, i + 1, F.lit(size))
+        return F.struct(F.xxhash64(part).alias("n1"), F.xxhash64(F.lit("second"), part).alias("n2"))
+
+    each = F.transform(F.sequence(F.lit(0), count - 1), name)
+    return F.when(count > 0, each).otherwise(F.array().cast("array<struct<n1: bigint, n2: bigint>>"))
+
+
+def _no_windows(items: DataFrame) -> DataFrame:
+    return items.limit(0).select("item", "span", names(F.col("h"), 1)[0].alias("name"))
+
+
 def with_prints(df: DataFrame, hashes: str, name: str, k: int, span: int) -> DataFrame:
     """Adds the different least values of every ``span`` consecutive k-gram hashes (of fewer: of all).
 
@@ -98,16 +114,13 @@ def contamination(
         ),
         "items",
     )
+    spans = sorted(r.span for r in items.select("span").distinct().collect())  # ``window`` numbers at most
     # Items below the window are found by their first gram instead: their gram sizes, five at most.
-    short = sorted(r.k for r in items.where(F.col("span") < window).select("k").distinct().collect())
+    short = sorted({min(s, GRAM) for s in spans if s < window})
+    heads = [items.where((F.col("k") == k) & (F.col("span") < window)).select(F.get(grams(F.col("h"), k), F.lit(0)).alias("print")) for k in short]
+    every = (items.where(F.col("span") == s).select("item", "span", F.explode(names(F.col("h"), s)).alias("name")) for s in spans)
+    windows = materialise(reduce(DataFrame.unionAll, every, _no_windows(items)).distinct(), "item-windows")
 
-    def gram_of(size: Column, h: str) -> Column:
-        sizes = sorted({GRAM, *short})
-        return reduce(lambda rest, k: F.when(size == k, grams(F.col(h), k)).otherwise(rest), sizes, F.array().cast("array<long>"))
-
-    item_grams = materialise(
-        items.select("item", "row", "span", "k", F.posexplode(gram_of(F.col("k"), "h")).alias("j", "gram")), "item-grams"
-    )
     full = with_prints(items.where(F.col("span") == window), "h", "prints", GRAM, window - GRAM + 1).select(F.explode("prints").alias("print"))
     wanted = materialise(full.distinct(), "item-prints")
 
@@ -127,11 +140,8 @@ def contamination(
         "prints",
     )
     met = [marked.select("cid", "cid2", F.explode("prints").alias("print")).join(_hinted(wanted), "print", "left_semi")]
-    for k in short:
-        heads = item_grams.where((F.col("k") == k) & (F.col("span") < window) & (F.col("j") == 0)).select(F.col("gram").alias("print"))
-        met.append(
-            marked.select("cid", "cid2", F.explode(f"grams{k}").alias("print")).join(_hinted(heads.distinct()), "print", "left_semi")
-        )
+    for k, head in zip(short, heads):
+        met.append(marked.select("cid", "cid2", F.explode(f"grams{k}").alias("print")).join(_hinted(head.distinct()), "print", "left_semi"))
     candidates = materialise(reduce(DataFrame.unionAll, (m.select("cid", "cid2") for m in met)).distinct(), "candidates")
 
     again = (
@@ -140,31 +150,21 @@ def contamination(
         .select("cid", "cid2", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
         .dropDuplicates(["cid", "cid2"])
     )
-    sizes = sorted({GRAM, *(k for k in short)})
-    placed = reduce(
-        DataFrame.unionAll,
-        (again.select("cid", "cid2", F.lit(k).alias("k"), F.posexplode(grams(F.col("h"), k)).alias("i", "gram")) for k in sizes),
-    )
-    line = ["cid", "cid2", "row", "diagonal"]
-    runs = (
-        placed.join(_hinted(item_grams), ["k", "gram"])
-        .select("cid", "cid2", "item", "row", "k", "span", (F.col("i") - F.col("j")).alias("diagonal"), "j")
-        .withColumn("island", F.col("j") - F.row_number().over(Window.partitionBy(*line).orderBy("j")))
-        .groupBy(*line, "island")
-        .agg(F.min("j").alias("a"), F.max("j").alias("z"), F.first("item").alias("item"), F.first("k").alias("k"), F.first("span").alias("span"))
-        .where(F.col("z") - F.col("a") + F.col("k") >= F.col("span"))
-        .select("cid", "cid2", "item", (F.col("a") + F.col("diagonal")).alias("a"), (F.col("z") + F.col("diagonal") + F.col("k") - 1).alias("z"))
-    )
-    runs = materialise(runs, "runs")
+    again = materialise(again, "again")
+    placed = [again.select("cid", "cid2", F.lit(s).alias("span"), F.posexplode(names(F.col("h"), s)).alias("a", "name")) for s in spans]
+    empty = again.limit(0).select("cid", "cid2", F.lit(0).alias("span"), F.lit(0).alias("a"), names(F.col("h"), 1)[0].alias("name"))
+    known = _hinted(materialise(windows.select("span", "name").distinct(), "window-names"))
+    runs = materialise(reduce(DataFrame.unionAll, placed, empty).join(known, ["span", "name"], "left_semi"), "runs")
     hit = (
-        runs.select("cid", "cid2", "a", "z")
-        .distinct()
-        .select("cid", "cid2", F.explode(F.sequence("a", "z")).alias("place"))
+        runs.groupBy("cid", "cid2", "a")
+        .agg(F.max("span").alias("span"))
+        .select("cid", "cid2", F.explode(F.sequence(F.col("a"), F.col("a") + F.col("span") - 1)).alias("place"))
         .distinct()
         .groupBy("cid", "cid2")
         .agg(F.count(F.lit(1)).alias("n_hit"))
     )
-    listed = runs.groupBy("cid", "cid2").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    met_items = runs.select("cid", "cid2", "span", "name").distinct().join(_hinted(windows), ["span", "name"]).select("cid", "cid2", "item")
+    listed = met_items.groupBy("cid", "cid2").agg(F.array_sort(F.collect_set("item")).alias("items"))
     # Stored, so that adaptive execution may split a text with very many copies on the left.
     found = materialise(hit.join(listed, ["cid", "cid2"]), "hits")
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0).cast("long"))
