@@ -155,6 +155,20 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{x:"</p>"}</style><
 <section id="comments"><article class="comment"><p>First!</p></article></section><footer>&copy; me</footer></body></html>"""
 
 
+def test_turns_without_order_and_text_ids(spark):
+    """Many rows of one turn go to many tasks by prefixes of role and text, in the order of the whole texts."""
+    rng = random.Random(3)
+    roles = ["user", "assistant", "r" * 32, "r" * 33, "r" * 40, None, ""]
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, 1]), rng.choice(roles), rng.choice(["", "x", "y" * 40]) + "z" * rng.randint(0, 3)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").repartition(6)
+    found = {r.conv_id: r for r in chat.digests(chat.format_conversations(df)).collect()}
+    low = lambda v: (v is not None, v or "")
+    for conv in ("a", "b", None):
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, low(r[2]), low(r[3])))
+        digest = hashlib.sha256("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own).encode()).hexdigest()
+        assert (found[conv].n_turns, found[conv].turns_sha256) == (len(own), digest)
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain &amp; simple", "plain & simple"), ("<p>a</p>\n<p> b\t c </p>", "a b c"),
     ("<div class=menu>m</div><div>text</div><div class='sidebar left'>s</div>", "text"),

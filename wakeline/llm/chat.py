@@ -19,11 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: A part is closed at the first turn end beyond so many characters.
 PART_CHARS = 1 << 18
+#: Characters of role and text that decide where ranges of turns begin.
+_PREFIX = 32
 
 _TURN = re.compile(re.escape(START) + "(.*?)" + re.escape(MIDDLE) + "(.*?)" + re.escape(END) + "\n", re.S)
 
@@ -85,7 +88,7 @@ def encoder(vocabulary: str):
     return encode
 
 
-def _parts(vocabulary: str):
+def _parts(vocabulary: str, kind: pa.DataType):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         conv, place, turns, size = None, None, [], 0
@@ -97,7 +100,7 @@ def _parts(vocabulary: str):
             mask = mask_tokens(offsets, spans)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([conv], pa.int64()),
+                    pa.array([conv], kind),
                     pa.array([place], pa.int64()),
                     pa.array([len(turns)], pa.int64()),
                     pa.array([text]),
@@ -128,48 +131,54 @@ def format_conversations(turns: DataFrame, vocabulary: str = VOCABULARY) -> Data
 
     ``place`` orders the parts of a conversation. ``loss_texts`` holds what the masked tokens cover (still
     escaped). Turns are ordered by turn (null first), then role and text. Null roles and texts are
-    empty, repeated rows are turns of their own, rows without conv_id are one conversation without id.
+    empty, repeated rows are turns of their own, rows without conv_id are one conversation without id; ids keep their type.
     Other columns are not read. An empty table gives no rows.
     """
     with open(vocabulary, encoding="utf-8") as file:
         text = file.read()
-    slim = turns.select(
-        F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")
-    )
+    slim = turns.select("conv_id", "turn", F.col("role").cast("string"), F.col("text").cast("string"))
     order = ["conv_id", "turn", "role", "text"]
-    ranged = slim.repartitionByRange(*order).sortWithinPartitions(*order)
+    # What fixes the ranges reaches the driver: prefixes that sort like the whole, never whole texts.
+    more = F.char_length("role") > _PREFIX
+    prefixes = (F.substring("role", 1, _PREFIX), more, F.when(~more, F.substring("text", 1, _PREFIX)))
+    ranged = slim.repartitionByRange("conv_id", "turn", *prefixes).sortWithinPartitions(*order)
+    kind = slim.schema["conv_id"].dataType
     return ranged.select("conv_id", "role", "text", F.monotonically_increasing_id().alias("place")).mapInArrow(
-        _parts(text),
-        "conv_id long, place long, n_turns long, formatted string, token_ids array<int>, loss_mask array<boolean>, loss_texts array<string>",
+        _parts(text, to_arrow_type(kind)),
+        f"conv_id {kind.simpleString()}, place long, n_turns long, formatted string, token_ids array<int>, loss_mask array<boolean>, loss_texts array<string>",
     )
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digest(kind: pa.DataType):
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    conv, state = None, None
-
-    def row() -> pa.RecordBatch:
-        n, turns, chars, loss, size = state
-        values = [[conv], [n], [turns.hexdigest()], [chars], [loss.hexdigest()], [size]]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
-
-    for batch in batches:
-        for c, formatted, loss in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "formatted", "loss_texts"))):
-            if state is not None and c != conv:
-                yield row()
-                state = None
-            if state is None:
-                conv, state = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            for role, text in parse(formatted):
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-            for text in map(unescape, loss):
-                state[2] += len(text)
-                state[3].update(text.encode())
-            state[4] += len(formatted)
-    if state is not None:
-        yield row()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, state = None, None
+
+        def row() -> pa.RecordBatch:
+            n, turns, chars, loss, size = state
+            values = [[conv], [n], [turns.hexdigest()], [chars], [loss.hexdigest()], [size]]
+            kinds = [kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
+
+        for batch in batches:
+            for c, formatted, loss in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "formatted", "loss_texts"))):
+                if state is not None and c != conv:
+                    yield row()
+                    state = None
+                if state is None:
+                    conv, state = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                for role, text in parse(formatted):
+                    state[0] += 1
+                    state[1].update(f"{role}\n{text}\n".encode())
+                for text in map(unescape, loss):
+                    state[2] += len(text)
+                    state[3].update(text.encode())
+                state[4] += len(formatted)
+        if state is not None:
+            yield row()
+
+    return run
 
 
 def digests(parts: DataFrame) -> DataFrame:
@@ -178,7 +187,8 @@ def digests(parts: DataFrame) -> DataFrame:
     The digest of a conversation runs over its parts one after the other (a hash cannot be split); its
     task holds one part at a time."""
     slim = parts.select("conv_id", "place", "formatted", "loss_texts").repartition("conv_id").sortWithinPartitions("conv_id", "place")
+    kind = slim.schema["conv_id"].dataType
     return slim.mapInArrow(
-        _digest,
-        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+        _digest(to_arrow_type(kind)),
+        f"conv_id {kind.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )
