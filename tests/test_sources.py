@@ -99,7 +99,7 @@ def test_group_folders(spark, tmp_path):
     meta = with_vessel_group(spark.createDataFrame([(1, 52), (2, None), (3, 33)], "mmsi int, vessel_type int"))
     df = track(spark, 1, [(0, 5.0)]).unionByName(track(spark, 2, [(0, 5.0)])).unionByName(track(spark, 3, [(0, 5.0)]))
     write_groups(build_tracks(df), meta, "3m", path)
-    folders = sorted(p.name for p in (tmp_path / "groups" / "period=3m").iterdir())
+    folders = sorted(p.name for p in (tmp_path / "groups" / "period=3m").iterdir() if p.is_dir())
     assert folders == ["vessel_group=publicService", "vessel_group=tugTow", "vessel_group=unknown"]
     tug = read_group(spark, path, "tugTow", "3m")
     assert [r.mmsi for r in tug.collect()] == [1]
@@ -157,6 +157,16 @@ def test_group_folders_are_replaced(spark, tmp_path):
     assert {r.period: r["count"] for r in spark.read.parquet(path).groupBy("period").count().collect()} == {"3m": 3, "3y": 3}
 
 
+def test_a_group_without_rows_is_emptied(spark, tmp_path):
+    path = str(tmp_path / "groups")
+    df = track(spark, 1, [(0, 5.0)]).unionByName(track(spark, 2, [(0, 5.0)]))
+    for code in (30, 70):  # from fishing to cargo
+        meta = with_vessel_group(spark.createDataFrame([(1, code), (2, 80)], "mmsi int, vessel_type int"))
+        write_groups(build_tracks(df), meta, "3m", path)
+    assert read_group(spark, path, "fishing", "3m").count() == 0
+    assert [r.mmsi for r in read_group(spark, path, "cargo", "3m").collect()] == [1]
+
+
 def test_a_name_stands_for_one_folder(spark, tmp_path):
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
     spark.range(3).write.parquet(a)

@@ -123,6 +123,8 @@ def test_the_time_step_does_not_change_results(spark, rows, monkeypatch, shuffle
         return rows(each, "mmsi", "speed_class", "segment", F.col("first_idx") + F.col("pos"), "p.lat", "p.lon")
 
     assert lines(cut) == lines(uncut)
+    # Places that come with the segments are those that a second look at the segments gives.
+    assert lines(speed_segments(df, seconds=seconds, before=True)) == lines(uncut)
 
 
 def test_differences_cross_the_edges_of_steps(spark):

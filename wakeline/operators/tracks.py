@@ -148,47 +148,70 @@ def classed_points(motion: DataFrame, seconds: int = PART_SECONDS) -> DataFrame:
     )
 
 
-def with_segments(points: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+def with_segments(points: DataFrame, gap_seconds: int = GAP_SECONDS, before: bool = False) -> DataFrame:
     """Adds ``gap`` (more than ``gap_seconds`` since the previous point of the same vessel
-    and class) and ``segment``, the running number of gaps, from 0."""
+    and class) and ``segment``, the running number of gaps, from 0. With ``before`` also the number of points that
+    the segment has in earlier parts."""
     keys = ["mmsi", "speed_class", "part"]
     window = W.partitionBy(*keys).orderBy(*order_key(points))
-    before = F.lag("base_dt").over(window)
-    own = F.coalesce(more_than(F.col("base_dt"), before, gap_seconds), F.lit(False))
-    local = points.withColumns({"_gap": own, "_first": F.row_number().over(window) == 1})
+    previous = F.lag("base_dt").over(window)
+    own = F.coalesce(more_than(F.col("base_dt"), previous, gap_seconds), F.lit(False))
+    local = points.withColumns({"_gap": own, "_at": F.row_number().over(window)})
     running = F.sum(F.col("_gap").cast("int")).over(window.rowsBetween(W.unboundedPreceding, W.currentRow))
     local = local.withColumn("_run", running.cast("int"))
 
     # One row per part: what the next part needs to know.
     ends = local.groupBy(*keys).agg(
-        F.min("base_dt").alias("_from"), F.max("base_dt").alias("_till"), F.max("_run").alias("_gaps")
+        F.min("base_dt").alias("_from"),
+        F.max("base_dt").alias("_till"),
+        F.max("_run").alias("_gaps"),
+        F.count(F.lit(1)).alias("_n"),
+        F.max(F.when(F.col("_gap"), F.col("_at"))).alias("_newest"),
     )
     along = W.partitionBy("mmsi", "speed_class").orderBy("part")
     earlier = along.rowsBetween(W.unboundedPreceding, -1)
     last = F.last("_till", ignorenulls=True).over(earlier)
     edge = F.coalesce(more_than(F.col("_from"), last, gap_seconds), F.lit(False))
-    ends = ends.withColumn("_edge", edge)
+    ends = ends.withColumns({"_edge": edge, "_passed": F.coalesce(F.sum("_n").over(earlier), F.lit(0))})
     so_far = F.coalesce(F.sum(F.col("_gaps") + F.col("_edge").cast("int")).over(earlier), F.lit(0))
-    ends = ends.select(*keys, "_edge", (so_far + F.col("_edge").cast("int")).cast("int").alias("_offset"))
+    # Where, counted in all points of the class, the newest segment that begins in a part begins.
+    begins = F.when(F.col("_newest").isNotNull(), F.col("_passed") + F.col("_newest") - 1).when(
+        F.col("_edge") | (F.col("_passed") == 0), F.col("_passed")
+    )
+    open_since = F.last("_begins", ignorenulls=True).over(earlier)
+    carried = F.when(F.col("_edge"), 0).otherwise(F.coalesce(F.col("_passed") - open_since, F.lit(0)))
+    ends = ends.withColumn("_begins", begins).select(
+        *keys,
+        "_edge",
+        (so_far + F.col("_edge").cast("int")).cast("int").alias("_offset"),
+        carried.cast("bigint").alias("_carried"),
+    )
+    places = [F.when(F.col("_run") == 0, F.col("_carried")).otherwise(0).alias("before")] if before else []
     return local.join(ends, keys).select(
         *[F.col(c) for c in points.columns],
-        (F.col("_gap") | (F.col("_first") & F.col("_edge"))).alias("gap"),
+        (F.col("_gap") | ((F.col("_at") == 1) & F.col("_edge"))).alias("gap"),
         (F.col("_run") + F.col("_offset")).alias("segment"),
+        *places,
     )
 
 
-def speed_segments(motion: DataFrame, gap_seconds: int = GAP_SECONDS, seconds: int = PART_SECONDS) -> DataFrame:
+def speed_segments(
+    motion: DataFrame, gap_seconds: int = GAP_SECONDS, seconds: int = PART_SECONDS, before: bool = False
+) -> DataFrame:
     """Classed points with gap flags and segment numbers, for all vessels in one plan."""
-    return with_segments(classed_points(motion, seconds), gap_seconds)
+    return with_segments(classed_points(motion, seconds), gap_seconds, before)
 
 
 def speed_polylines(segments: DataFrame) -> DataFrame:
     """(mmsi, speed_class, segment, part, first_idx, points): the [lat, lon] line of each segment, a row
     for each time step; ``first_idx`` is the place of the row's first point in the whole line.
-    ``segments`` is read twice: pass a stored table."""
+    Segments with ``before`` are read once; without it twice: pass a stored table then."""
     keys = ["mmsi", "speed_class", "segment"]
-    ordered = F.sort_array(F.collect_list(F.struct(*dict.fromkeys([*order_key(segments), "lat", "lon"]))))
+    fields = dict.fromkeys([*order_key(segments.drop("before")), "lat", "lon"])
+    ordered = F.sort_array(F.collect_list(F.struct(*fields)))
     line = F.transform(ordered, lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon")))
+    if "before" in segments.columns:
+        return segments.groupBy(*keys, "part").agg(F.max("before").alias("first_idx"), line.alias("points"))
     lines = segments.groupBy(*keys, "part").agg(line.alias("points"))
     return lines.join(part_places(segments, *keys), [*keys, "part"]).select(*keys, "part", "first_idx", "points")
 

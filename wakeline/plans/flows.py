@@ -86,4 +86,4 @@ def group_and_segment(
 ) -> DataFrame:
     """Tracks per vessel group on disk, and the speed polylines of all vessels."""
     write_groups(spark.read.parquet(tracks_path), meta, period, out_path)
-    return speed_polylines(materialise(speed_segments(spark.read.parquet(motion_path)), "segments"))
+    return speed_polylines(speed_segments(spark.read.parquet(motion_path), before=True))

@@ -43,7 +43,6 @@ from wakeline.plans.registry import (
     register,
 )
 from wakeline.schema import SPEED_COLOURS
-from wakeline.sources.scratch import materialise
 
 PLACE = "row_number() OVER (PARTITION BY mmsi ORDER BY base_dt, seq) - 1 AS idx"
 
@@ -135,8 +134,7 @@ LINE_ROWS = (
 
 @register("w4_speed_polylines", on_segments(LINE_ROWS))
 def w4(spark, sf_dir):
-    # Lines and their places in a segment both read the segments.
-    lines = speed_polylines(materialise(segments(spark, sf_dir), "segments"))
+    lines = speed_polylines(speed_segments(motion(spark, sf_dir), before=True))
     points = lines.select("mmsi", "speed_class", "segment", "first_idx", F.posexplode("points").alias("pos", "p"))
     return points.select("mmsi", "speed_class", "segment", (F.col("first_idx") + F.col("pos")).alias("idx"), "p.*")
 

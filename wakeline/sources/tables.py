@@ -59,18 +59,17 @@ def write_by_day(df: DataFrame, path: str) -> None:
 
 def write_groups(tracks: DataFrame, meta: DataFrame, period: str, path: str) -> None:
     """Tracks of every vessel group in one job, in ``period=/vessel_group=`` folders. A
-    vessel in two groups is in both folders; one in no group is left out. A folder that gets rows is
-    replaced, so a second run for a period leaves the same rows; other folders stay."""
+    vessel in two groups is in both folders; one in no group is left out. A run replaces its period whole,
+    so a group that has no rows any more has no tracks either; other periods stay."""
     memberships = group_memberships(meta)
     (
         tracks.join(memberships, "mmsi")
-        .withColumn("period", F.lit(period))
         # Rebalancing splits a group that holds a large share of the tracks.
         .hint("rebalance", "vessel_group")
-        .write.partitionBy("period", "vessel_group")
+        .write.partitionBy("vessel_group")
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .parquet(f"{path}/period={period}")
     )
 
 
