@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 import itertools
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -27,7 +26,7 @@ from wakeline.llm import quotient
 from wakeline.sources.scratch import materialise
 
 #: Words of a chunk (the slice of text that reaches it is taken whole).
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 21
 #: Entries that one group of filters holds at most, about.
 BLOCK_ENTRIES = 1 << 21
 #: Bits of the key that one round of merging fixes at most.
@@ -37,7 +36,6 @@ SLICE_BYTES = 1 << 20
 #: Parts of a language that are ranked before the language is.
 RANK_PARTS = 32
 
-_TOKEN = re.compile(rb"[^ \n]+|\n")
 _BREAK = b"\n"
 
 
@@ -82,15 +80,16 @@ class _Chunk:
         known = self.words.get(lang)
         if known is None:
             known = self.words[lang] = defaultdict(self.numbers.__next__)
-            known[_BREAK] = 0
-        self.parts.append(np.fromiter(map(known.__getitem__, tokens), np.int32, len(tokens)))
-        self.size += len(tokens)
+            known[_BREAK], known[b""] = 0, -1
+        ids = np.fromiter(map(known.__getitem__, tokens), np.int32, len(tokens))
+        self.parts.append(ids[ids >= 0])  # empty pieces lie between two spaces
+        self.size += len(self.parts[-1])
 
     def row(self, number: int) -> pa.RecordBatch:
         tokens = np.concatenate(self.parts)
         langs, words, order = [], [], []
         for lang, known in self.words.items():
-            del known[_BREAK]
+            del known[_BREAK], known[b""]
             langs += [lang] * len(known)
             words += known
             order += known.values()
@@ -117,6 +116,10 @@ class _Chunk:
         )
 
 
+def _last_two(tokens: list[bytes]) -> list[bytes]:
+    return list(itertools.islice(filter(None, reversed(tokens)), 2))[::-1]
+
+
 def _cut(chunk_words: int, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Chunks are read back from a stored table, so a number per task and chunk is enough.
@@ -131,9 +134,9 @@ def _cut(chunk_words: int, slice_bytes: int):
                     if chunk.size >= chunk_words:
                         yield chunk.row(next(numbers))
                         chunk = _Chunk(context, lang)
-                    tokens = _TOKEN.findall(data)
+                    tokens = data.replace(_BREAK, b" \n ").split(b" ")
                     chunk.add(lang, tokens)
-                    context = (context + tokens)[-2:]
+                    context = (context + _last_two(tokens))[-2:]
                 if context:
                     chunk.add(lang, [_BREAK])
         if chunk.size:
@@ -277,7 +280,8 @@ def candidates(docs: DataFrame, text: str = "text", lang: str = "lang", least: i
     all_words = vocabulary.groupBy("lang").agg(F.sum("count").alias("n"))
     numbered, ids, occurrences = number_words(vocabulary, least)
     numbered = materialise(numbered, "numbers")
-    known = vocabulary.join(numbered, ["lang", "word"]).select("chunk", "local", "id")
+    # The frequent words are the small side of each partition; the word lists need not be sorted.
+    known = vocabulary.join(numbered.hint("shuffle_hash"), ["lang", "word"]).select("chunk", "local", "id")
     found = materialise(count_phrases(chunks, known, ids, occurrences or 0, least), "phrases")
 
     def word(place: int) -> DataFrame:
