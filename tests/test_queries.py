@@ -13,7 +13,7 @@ from tools.check import SAME, bag
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = catalog.QUERIES, catalog.SQL
 #: Read only the days they ask for.
-PRUNED = ("s3_day_partition_read", "p4_minute_snapshot", "p5_hour_snapshot", "p12_near_place_and_time")
+PRUNED = ("s3_day_partition_read", "p4_minute_snapshot", "p5_hour_snapshot", "p12_near_place_and_time", "p12_near_places_and_times")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
 

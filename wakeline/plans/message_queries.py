@@ -24,8 +24,9 @@ from wakeline.operators.motion import (
     with_calendar,
     with_localtime,
 )
+from wakeline.operators.probes import near_places_and_times
 from wakeline.plans.registry import HOUR_SQL, on_ais, on_calendar, on_minute, on_motion, register
-from wakeline.plans.testbed import ais, ais_with_names
+from wakeline.plans.testbed import PROBE_SQL, ais, ais_with_names, probes
 from wakeline.sources.messages import read_ais_csv, write_ais_csv
 from wakeline.sources.scratch import materialise, scratch_path
 from wakeline.sources.tables import (
@@ -245,6 +246,19 @@ def p12(spark, sf_dir):
     return rows.select("mmsi", "base_dt", "lat", "lon", "day")
 
 
+@register(
+    "p12_near_places_and_times",
+    on_calendar(
+        "SELECT probe_id, mmsi, seq, base_dt, lat, lon FROM cal JOIN probes ON base_dt BETWEEN start_dt AND end_dt "
+        "AND lat BETWEEN lat_min AND lat_max AND lon BETWEEN lon_min AND lon_max",
+        PROBE_SQL,
+    ),
+)
+def p12_probes(spark, sf_dir):
+    days = read_table(spark, _by_day(spark, sf_dir))
+    return near_places_and_times(days, probes(spark, sf_dir), keep=("seq",))
+
+
 @register(
     "p19_calendar_columns",
     on_calendar("SELECT mmsi, seq, base_dt, localtime_ AS localtime, year, month, day, dow FROM cal"),

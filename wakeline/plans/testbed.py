@@ -92,6 +92,20 @@ def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box and an interval for each supplier: minutes and harbours for most, hours and coasts for some."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "cast(s_suppkey AS int) AS probe_id",
+        f"{TIME_START} + cast((s_suppkey*977) % 14400 AS interval second) AS start",
+        f"{TIME_START} + cast((s_suppkey*977) % 14400 + CASE WHEN s_suppkey % 10 = 0 THEN 9000 ELSE 60 + (s_suppkey*37) % 900 END "
+        "AS interval second) AS end",
+        "46.9D + cast((s_suppkey*7919) % 2500 AS double)/1000 AS lat_min",
+        "46.9D + cast((s_suppkey*7919) % 2500 AS double)/1000 + CASE WHEN s_suppkey % 7 = 0 THEN 0.8D ELSE 0.125D END AS lat_max",
+        "-123.9D + cast((s_suppkey*104729) % 1900 AS double)/1000 AS lon_min",
+        "-123.9D + cast((s_suppkey*104729) % 1900 AS double)/1000 + CASE WHEN s_suppkey % 7 = 0 THEN 0.8D ELSE 0.125D END AS lon_max",
+    )
+
+
 # --- the same, as DuckDB SQL ----------------------------------------------------------
 
 _CODES = ", ".join(f"({i}, {'CAST(NULL AS INT)' if c is None else c})" for i, c in enumerate(TYPE_CODES))
@@ -136,3 +150,11 @@ POLYGON_SQL = """lane_polygons AS (
    -123.9e0 + CAST((p_partkey*7919) % 2000 AS DOUBLE)/1000 AS x,
    46.9e0 + CAST((p_partkey*104729) % 2700 AS DOUBLE)/1000 AS y FROM part))"""
 
+
+PROBE_SQL = """probes AS (
+ SELECT CAST(s_suppkey AS INT) AS probe_id, t AS start_dt,
+  t + to_seconds(CASE WHEN s_suppkey % 10 = 0 THEN 9000 ELSE 60 + (s_suppkey*37) % 900 END) AS end_dt,
+  y AS lat_min, y + CASE WHEN s_suppkey % 7 = 0 THEN 0.8e0 ELSE 0.125e0 END AS lat_max,
+  x AS lon_min, x + CASE WHEN s_suppkey % 7 = 0 THEN 0.8e0 ELSE 0.125e0 END AS lon_max
+ FROM (SELECT s_suppkey, TIMESTAMP '2017-11-05 06:00:00' + to_seconds((s_suppkey*977) % 14400) AS t,
+   46.9e0 + CAST((s_suppkey*7919) % 2500 AS DOUBLE)/1000 AS y, -123.9e0 + CAST((s_suppkey*104729) % 1900 AS DOUBLE)/1000 AS x FROM supplier))"""
