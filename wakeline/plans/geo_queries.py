@@ -34,6 +34,7 @@ from wakeline.operators.geosets import (
 )
 from wakeline.operators.motion import with_localtime
 from wakeline.operators.polygons import lat_lon_rings, ring_points, with_polygon_class
+from wakeline.operators.zones import in_polygons
 from wakeline.plans.message_queries import minute_rows, motion
 from wakeline.plans.registry import (
     SCORED_SQL,
@@ -46,7 +47,7 @@ from wakeline.plans.registry import (
     register,
     score_sql,
 )
-from wakeline.plans.testbed import ais, messages_from, polygons
+from wakeline.plans.testbed import POLYGON_SQL, ais, messages_from, polygons
 from wakeline.sources.layers import read_polygons, write_polygons
 from wakeline.sources.scratch import materialise, scratch_path
 from wakeline.streaming.live import last_hour_activity, latest_by_slot, replay, run_to_end
@@ -389,6 +390,32 @@ def u2_polygons(spark, sf_dir):
     return with_polygon_class(polygons(spark, sf_dir)).groupBy("polygon_class").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Even and odd crossings of a ray to the east; a position on an edge is inside.
+IN_LANE_SQL = """edges AS (
+ SELECT a.feature_id, a.objl, a.lat AS y1, a.lon AS x1, b.lat AS y2, b.lon AS x2 FROM lane_polygons a
+ JOIN lane_polygons b ON a.feature_id = b.feature_id AND b.vtx = (a.vtx + 1) % 4),
+tested AS (
+ SELECT p.mmsi, p.lat, p.lon, e.feature_id, any_value(e.objl) AS objl,
+  count(*) FILTER (WHERE (y1 > p.lat) <> (y2 > p.lat) AND p.lon < (x2 - x1) * (p.lat - y1) / (y2 - y1) + x1) AS crossed,
+  bool_or((x2 - x1) * (p.lat - y1) - (y2 - y1) * (p.lon - x1) = 0
+   AND p.lat BETWEEN least(y1, y2) AND greatest(y1, y2) AND p.lon BETWEEN least(x1, x2) AND greatest(x1, x2)) AS touched
+ FROM latest p JOIN edges e ON true GROUP BY p.mmsi, p.lat, p.lon, e.feature_id)"""
+
+
+@register(
+    "p18_vessels_in_polygons",
+    on_motion(
+        f"SELECT mmsi, lat, lon, feature_id, {CLASS_CASE} FROM tested {KEPT} AND (touched OR crossed % 2 = 1)",
+        POLYGON_SQL,
+        "latest AS (SELECT mmsi, last(lat ORDER BY base_dt, seq) AS lat, last(lon ORDER BY base_dt, seq) AS lon FROM motion GROUP BY mmsi)",
+        IN_LANE_SQL,
+    ),
+)
+def p18_in_polygons(spark, sf_dir):
+    latest = latest_positions(motion(spark, sf_dir)).select("mmsi", "lat", "lon")
+    return in_polygons(latest, with_polygon_class(polygons(spark, sf_dir)))
+
+
 # --- streams --------------------------------------------------------------------------
 
 
