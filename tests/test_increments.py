@@ -1,0 +1,101 @@
+"""State that is kept by day or hour while messages are appended."""
+
+import os
+from datetime import date, timedelta
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.frames import START, track
+from wakeline.operators.days import (
+    SKETCH_ERROR,
+    daily_speed_sketches,
+    speed_statistics_of_days,
+    statistics_of_sketches,
+    write_speed_days,
+)
+from wakeline.operators.tracks import build_tracks, speed_statistics, track_points
+from wakeline.sources.appended import append_tracks, appended_tracks, rebuild_sizes
+
+DAY = timedelta(days=1)
+
+
+def three_days(spark, n=200):
+    rng = np.random.default_rng(7)
+    days = []
+    for d in range(3):
+        some = [track(spark, m, [(float(s), round(float(v), 1)) for s, v in zip(rng.uniform(0, 6 * 3600, n), rng.uniform(0, 20, n))],
+                      start=START.replace(hour=6) + d * DAY, first_seq=10_000 * d + 1000 * m) for m in (1, 2)]
+        days.append(some[0].unionByName(some[1]))
+    return days
+
+
+def files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_appended_tracks_equal_a_full_build(spark, tmp_path, rows):
+    path, days = str(tmp_path / "t"), three_days(spark)
+    late = track(spark, 1, [(60.0, 3.0), (61.0, None)], start=START.replace(hour=7), first_seq=90_000)
+    other = track(spark, 3, [(5.0, 3.0)], start=START.replace(hour=20) + DAY, first_seq=91_000).withColumn("mmsi", F.lit(None).cast("int"))
+    whole = None
+    for batch in [*days, late, late.limit(0), other]:
+        before = files(path)
+        touched = append_tracks(batch, path)
+        whole = batch if whole is None else whole.unionByName(batch)
+        after = files(path)
+        gone = {f for f in before if after.get(f) != before[f]}
+        assert all(any(f"part={p}/" in f for p in touched) for f in gone)
+        columns = ("mmsi", "idx", "seq", "base_dt", "sog")
+        stored = appended_tracks(spark, path)
+        assert rows(track_points(stored), *columns) == rows(track_points(build_tracks(whole)), *columns)
+        assert rows(stored.select("mmsi", "part", "n_points", "before_dt")) == rows(build_tracks(whole).select("mmsi", "part", "n_points", "before_dt"))
+    assert len(touched) == 0 and len(files(path)) == len(after)
+    want = rows(appended_tracks(spark, path))
+    rebuild_sizes(spark, path)
+    assert rows(appended_tracks(spark, path)) == want
+
+
+def test_only_the_step_of_a_late_message_is_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert len(append_tracks(three_days(spark)[0], path)) == 6
+    before = files(path + "/points")
+    assert len(append_tracks(track(spark, 1, [(60.0, 3.0)], start=START.replace(hour=7), first_seq=90_000), path)) == 1
+    after = files(path + "/points")
+    assert sum(f in after for f in before) >= len(before) * 5 // 6
+
+
+def test_days_merge_to_the_exact_statistics(spark, tmp_path, rows):
+    path, days = str(tmp_path / "d"), three_days(spark)
+    for day in days:
+        write_speed_days(day, path)
+    first = files(path)
+    write_speed_days(days[1], path)  # again: replaced, not added
+    assert sum(f in files(path) for f in first) >= 2
+    whole = days[0].unionByName(days[1]).unionByName(days[2])
+    assert rows(speed_statistics_of_days(spark, path)) == rows(speed_statistics(whole))
+    two = days[1].unionByName(days[2])
+    assert rows(speed_statistics_of_days(spark, path, first=date(2017, 11, 4))) == rows(speed_statistics(two))
+    assert rows(speed_statistics_of_days(spark, path, date(2017, 11, 4), date(2017, 11, 4))) == rows(speed_statistics(days[1]))
+    assert "day=2017-11-04" in " ".join(files(path))
+
+
+def test_sketches_of_days_are_within_their_error(spark):
+    rng = np.random.default_rng(8)
+    speeds = np.concatenate([rng.exponential(6, 6000), rng.normal(14, 0.01, 3000), np.full(600, 12.25)])
+    rng.shuffle(speeds)
+    days = [track(spark, 1, [(float(i), float(v)) for i, v in enumerate(part)], start=START.replace(hour=0) + d * DAY) for d, part in enumerate(np.split(speeds, 8))]
+    whole = days[0]
+    for day in days[1:]:
+        whole = whole.unionByName(day)
+    whole = whole.unionByName(track(spark, 2, [(0, 0.5), (1, None)]))
+    daily = daily_speed_sketches(whole)
+    assert daily.where("mmsi = 1").count() == 8
+    found = {r.mmsi: r for r in statistics_of_sketches(daily).collect()}
+    fast = np.sort(speeds[speeds >= 1.0])
+    for name, q in (("median_sog", 0.5), ("q20", 0.2), ("q40", 0.4), ("q60", 0.6), ("q80", 0.8)):
+        value = found[1][name]
+        low, high = np.searchsorted(fast, value, "left") / len(fast), np.searchsorted(fast, value, "right") / len(fast)
+        assert low - SKETCH_ERROR <= q <= high + SKETCH_ERROR and value in fast
+    assert found[1].max_sog == pytest.approx(speeds.max()) and (found[2].max_sog, found[2].q20) == (0.5, None)

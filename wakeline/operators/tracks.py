@@ -105,7 +105,11 @@ def speed_statistics(points: DataFrame, in_motion: float = IN_MOTION_KNOTS) -> D
 
     Cut points are rounded to 6 places: with speeds in steps of 0.1 they have two, and a
     speed equal to a cut point must not miss it by the last bit of the interpolation."""
-    counts = speed_counts(points)
+    return statistics_of_counts(speed_counts(points), in_motion)
+
+
+def statistics_of_counts(counts: DataFrame, in_motion: float = IN_MOTION_KNOTS) -> DataFrame:
+    """``speed_statistics`` from (mmsi, sog, n), which may hold a speed of a vessel in several rows."""
     moving = F.when(F.col("sog") >= in_motion, F.col("sog"))
     exact = F.percentile(moving, [0.5, *QUINTILES], F.col("n"))
     return (

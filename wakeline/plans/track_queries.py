@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wakeline.functions.codes import speed_colour
+from wakeline.operators.days import speed_statistics_of_days, write_speed_days
 from wakeline.operators.geosets import MOVING, geo_sets, members
 from wakeline.operators.parts import attach_per_vessel, with_part
 from wakeline.operators.series import (
@@ -43,6 +44,8 @@ from wakeline.plans.registry import (
     register,
 )
 from wakeline.schema import SPEED_COLOURS
+from wakeline.sources.appended import append_tracks, appended_tracks
+from wakeline.sources.scratch import scratch_path
 
 PLACE = "row_number() OVER (PARTITION BY mmsi ORDER BY base_dt, seq) - 1 AS idx"
 
@@ -59,6 +62,20 @@ def a1(spark, sf_dir):
     return track_points(tracks(spark, sf_dir)).drop("part")
 
 
+@register(
+    "a1_appended_tracks",
+    on_motion(f"SELECT mmsi, {PLACE}, base_dt, seq, lat, lon, sog, cog, heading, status FROM motion"),
+)
+def a1_appended(spark, sf_dir):
+    """The same table from three appends, the last of which holds messages of all hours."""
+    path = scratch_path(spark, "appended")
+    rows = motion(spark, sf_dir)
+    late, noon = F.col("seq") % 16 == 0, F.expr("TIMESTAMP_NTZ'2017-11-05 08:00:00'")
+    for some in (rows.where(~late & (F.col("base_dt") < noon)), rows.where(~late & (F.col("base_dt") >= noon)), rows.where(late)):
+        append_tracks(some, path)
+    return track_points(appended_tracks(spark, path)).drop("part")
+
+
 @register(
     "a1_parallel_arrays",
     on_motion(f"SELECT mmsi, {PLACE}, base_dt, lat, lon, sog, status FROM motion"),
@@ -88,6 +105,14 @@ _statistics("a5_median_speed", ["median_sog"])
 _statistics("a6_speed_quintiles", ["q20", "q40", "q60", "q80"])
 
 
+@register("a6_speed_quintiles_of_days", on_motion("SELECT mmsi, max_sog, median_sog, q20, q40, q60, q80 FROM quintiles", QUINTILE_SQL))
+def a6_days(spark, sf_dir):
+    path = scratch_path(spark, "speed-days")
+    write_speed_days(motion(spark, sf_dir), path)
+    return speed_statistics_of_days(spark, path)
+
+
+
 @register(
     "j8_points_with_cut_points",
     on_motion(
