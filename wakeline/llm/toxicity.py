@@ -28,12 +28,16 @@ from wakeline.sources.scratch import materialise
 
 #: Labelled texts of each class that the fit reads at most (in expectation: a hash picks them).
 FIT_TEXTS = 6000
+#: Letters of a learned word start.
+LONGEST_START = 8
 _FOLDS = 5
 
 # Word lists of the grammar in the four languages of the tables.
 INSULTS = "idiot moron stupid loser scum trash clown pathetic worthless disgusting".split()
 THREATS = "kill hurt destroy beat crush burn shoot stab töten schlagen tuer frapper matar golpear".split()
 TARGETS = "you your yours u he she they them him her du dich dir ihr euch tu te toi vous tú usted ustedes".split()
+# Targets that are objects wherever they stand: before the verb they are threatened too.
+OBJECTS = "dich dir euch ihn te toi os".split()
 NEGATIONS = "not never no isn't aren't don't nicht kein keine nie ne pas jamais nunca".split()
 REPORTS = "said says told wrote quoted claimed reported sagte schrieb dit écrit dijo escribió".split()
 INSULT_WEIGHT, THREAT_WEIGHT = 6.0, 2.0
@@ -62,23 +66,37 @@ def _counting_down(opens: str, scope: int, on: Iterable[str], output: str) -> Tr
     return Transducer(arcs, {s: max(0, s - 1) for s in range(scope + 1)})
 
 
-HITS = ("insult",)
+def _threats(scope: int) -> Transducer:
+    """A threat needs whom it is aimed at: a target up to ``scope`` tokens after the verb, or an object as many before it.
+    States from 1 count down behind a verb, those above ``scope`` behind an object."""
+    arcs = {(0, "threat"): (scope, ""), (0, "object"): (2 * scope, "")}
+    for s in range(1, scope + 1):
+        arcs |= {(s, "threat"): (scope, ""), (s, "target"): (s - 1, "threat"), (s, "object"): (s - 1, "threat")}
+        arcs |= {(scope + s, "threat"): (0, "threat"), (scope + s, "object"): (2 * scope, "")}
+    rest = {s: max(0, s - 1) for s in range(scope + 1)} | {scope + s: scope + s - 1 if s > 1 else 0 for s in range(1, scope + 1)}
+    return Transducer(arcs, rest)
+
+
+HITS = ("insult", "threat")
 MACHINES = (
     Transducer({(0, "insult"): (0, "insult")}, {0: 0}),
-    _counting_down("threat", THREAT_SCOPE, ("target",), "threat"),
-    # A target before a hit raises it; the first target after a hit raises it too.
+    _threats(THREAT_SCOPE),
+    # A target before an insult raises it; the first target after an insult raises it too.
     Transducer(
-        {(0, "target"): (1, ""), (1, "insult"): (1, "aimed"), (0, "insult"): (2, ""), (2, "target"): (1, "aim back")},
+        {(0, t): (1, "") for t in ("target", "object")}
+        | {(1, "insult"): (1, "aimed"), (0, "insult"): (2, "")}
+        | {(2, t): (1, "aim back") for t in ("target", "object")},
         {0: 0, 1: 1, 2: 2},
     ),
     _counting_down("negation", NEGATION_SCOPE, HITS, "negated"),
-    Transducer({(0, "report"): (1, ""), (1, "insult"): (1, "reported")}, {0: 0, 1: 1}),
+    Transducer({(0, "report"): (1, ""), **{(1, h): (1, "reported") for h in HITS}}, {0: 0, 1: 1}),
 )
-SYMBOLS = ("insult", "threat", "target", "negation", "report", "other")
+SYMBOLS = ("insult", "threat", "target", "object", "negation", "report", "other")
 
 
 def compose(machines: tuple[Transducer, ...] = MACHINES) -> dict:
-    """The product machine: state -> symbol -> (state, factor of the token, factor of the last hit, threat)."""
+    """The product machine: state -> symbol -> (state, factor of an insult, factor of the last insult, weight of a threat that is
+    complete, factor of a threat that begins or is complete here)."""
     table: dict = {}
     todo = [tuple(0 for _ in machines)]
     while todo:
@@ -89,15 +107,13 @@ def compose(machines: tuple[Transducer, ...] = MACHINES) -> dict:
         for symbol in SYMBOLS:
             moves = [m.step(s, symbol) for m, s in zip(machines, state)]
             out = {o for _, o in moves}
-            factor = float("insult" in out)
-            factor *= TARGET_FACTOR if "aimed" in out else 1.0
-            factor *= NEGATION_FACTOR if "negated" in out else 1.0
-            factor *= REPORT_FACTOR if "reported" in out else 1.0
+            softer = (NEGATION_FACTOR if "negated" in out else 1.0) * (REPORT_FACTOR if "reported" in out else 1.0)
+            factor = softer * ("insult" in out) * (TARGET_FACTOR if "aimed" in out else 1.0)
             back = TARGET_FACTOR - 1 if "aim back" in out else 0.0
-            table[state][symbol] = (tuple(n for n, _ in moves), factor, back, THREAT_WEIGHT * ("threat" in out))
+            table[state][symbol] = (tuple(n for n, _ in moves), factor, back, THREAT_WEIGHT * ("threat" in out), softer)
             todo.append(table[state][symbol][0])
     number = {s: i for i, s in enumerate(table)}
-    number_of = {number[s]: {x: (number[n], f, b, t) for x, (n, f, b, t) in row.items()} for s, row in table.items()}
+    number_of = {number[s]: {x: (number[n], *out) for x, (n, *out) in row.items()} for s, row in table.items()}
     return {"start": number[tuple(0 for _ in machines)], "arcs": number_of}
 
 
@@ -117,6 +133,7 @@ class Grammar:
             **dict.fromkeys(REPORTS, "report"),
             **dict.fromkeys(NEGATIONS, "negation"),
             **dict.fromkeys(TARGETS, "target"),
+            **dict.fromkeys(OBJECTS, "object"),
             **dict.fromkeys(THREATS, "threat"),
         }
         self.machine = compose()
@@ -137,14 +154,18 @@ class Grammar:
         return 0.0
 
     def clause(self, text: str) -> float:
+        """Sum over the clause: insults, raised by a target and lowered by negation and reported speech, and threats that are
+        aimed at somebody, lowered alike."""
         state, arcs = self.machine["start"], self.machine["arcs"]
         total = last = 0.0
+        softer = 1.0  # of the last verb of a threat
         for word in _TOKEN.findall(text):
             weight = self.insult(word)
             symbol = "insult" if weight else self.fixed.get(word, "other")
-            state, factor, back, threat = arcs[state][symbol]
+            state, factor, back, threat, here = arcs[state][symbol]
+            softer = here if symbol == "threat" else softer
             gain = factor * weight
-            total += gain + back * last + threat
+            total += gain + back * last + threat * softer
             last = gain or last
         return total
 
@@ -259,7 +280,9 @@ def fit(
 
     Remainders 1 to 3 make the lexicon, 4 the curve. Of each class a hash of the id picks about
     ``fit_texts`` rows; the driver gets one row per lexicon candidate and three numbers per row of
-    the curve. Without usable labels the fixed lexicon and curve stay.
+    the curve. Learned word starts have at most ``LONGEST_START`` letters, whole words any number. Rows without id, text or a
+    label of 0 or 1 teach nothing, an id labelled both ways counts as 1, copies and repeated rows count once, other columns are not
+    read. Without usable labels, or with an empty table, the fixed lexicon and curve stay.
     """
     model = Model()
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y")).where(
@@ -289,7 +312,7 @@ def fit(
     pairs = known.where("fold < 4").select("y", F.explode(F.array_distinct(F.split(F.lower("t"), r"[^\p{L}]+"))).alias("word")).where("word != ''")
     counted = pairs.groupBy("word").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n"))
     # Positive pairs first: entries of too few of them are never looked at.
-    all_counts = counted.select(F.explode(_prefixes(8)).alias("f"), "p", "n").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    all_counts = counted.select(F.explode(_prefixes(LONGEST_START)).alias("f"), "p", "n").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
     totals = counted.agg(F.sum("p"), F.sum("n")).first()
     if totals[0] and totals[1]:
         ratio = (F.col("p") + 0.5) / (F.col("n") + 0.5) * (totals[1] + 1) / (totals[0] + 1)
