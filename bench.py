@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from wakeline.plans.catalog import QUERIES  # noqa: E402
 from wakeline.session import spark_session  # noqa: E402
+from wakeline.sources.scratch import release  # noqa: E402
 
 HEADLINE = (
     "flagship_neighbours",
@@ -71,6 +72,7 @@ def main() -> None:
         # Second run: the first one compiles the plan's code.
         run(QUERIES[name], spark, sf_dir)
         times[name] = round(run(QUERIES[name], spark, sf_dir), 3)
+        release(spark)
     print(
         json.dumps(
             {

@@ -28,7 +28,7 @@ from wakeline.operators.probes import near_places_and_times
 from wakeline.plans.registry import HOUR_SQL, on_ais, on_calendar, on_minute, on_motion, register
 from wakeline.plans.testbed import PROBE_SQL, ais, ais_with_names, probes
 from wakeline.sources.messages import read_ais_csv, write_ais_csv
-from wakeline.sources.scratch import materialise, scratch_path
+from wakeline.sources.scratch import exists, materialise, scratch_path
 from wakeline.sources.tables import (
     read_day,
     read_table,
@@ -56,12 +56,33 @@ def calendar(spark, sf_dir):
     return with_calendar(motion(spark, sf_dir))
 
 
+_layouts: dict[tuple[str, str], str] = {}
+
+
+def day_layout(spark, sf_dir):
+    """Path of the motion table by local day: laid out once for a session and table, and again if it was released."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _layouts or not exists(spark, _layouts[key]):
+        _layouts[key] = _by_day(spark, sf_dir)
+    return _layouts[key]
+
+
+def by_day(spark, sf_dir):
+    return read_table(spark, day_layout(spark, sf_dir))
+
+
+def _snapshot(spark, sf_dir, at, width):
+    """Motion columns and local time of a snapshot, from the day folders that it touches."""
+    rows = snapshot(by_day(spark, sf_dir), at, width)
+    return rows.select(*motion(spark, sf_dir).columns, "localtime")
+
+
 def minute_rows(spark, sf_dir):
-    return snapshot(with_localtime(motion(spark, sf_dir)), MINUTE_AT)
+    return _snapshot(spark, sf_dir, MINUTE_AT, timedelta(minutes=1))
 
 
 def hour_rows(spark, sf_dir):
-    return snapshot(with_localtime(motion(spark, sf_dir)), HOUR_AT, timedelta(hours=1))
+    return _snapshot(spark, sf_dir, HOUR_AT, timedelta(hours=1))
 
 
 # --- scans and sinks ------------------------------------------------------------------
@@ -101,7 +122,7 @@ def _by_day(spark, sf_dir):
     ),
 )
 def day_partition_read(spark, sf_dir):
-    day = read_day(spark, _by_day(spark, sf_dir), 2017, 11, 4)
+    day = read_day(spark, day_layout(spark, sf_dir), 2017, 11, 4)
     return day.select("mmsi", "base_dt", "localtime", "lat", "lon", "dow")
 
 
@@ -131,7 +152,7 @@ def write_days(spark, sf_dir):
     on_calendar("SELECT day, dow, count(*) AS n, count(sog) AS n_sog FROM cal GROUP BY day, dow"),
 )
 def catalog_table(spark, sf_dir):
-    path = _by_day(spark, sf_dir)
+    path = day_layout(spark, sf_dir)
     name = "by_day_" + path.rsplit("-", 1)[1]
     return (
         register_table(spark, name, path)
@@ -186,13 +207,13 @@ SNAPSHOT_ROW = "mmsi, base_dt, localtime_ AS localtime, lat, lon, sog, cog, seq"
 
 @register("p4_minute_snapshot", on_minute(f"SELECT {SNAPSHOT_ROW} FROM minute_rows"))
 def p4(spark, sf_dir):
-    rows = snapshot(read_table(spark, _by_day(spark, sf_dir)), MINUTE_AT)
+    rows = snapshot(by_day(spark, sf_dir), MINUTE_AT)
     return rows.select("mmsi", "base_dt", "localtime", "lat", "lon", "sog", "cog", "seq")
 
 
 @register("p5_hour_snapshot", on_calendar(f"SELECT {SNAPSHOT_ROW} FROM hour_rows", HOUR_SQL))
 def p5(spark, sf_dir):
-    rows = snapshot(read_table(spark, _by_day(spark, sf_dir)), HOUR_AT, timedelta(hours=1))
+    rows = snapshot(by_day(spark, sf_dir), HOUR_AT, timedelta(hours=1))
     return rows.select("mmsi", "base_dt", "localtime", "lat", "lon", "sog", "cog", "seq")
 
 
@@ -238,7 +259,7 @@ def p10(spark, sf_dir):
 )
 def p12(spark, sf_dir):
     rows = near_place_and_time(
-        read_table(spark, _by_day(spark, sf_dir)),
+        by_day(spark, sf_dir),
         datetime(2017, 11, 5, 6, 30),
         datetime(2017, 11, 5, 7, 30),
         47.5, 48.5, -123.25, -122.25,
@@ -255,7 +276,7 @@ def p12(spark, sf_dir):
     ),
 )
 def p12_probes(spark, sf_dir):
-    days = read_table(spark, _by_day(spark, sf_dir))
+    days = by_day(spark, sf_dir)
     return near_places_and_times(days, probes(spark, sf_dir), keep=("seq",))
 
 

@@ -14,12 +14,7 @@ from pyspark.sql import functions as F
 from wakeline.operators.motion import order_key
 from wakeline.operators.parts import with_part
 from wakeline.schema import MOTION_COLUMNS, PART_SECONDS
-from wakeline.sources.scratch import materialise
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+from wakeline.sources.scratch import exists, materialise
 
 
 def append_tracks(motion: DataFrame, path: str, seconds: int = PART_SECONDS) -> list[int]:
@@ -37,7 +32,7 @@ def append_tracks(motion: DataFrame, path: str, seconds: int = PART_SECONDS) ->
     if not touched:
         return []
     merged = fresh
-    if _exists(spark, f"{path}/points"):
+    if exists(spark, f"{path}/points"):
         stored = spark.read.parquet(f"{path}/points").where(F.col("part").isin(touched)).select("mmsi", "part", "points")
         both = stored.unionByName(fresh).groupBy("mmsi", "part")
         merged = materialise(both.agg(F.sort_array(F.flatten(F.collect_list("points"))).alias("points")), "merged")
