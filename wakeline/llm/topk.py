@@ -48,8 +48,17 @@ def integers(x: np.ndarray, scale: int = 256) -> np.ndarray:
     return np.array([whole(row, scale) for row in x.tolist()], object).reshape(x.shape)
 
 
+def in_32_bits(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as 32-bit floats where all sums of their inner products are exact in those."""
+    if a.dtype != object and b.dtype != object and np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, a.shape[1]) < 2.0**24:
+        return a.astype(np.float32), b.astype(np.float32)
+    return a, b
+
+
 def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of rows of ``integers``: 64-bit floats where they are exact, Python integers beyond; they stop at 64 bits."""
+    if a.dtype == np.float32:
+        return (a @ b.T).astype(np.int64)
     plain = a.dtype != object and b.dtype != object
     if plain and float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1]) < _EXACT:
         return (a @ b.T).astype(np.int64)
@@ -86,26 +95,47 @@ class Block:
     pivots: np.ndarray
 
 
-def bounds(query: Block, rows: Block, i: int) -> np.ndarray:
-    """No inner product of query ``i`` is above these; infinite where floats cannot tell."""
-    with np.errstate(over="ignore", invalid="ignore"):
-        sq, sr = (np.floor(x * 256) for x in (query.vectors[i], rows.vectors))
-        sq, sr = (sq * sq).sum(), (sr * sr).sum(1)
-        # A distance is off by less than this share of the two lengths, neither of which exceeds the sum of the distance and the other.
-        off = 1e-7 * (rows.pivots + query.pivots[i] + np.sqrt(sr)[:, None] + np.sqrt(sq))
-        apart = (np.abs(rows.pivots - query.pivots[i]) - off).max(1, initial=0)
-        bound = (sq + sr - apart * apart) / 2 + 1e-9 * (sq + sr) + 1e-6
-    return np.where(np.isfinite(bound), bound, np.inf)
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Squared lengths of floor(256 x)."""
+    with np.errstate(over="ignore"):
+        x = np.floor(vectors * 256)
+        return (x * x).sum(1)
+
+
+#: Share of itself and of the two lengths by which a distance in 32 bits may be off.
+_OFF = 3e-7
+
+
+class Bounds:
+    """Upper bounds of the inner products of queries with the rows of a block, from their rows of the pivot table."""
+
+    def __init__(self, query: Block, rows: Block) -> None:
+        self.of_query, self.of_rows = lengths(query.vectors), lengths(rows.vectors)
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.query, self.rows = (np.ascontiguousarray(b.pivots.T.astype(np.float32)) for b in (query, rows))
+            own = [_OFF * (b.pivots.max(1, initial=0) + np.sqrt(n)) for b, n in ((query, self.of_query), (rows, self.of_rows))]
+            self.off_query, self.off_rows = own
+
+    def of(self, i: int) -> np.ndarray:
+        """No inner product of query ``i`` is above these; infinite where floats cannot tell."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            apart = np.abs(self.rows - self.query[:, i : i + 1]).max(0, initial=0)
+            apart = np.maximum(apart - (self.off_rows + self.off_query[i]), 0)
+            both = self.of_query[i] + self.of_rows
+            bound = (both - apart * apart) / 2 + 1e-9 * both + 1e-6
+        return np.where(np.isfinite(bound), bound, np.inf)
 
 
 def search_block(query: Block, rows: Block, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(query's place, candidates' places, scores, how many were evaluated) of the best entries of each query that make ``k`` rows
     without the query's own; of equal scores the smaller id."""
-    whole_query, whole_rows = integers(query.vectors), integers(rows.vectors)
+    bounds = Bounds(query, rows)
+    whole_query, whole_rows = in_32_bits(integers(query.vectors), integers(rows.vectors))
     for i in range(len(query.ids)):
-        bound = bounds(query, rows, i)
-        own = (rows.ids == query.ids[i]) & (rows.vectors == query.vectors[i]).all(1)
-        left = rows.copies - own
+        bound = bounds.of(i)
+        left = rows.copies.copy()
+        same = np.flatnonzero(rows.ids == query.ids[i])
+        left[same] -= (rows.vectors[same] == query.vectors[i]).all(1)
         order = np.argsort(-bound, kind="stable")
         order = order[left[order] > 0]
         best, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
