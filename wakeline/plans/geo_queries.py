@@ -34,6 +34,7 @@ from wakeline.operators.geosets import (
 )
 from wakeline.operators.motion import with_localtime
 from wakeline.operators.polygons import lat_lon_rings, ring_points, with_polygon_class
+from wakeline.operators.scored import within_radius_by_score, write_by_score
 from wakeline.operators.zones import in_polygons
 from wakeline.plans.message_queries import minute_rows, motion
 from wakeline.plans.registry import (
@@ -207,6 +208,20 @@ def f10(spark, sf_dir):
     return _round(near.select("seq", "mmsi", "miles"), 4, "miles")
 
 
+@register(
+    "f10_radius_by_score",
+    on_motion(
+        f"SELECT seq, mmsi, round({haversine_sql('48e0', '-122.75e0', 'lat', 'lon')}, 4) AS miles FROM motion "
+        f"WHERE {haversine_sql('48e0', '-122.75e0', 'lat', 'lon')} <= 12"
+    ),
+)
+def f10_by_score(spark, sf_dir):
+    path = scratch_path(spark, "by-score")
+    write_by_score(motion(spark, sf_dir), path)
+    near = within_radius_by_score(spark.read.parquet(path), LAT0, LON0, 12.0)
+    return _round(near.select("seq", "mmsi", "miles"), 4, "miles")
+
+
 @register(
     "j9_proximity_pairs",
     on_motion(
