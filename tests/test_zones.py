@@ -84,3 +84,22 @@ def test_holes_of_a_layer(spark, tmp_path, rows):
     assert rows(in_polygons(at, layer, keep=("feature_id",)), "mmsi", "feature_id") == [
         (1, "MultiPolygon"), (2, "MultiPolygon"), (2, "MultiPolygon"), (2, "Polygon")
     ]
+
+
+def test_a_dense_layer_is_spread_over_tasks(spark, rows, monkeypatch):
+    """Every position meets every polygon: the pairs, not the rows, set the number of tasks, and no pair is shuffled afterwards."""
+    layer = spark.createDataFrame([(i, "lane", box(48.0 + i / 10000, -123.0, 0.3, 0.3), []) for i in range(40)], LAYER)
+    given = spark.createDataFrame([(i, 48.1 + i / 1000, -122.9) for i in range(60)], "mmsi int, lat double, lon double")
+    want = rows(in_polygons(given, layer), "mmsi", "feature_id")
+    assert len(want) == 40 * 60
+    monkeypatch.setattr(zones, "TASK_PAIRS", 100)
+    monkeypatch.setattr(zones, "DENSE", 1)
+    for most, held in ((1_000_000, 2_000), (-1, 7)):
+        monkeypatch.setattr(zones, "BROADCAST_ROWS", most)
+        monkeypatch.setattr(zones, "CELL_ROWS", held)
+        found = in_polygons(given, layer)
+        assert rows(found, "mmsi", "feature_id") == want
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert " feature#" not in plan  # the kept columns come with the cells
+        # 2,400 pairs by a hundred a task
+        assert "REPARTITION_BY_NUM" in plan and found.rdd.getNumPartitions() >= 24
