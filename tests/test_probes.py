@@ -90,3 +90,35 @@ def test_a_probe_covers_few_bins(spark):
     most = binned_probes(spark.createDataFrame(asked(), PROBES)).groupBy("probe_id", "start").count().agg(F.max("count")).first()[0]
     assert most <= 8
     assert near_places_and_times(spark.createDataFrame(messages(5), SCHEMA), spark.createDataFrame([], PROBES)).count() == 0
+
+
+def test_bins_hold_few_messages_outside_of_the_probe(spark):
+    """Of the volume of a probe's bins, its box and interval fill more than a fifth on average."""
+    rng = random.Random(3)
+    given = []
+    for i in range(300):
+        t, y, x = START + timedelta(seconds=rng.randint(0, 86400)), rng.uniform(40, 50), rng.uniform(-130, -120)
+        size = rng.choice([0.125, 0.8])
+        given.append((i, t, t + timedelta(seconds=rng.choice([300, 900, 9000])), y, y + size, x, x + size))
+    binned = binned_probes(spark.createDataFrame(given, PROBES), probing.PARTS)
+    volume = binned.groupBy("probe_id").agg(F.count(F.lit(1)).alias("n"), F.first("_t").alias("t"), F.first("_p").alias("p")).collect()
+    asked_for = {p: (t1 - t0).total_seconds() * (y1 - y0) * (x1 - x0) for p, t0, t1, y0, y1, x0, x1 in given}
+    filled = [asked_for[r.probe_id] / (r.n * probing.TIME_BINS[r.t] * probing.PLACE_BINS[r.p] ** 2) for r in volume]
+    assert len(filled) == 300 and sum(filled) / 300 > 0.2
+    assert max(r.n for r in volume) <= (probing.PARTS + 1) ** 3
+
+
+def test_crowded_bins_are_dealt(spark, rows, monkeypatch, tmp_path):
+    monkeypatch.setattr(probing, "BROADCAST_ROWS", 500)
+    monkeypatch.setattr(probing, "CELL_ROWS", 2)
+    alike = [(300 + i, START + timedelta(hours=1), START + timedelta(hours=3), 47.9, 48.1, -122.6, -122.4) for i in range(7)]
+    few = spark.createDataFrame(asked() + alike, PROBES).where("probe_id != 204")
+    write_by_day(with_calendar(spark.createDataFrame(messages(), SCHEMA).where("base_dt IS NOT NULL")), str(tmp_path / "days"))
+    found = near_places_and_times(spark.read.parquet(str(tmp_path / "days")), few, keep=("seq",))
+    got = rows(found, "probe_id", "seq")
+    assert [r for r in got if r[0] < 300] == [r for r in brute() if r[0] != 204]
+    near = [r[1] for r in got if r[0] == 300]
+    assert len(near) >= 3 and [r for r in got if r[0] >= 300] == [(300 + i, seq) for i in range(7) for seq in near]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_share" in plan
+    assert "dynamicpruning" in plan  # too many bins to broadcast, yet only the days asked for

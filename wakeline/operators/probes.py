@@ -110,7 +110,7 @@ def near_places_and_times(df: DataFrame, probes: DataFrame, zone: str = ZONE, ke
         spans = stored.select("start", "end").distinct()
         touched = materialise(probe_days(spans, zone).select(*days).distinct(), "probe-days")
         if touched.count() <= BROADCAST_ROWS:
-            rows = rows.join(F.broadcast(touched.where("year IS NOT NULL")), days, "left_semi")
+            rows = rows.join(F.broadcast(touched.where("month >= 1")), days, "left_semi")
         rows, days = rows.select(*columns), []
     each = F.array(*(F.struct(F.lit(t).alias("_t"), F.lit(p).alias("_p")) for t, p in levels))
     each = each if levels else F.array().cast("array<struct<_t: int, _p: int>>")
