@@ -20,8 +20,8 @@ from wakeline.sources.scratch import materialise
 
 #: Height and width of a cell in degrees.
 CELL_DEGREES = 0.05
-#: Rows with no more edges hold them in columns, which compiled code compares; others in an array. With four, the code of the join
-#: passes the 8,000 bytes up to which the JVM compiles a method, and a pair takes ten times as long.
+#: Rows with no more edges hold them in columns, which compiled code compares; others in an array. Four make a method of about 7,100
+#: bytes, three of 5,600; the JVM compiles none above 8,000, and a wider result adds to it.
 FLAT_EDGES = 3
 #: Pairs of a position and a cell of its place that one task compares, about.
 TASK_PAIRS = 4_000_000
