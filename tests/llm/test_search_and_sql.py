@@ -103,6 +103,85 @@ def test_search_stops_early_and_is_exact():
     assert evaluated < 40 * len(data) / 2
 
 
+def brute_block(vectors, ids, copies, asked, k):
+    """For each asked row, places by score and id, as many as are needed for k rows but the query's own."""
+    scores = np.array([topk.whole(v) for v in vectors.tolist()], object)
+    out = []
+    for i in asked:
+        left = [j for j in range(len(ids)) if copies[j] > 1 or j != i]
+        dots = {j: min(max(int(scores[j] @ scores[i]), 1 - 2**63), 2**63 - 1) for j in left}
+        out.append([(dots[j], ids[j]) for j in sorted(left, key=lambda j: (-dots[j], ids[j]))[:k]])
+    return out
+
+
+@pytest.mark.parametrize("case", ["long", "equal", "mixed", "no pivots", "text ids"])
+def test_search_of_a_block_is_exact(case, monkeypatch):
+    rng = np.random.default_rng(4)
+    dim, pivots, n = (48, 2, 700) if case == "long" else (6, 0 if case == "no pivots" else 5, 700)
+    data = rng.normal(size=(n, dim)) * (1 if case != "long" else np.geomspace(1, 40, n)[:, None])
+    if case == "equal":
+        data[:] = data[0]
+    if case == "mixed":
+        data *= rng.choice([1.0, 1e4, 1e7], n)[:, None]
+    ids, copies = rng.permutation(n), rng.integers(1, 3, n)
+    if case == "text ids":
+        ids = np.array([f"é{i}" for i in ids], object)
+    whole = np.floor(data * 256)
+    table = topk.distances(whole, topk.choose_pivots(whole, pivots) if pivots else whole[:0])
+    block = topk.Block(ids, copies, data, table)
+    asked = topk.Block(*(x[:30] for x in (ids, copies, data, table)))
+    found = {i: (best, score, seen) for i, best, score, seen in topk.search_block(asked, block, 4)}
+    for i, want in enumerate(brute_block(data, ids, copies, range(30), 4)):
+        best, score, _ = found[i]
+        assert [(s, ids[j]) for s, j in zip(score.tolist(), best)] == want
+    if case == "long":  # rows have bounds of their own beside those of groups
+        monkeypatch.setattr(topk, "BOUND_COST", 100)
+        assert sum(f[2] for f in found.values()) < sum(f[3] for f in topk.search_block(asked, block, 4))
+
+
+def test_pivots_are_chosen_without_bringing_rows_of_every_task_to_the_driver(spark):
+    rng = np.random.default_rng(6)
+    given = [(i, rng.normal(size=16).tolist()) for i in range(32_000)]
+    df = materialise(spark.createDataFrame(given, "vec_id long, embedding array<float>").repartition(64), "given")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": "128m"}
+    before = {k: spark.conf.get(k) for k in settings}
+    limits = spark.sparkContext._jsc.sc().conf()
+    most = limits.get("spark.driver.maxResultSize", "1g")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        limits.set("spark.driver.maxResultSize", "2m")  # 64 tasks of 500 rows hold three times as much
+        found = topk.top_k(df.where("vec_id < 3"), df, 2).collect()
+    finally:
+        limits.set("spark.driver.maxResultSize", most)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    given = np.floor(np.array([v for _, v in given], np.float32).astype(float) * 256).astype(int)
+    for q in range(3):
+        scores = given @ given[q]
+        want = sorted((-s, i) for i, s in enumerate(scores.tolist()) if i != q)[:2]
+        assert [(-r.score, r.vec_id) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == want
+
+
+def test_pivot_sample_is_the_rows_of_least_hash(spark, monkeypatch):
+    monkeypatch.setattr(topk, "PIVOT_SAMPLE", 50)
+    df = spark.range(0, 20_000, 1, 16).select((F.col("id") % 7).alias("vec_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
+    want = sorted((r.h, tuple(r.vector)) for r in df.select(F.xxhash64("vec_id", "vector").alias("h"), "vector").collect())[:50]
+    assert sorted(tuple(r.vector) for r in topk.pivot_sample(df, 20_000).collect()) == sorted(v for _, v in want)
+    assert topk.pivot_sample(df.limit(30), 30).count() == 30
+
+
+def test_cells_hold_what_a_task_can_and_copies_grow_no_faster_than_rows():
+    for rows in (0, 1, 5_000, 50_000, 720_000, 4_000_000, 15_000_000):
+        for queries in (0, 1, rows // 50, rows):
+            for k in (1, 5, 1000):
+                parts, parts_q = topk.grid(rows, queries, k)
+                assert rows <= parts * topk.CELL_ROWS and queries <= parts_q * topk.CELL_ROWS
+                assert -(-queries // parts_q) * k <= max(topk.CELL_RESULTS, topk.QUERY_ROWS * k)
+                # Divided for more tasks only while the query rows that it copies are fewer than the candidates, or eight times.
+                assert parts == max(1, -(-rows // topk.CELL_ROWS)) or (parts - 1) * queries <= max(rows, 8 * queries)
+
+
 # --- pipeline -------------------------------------------------------------------------
 
 
